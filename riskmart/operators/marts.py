@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riskmart.functions import dictionaries as D
 from riskmart.functions.scalars import (
-    contains_flag, exact_avg, key_norm, month_key, parse_timestamp, py_strip, round_half_even, theme_slug,
+    contains_flag, exact_avg, key_norm, month_key, py_strip, to_timestamp_col, round_half_even, theme_slug,
 )
 from riskmart.operators.joins import Lookup, outer_merge_aggregates
 
@@ -40,7 +40,7 @@ def _avg(c: str, digits: int | None) -> Column:
 
 def with_month(df: DataFrame, date_col: str, out: str = "report_month") -> DataFrame:
     """Parse, drop unparseable, ``yyyy-MM``."""
-    ts = parse_timestamp(F.col(date_col)) if dict(df.dtypes)[date_col] == "string" else F.col(date_col).cast("timestamp")
+    ts = to_timestamp_col(df, date_col)
     return df.withColumn("_mts", ts).where(F.col("_mts").isNotNull()).withColumn(out, month_key(F.col("_mts"))).drop("_mts")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.operators import marts
+from riskmart.operators import marts, text_rules
 from riskmart.operators.joins import Lookup
 from riskmart.operators.quality import keep_first
 from riskmart.plans import roles, trusted
@@ -104,3 +104,33 @@ def q_disruption_view(spark, d):
 @register("investigation_view")
 def q_investigation_view(spark, d):
     return marts.investigation_view(t_investigations(spark, d))
+
+
+# ------------------------------------------------------------ narrative text
+def corpus_enrichment_rules() -> text_rules.EnrichmentRules:
+    return text_rules.EnrichmentRules(**roles.CORPUS_ENRICHMENT)
+
+
+def corpus_feature_rules() -> text_rules.FeatureRules:
+    return text_rules.FeatureRules(**roles.CORPUS_FEATURES)
+
+
+def nlp_table(spark, d) -> DataFrame:
+    return text_rules.nlp_enrichment(t_reports(spark, d), corpus_enrichment_rules(), DRIVER_WINDOW)
+
+
+@register("text_normalised")
+def q_text_normalised(spark, d):
+    df = text_rules.nlp_text_columns(t_reports(spark, d))
+    return df.select("report_id", "narrative_clean", "narrative_match_text", "structured_match_text",
+                     "analysis_text")
+
+
+@register("nlp_enrichment")
+def q_nlp(spark, d):
+    return nlp_table(spark, d)
+
+
+@register("narrative_features")
+def q_features(spark, d):
+    return text_rules.narrative_features(nlp_table(spark, d), corpus_feature_rules())

@@ -379,3 +379,150 @@ SELECT substr(CAST(event_date AS VARCHAR), 1, 7) AS report_month, airport_code A
        count(*) AS investigation_count
 FROM trusted_investigations GROUP BY 1, 2, 3, 4, 5
 """)
+
+
+# ---------------------------------------------------------------- narrative text
+from riskmart.plans.roles import CORPUS_ENRICHMENT as _CE, CORPUS_FEATURES as _CF  # noqa: E402
+
+_WS = "[\\t\\n\\x0b\\f\\r \\x1c-\\x1f]+"
+
+
+def t_clean(x: str) -> str:
+    return (f"trim(regexp_replace(lower(translate(coalesce(CAST({x} AS VARCHAR), ''), '‘’“”', '''''\"\"')), "
+            f"'{_WS}', ' ', 'g'))")
+
+
+def t_match(clean: str) -> str:
+    return f"trim(regexp_replace({clean}, '[^a-z0-9]+', ' ', 'g'))"
+
+
+def t_join(parts: list[str]) -> str:
+    return "concat_ws(' ', " + ", ".join(f"nullif({p}, '')" for p in parts) + ")"
+
+
+def t_pad(x: str) -> str:
+    return f"(' ' || {x} || ' ')"
+
+
+def t_count(pad: str, phrases: list[str]) -> str:
+    ps = list(dict.fromkeys(phrases))
+    if not ps:
+        return "0"
+    return "(" + " + ".join(f"CAST(contains({pad}, {q(' ' + p + ' ')}) AS INTEGER)" for p in ps) + ")"
+
+
+def t_any(pad: str, phrases: list[str]) -> str:
+    ps = list(dict.fromkeys(phrases))
+    return "(" + " OR ".join(f"contains({pad}, {q(' ' + p + ' ')})" for p in ps) + ")" if ps else "FALSE"
+
+
+def t_rx(patterns: list[str]) -> str:
+    return q("|".join(f"(?:{p})" for p in patterns))
+
+
+def t_hyp(clean: str, patterns: list[str]) -> str:
+    return (f"coalesce(list_bool_or(list_transform(string_split_regex({clean}, '[.!?;]+'), "
+            f"lambda x: regexp_matches({t_match('x')}, {t_rx(patterns)}))), FALSE)")
+
+
+_OPT = ["assessments_contributing_factors_situations", "assessments_primary_problem", "narrative_synopsis"]
+CTE["nlp_text"] = f"""
+SELECT *, {t_join(['narrative_match_text', 'structured_match_text'])} AS analysis_text FROM (
+  SELECT *, {t_match('narrative_clean')} AS narrative_match_text FROM (
+    SELECT *, {t_clean('narrative')} AS narrative_clean,
+           {t_join([t_match(t_clean(c)) for c in _OPT + ['human_factors']])} AS structured_match_text
+    FROM trusted_reports))
+"""
+
+
+def _primary_sql(counts: dict[str, str], priority: list[str]) -> str:
+    best = "greatest(" + ", ".join(counts[t] for t in priority) + ")"
+    whens = " ".join(f"WHEN {counts[t]} = {best} AND {best} > 0 THEN {q(t)}" for t in priority)
+    return f"(CASE {whens} ELSE 'none' END)"
+
+
+def _nlp_sql(r: dict) -> str:
+    ana, st, na = t_pad("analysis_text"), t_pad("structured_match_text"), t_pad("narrative_match_text")
+    hyp = t_hyp("narrative_clean", r["hypothetical"])
+    explicit = f"({t_any(st, r['strong'])} OR ({t_any(na, r['strong'])} AND NOT {hyp}))"
+    contextual = f"({t_any(na, r['context'])} OR ({t_any(na, r['sleep_rest'])} AND {t_any(na, r['alertness'])}))"
+    tier = (f"(CASE WHEN {explicit} THEN 'high' WHEN {hyp} THEN 'low_or_none' WHEN {contextual} THEN 'medium' "
+            f"ELSE 'low_or_none' END)")
+    counts = {t: t_count(ana, p) for t, p in r["themes"].items()}
+    primary = _primary_sql(counts, r["theme_priority"])
+    primary = f"(CASE WHEN {primary} = 'communication' AND {explicit} THEN 'fatigue' ELSE {primary} END)"
+    flags = ",\n       ".join(f"CAST({counts[t]} > 0 AS INTEGER) AS theme_{t}_flag" for t in D.THEME_FLAG_ORDER)
+    kw = t_count(ana, r["keyword"])
+    return f"""
+SELECT report_id, strftime(event_date, '%Y-%m-%d') AS event_date, location, aircraft_operator, narrative,
+       human_factors, assessments_contributing_factors_situations, assessments_primary_problem, narrative_clean,
+       CAST({kw} > 0 AS INTEGER) AS fatigue_keyword_flag, {kw} AS fatigue_keyword_count,
+       {tier} AS fatigue_confidence_tier,
+       CAST({tier} IN ('high', 'medium') AS INTEGER) AS weak_fatigue_label,
+       {flags},
+       {primary} AS theme_primary_label
+FROM nlp_text
+"""
+
+
+CTE["nlp_enriched"] = _nlp_sql(_CE)
+NLP = uniq(REP, ["nlp_text"])
+
+ORACLE["text_normalised"] = with_ctes(NLP, """
+SELECT report_id, narrative_clean, narrative_match_text, structured_match_text, analysis_text FROM nlp_text
+""")
+ORACLE["nlp_enrichment"] = with_ctes(uniq(NLP, ["nlp_enriched"]), "SELECT * FROM nlp_enriched")
+
+
+def _ratio6_sql(num: str, den: str) -> str:
+    return f"round_even(CAST({num} AS DOUBLE) / ({den}), 6)"
+
+
+def _features_sql(r: dict) -> str:
+    raw = t_clean("narrative_clean")
+    ops = {f"operational_{t}_term_count": t_count(t_pad("_norm"), p) for t, p in r["operational"].items()}
+    noise = " + ".join(ops)
+    rx = t_rx(r["hypothetical"])
+
+    def cl_count(cond: str) -> str:
+        return f"len(list_filter(_clauses, lambda x: {cond}))"
+    both = list(r["explicit"]) + list(r["context"])
+    return f"""
+SELECT report_id, event_date, weak_fatigue_label, narrative_word_count, narrative_char_count, sentence_count,
+       first_person_pronoun_count, explicit_fatigue_term_count, fatigue_context_term_count,
+       explicit_fatigue_term_count + fatigue_context_term_count AS fatigue_keyword_count,
+       explicit_fatigue_clause_count, context_fatigue_clause_count, fatigue_clause_count,
+       hypothetical_fatigue_clause_count,
+       CAST(hypothetical_fatigue_clause_count > 0 AS INTEGER) AS hypothetical_fatigue_flag,
+       {", ".join(ops)}, {noise} AS operational_noise_count,
+       CASE WHEN narrative_word_count > 0
+            THEN {_ratio6_sql('explicit_fatigue_term_count + fatigue_context_term_count', 'narrative_word_count')}
+            ELSE 0.0 END AS fatigue_density,
+       CASE WHEN narrative_word_count > 0 THEN {_ratio6_sql(noise, 'narrative_word_count')} ELSE 0.0 END
+         AS operational_density,
+       CASE WHEN sentence_count > 0 THEN {_ratio6_sql('fatigue_clause_count', 'sentence_count')} ELSE 0.0 END
+         AS fatigue_clause_share,
+       CASE WHEN ({noise}) > 0
+            THEN {_ratio6_sql('explicit_fatigue_term_count + fatigue_context_term_count', noise)}
+            ELSE CAST(explicit_fatigue_term_count + fatigue_context_term_count AS DOUBLE) END AS fatigue_to_noise_ratio
+FROM (
+  SELECT report_id, event_date, CAST(weak_fatigue_label AS INTEGER) AS weak_fatigue_label,
+         CAST(CASE WHEN _norm = '' THEN 0 ELSE len(string_split(_norm, ' ')) END AS INTEGER) AS narrative_word_count,
+         CAST(length(_raw) AS INTEGER) AS narrative_char_count,
+         CAST(len(_clauses) AS INTEGER) AS sentence_count,
+         CAST(len(regexp_extract_all(_norm, {q(D.FIRST_PERSON_PATTERN)})) AS INTEGER) AS first_person_pronoun_count,
+         {t_count(t_pad('_norm'), r['explicit'])} AS explicit_fatigue_term_count,
+         {t_count(t_pad('_norm'), r['context'])} AS fatigue_context_term_count,
+         CAST({cl_count(t_any(t_pad('x'), r['explicit']))} AS INTEGER) AS explicit_fatigue_clause_count,
+         CAST({cl_count(t_any(t_pad('x'), r['context']))} AS INTEGER) AS context_fatigue_clause_count,
+         CAST({cl_count(t_any(t_pad('x'), both))} AS INTEGER) AS fatigue_clause_count,
+         CAST({cl_count(f"regexp_matches(x, {rx})")} AS INTEGER) AS hypothetical_fatigue_clause_count,
+         {", ".join(f"{v} AS {k}" for k, v in ops.items())}
+  FROM (SELECT *, {t_match('_raw')} AS _norm,
+               list_transform(list_filter(string_split_regex(_raw, '[.!?;]+'), lambda x: trim(x) <> ''),
+                              lambda x: {t_match('x')}) AS _clauses
+        FROM (SELECT *, {raw} AS _raw FROM nlp_enriched)))
+"""
+
+
+ORACLE["narrative_features"] = with_ctes(uniq(NLP, ["nlp_enriched"]), _features_sql(_CF))

@@ -365,3 +365,46 @@ SELECT event_id AS row_id, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS l
        floor(value / 5) / 100.0 AS score
 FROM events
 """
+
+
+# =========================================================================
+# Corpus rule sets for the invented ``documents`` prose.  The reference dictionaries
+# match none of these texts, so the registered text queries run the same operators with
+# dictionaries of common corpus words (frequent, rare and absent phrases mixed).
+# =========================================================================
+CORPUS_ENRICHMENT = dict(
+    keyword=["the", "of the", "de la", "der", "que", "it is", "been", "for the", "on the", "ein",
+             "las", "por", "con", "y", "sleep"],
+    strong=["of the", "de la", "der", "it is", "been", "las", "y"],
+    sleep_rest=["the", "for the", "on the", "por"],
+    alertness=["que", "con", "ein", "been"],
+    context=["for the", "on the", "por"],
+    hypothetical=[r"\bbeen(?:\s+\w+){0,3}\s+(?:the|of)\b", r"\bit\s+is\b", r"\bqui\s+\w+\s+la\b"],
+    themes={
+        "fatigue": ["the", "of the", "de la", "der", "que", "it is", "been", "for the", "on the", "ein",
+                    "las", "por", "con", "y", "sleep"],
+        "communication": ["and the", "de de", "la la", "with the", "readback"],
+        "distraction": ["tion", "ment", "eau"],
+        "workload": ["sch", "ci", "und"],
+        "procedure_checklist": ["los", "el", "du", "une"],
+        "ground_taxi_conflict": ["zu", "von", "den"],
+        "approach_landing_instability": ["le", "les", "et", "qui"],
+    },
+    theme_priority=["fatigue", "communication", "distraction", "workload", "ground_taxi_conflict",
+                    "approach_landing_instability", "procedure_checklist"],
+)
+
+CORPUS_FEATURES = dict(
+    explicit=["der", "die", "been", "it is", "las", "y", "por", "el", "worn out"],
+    context=["the", "of the", "de la", "que", "for the", "on the", "the the", "of of", "de de", "ein",
+             "con", "la de", "der die", "que la", "is the", "to the", "in the", "late night"],
+    hypothetical=[r"\bbeen(?:\s+\w+){0,3}\s+(?:the|of)\b", r"\bit\s+is\b", r"\bqui\s+\w+\s+la\b"],
+    operational={
+        "communication": ["and the", "de de", "la la", "with the"],
+        "workload": ["sch", "ci", "und"],
+        "distraction": ["tion", "ment", "eau"],
+        "procedure": ["los", "el", "du", "une"],
+        "approach_landing": ["le", "les", "et", "qui"],
+        "ground_taxi": ["zu", "von", "den", "tow bar"],
+    },
+)

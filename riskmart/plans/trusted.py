@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from riskmart.functions import dictionaries as D
 from riskmart.functions.scalars import (
     blank_or_null, blank_to_null, code_norm, indicator, in_window, lenient_double, map_lookup,
-    null_safe_sum, parse_month_first, parse_timestamp, py_strip, py_title, snake_case_columns,
+    null_safe_sum, parse_timestamp, py_strip, py_title, snake_case_columns, to_timestamp_col,
 )
 from riskmart.operators.quality import (
     drop_required_nulls, keep_first, validate_no_duplicates, validate_null_threshold,
@@ -56,7 +56,7 @@ def trusted_operations(raw: DataFrame, order: Sequence[str], window=D.STUDY_WIND
     validate_required_columns(df, D.OPERATIONS_REQUIRED)
     df = keep_first(df, D.OPERATIONS_KEYS, order)
     df = drop_required_nulls(df, D.OPERATIONS_REQUIRED)
-    ts = parse_timestamp(F.col("flight_date"))
+    ts = to_timestamp_col(df, "flight_date")
     df = df.withColumn("_ts", ts).where(F.col("_ts").isNotNull() & in_window(F.col("_ts"), window))
     df = df.withColumn("flight_date", F.to_date("_ts")).drop("_ts")
     df = _drop_helpers(df, order)
@@ -95,7 +95,7 @@ def trusted_reports(raw: DataFrame, order: Sequence[str], window=D.STUDY_WINDOW)
     validate_required_columns(df, D.REPORTS_REQUIRED)
     df = keep_first(df, D.REPORTS_KEYS, order)
     df = drop_required_nulls(df, D.REPORTS_NOT_NULL)
-    ts = parse_month_first(F.col("event_date"))
+    ts = to_timestamp_col(df, "event_date", month_first=True)
     df = df.withColumn("_ts", ts).where(F.col("_ts").isNotNull() & in_window(F.col("_ts"), window))
     df = df.withColumn("event_date", F.to_date("_ts")).drop("_ts")
     df = _drop_helpers(df, order)
@@ -178,7 +178,7 @@ def trusted_investigations(merged: DataFrame, order: Sequence[str | Column], win
     validate_required_columns(df, D.INVESTIGATIONS_REQUIRED)
     df = keep_first(df, D.INVESTIGATIONS_KEYS, order)
     df = drop_required_nulls(df, D.INVESTIGATIONS_REQUIRED, blank_is_null=True)
-    ts = parse_timestamp(F.col("event_date"))
+    ts = to_timestamp_col(df, "event_date")
     df = df.withColumn("_ts", ts).where(F.col("_ts").isNotNull() & in_window(F.col("_ts"), window))
     df = df.withColumn("event_date", F.to_date("_ts")).drop("_ts")
     norm = normalize_investigations(df)
@@ -241,7 +241,7 @@ def trusted_culture(raw: DataFrame, order: Sequence[str], null_threshold: float
 def event_features(trusted: DataFrame) -> DataFrame:
     """Rows with bad dates are kept (parts NULL)."""
     validate_required_columns(trusted, D.CULTURE_REQUIRED)
-    ts = parse_timestamp(F.col("event_date"))
+    ts = to_timestamp_col(trusted, "event_date").cast("timestamp_ntz")
     out = trusted.withColumns({
         "event_date": ts,
         "event_year": F.year(ts),
