@@ -277,3 +277,55 @@ def investigation_view(inv: DataFrame) -> DataFrame:
     return with_month(inv, "event_date").groupBy(
         "report_month", F.col("airport_code").alias("airport"), F.col("operator_name").alias("operator_group"),
         "investigation_category", "severity_normalized").agg(F.count(F.lit(1)).alias("investigation_count"))
+
+
+# ------------------------------------------------------------------ D1-D3 dashboard queries
+def kpi_and_concentration(overview: DataFrame) -> DataFrame:
+    """Monthly totals and each airport's share of the month's flight legs.
+
+    The overview holds one row per (month, airport), so the per-month window sees at most
+    #airports rows.
+    """
+    from pyspark.sql import Window
+    w = Window.partitionBy("report_month")
+    legs = F.coalesce(F.col("operational_flight_legs"), F.lit(0))
+    return overview.select(
+        "report_month", "airport",
+        legs.alias("operational_flight_legs"),
+        F.sum(legs).over(w).alias("month_flight_legs"),
+        F.sum(F.coalesce(F.col("asrs_report_count"), F.lit(0))).over(w).alias("month_report_count"),
+        F.sum(F.coalesce(F.col("ntsb_investigation_count"), F.lit(0))).over(w).alias("month_investigation_count"),
+        F.bround(F.try_divide(legs.cast("double"), F.sum(legs).over(w).cast("double")), 6).alias("airport_leg_share"),
+    )
+
+
+def investigation_mix(trends: DataFrame) -> DataFrame:
+    """Per month x category x severity: count, share of the month, change vs previous month."""
+    from pyspark.sql import Window
+    g = trends.groupBy("report_month", "investigation_category", "severity_normalized").agg(
+        F.sum("investigation_count").cast("long").alias("investigation_count"))
+    month = Window.partitionBy("report_month")
+    series = Window.partitionBy("investigation_category", "severity_normalized").orderBy("report_month")
+    return g.select(
+        "*",
+        F.bround(F.col("investigation_count") / F.sum("investigation_count").over(month), 6).alias("month_share"),
+        F.lag("investigation_count").over(series).alias("previous_month_count"),
+    )
+
+
+def theme_top_k(trends: DataFrame, k: int = 3) -> DataFrame:
+    """D3: top-k human-factor themes per month by report count, with month-to-month change.
+
+    The limit is the feature (a top-k report); ties share a rank and are all kept.
+    """
+    from pyspark.sql import Window
+    g = trends.groupBy("report_month", "human_factor_theme").agg(
+        F.sum("report_count").cast("long").alias("report_count"),
+        F.count_distinct("carrier").alias("carrier_count"))
+    series = Window.partitionBy("human_factor_theme").orderBy("report_month")
+    ranked = g.select(
+        "*",
+        F.lag("report_count").over(series).alias("previous_month_count"),
+        F.rank().over(Window.partitionBy("report_month").orderBy(F.desc("report_count"))).alias("theme_rank"),
+    )
+    return ranked.where(F.col("theme_rank") <= k)

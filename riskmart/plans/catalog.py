@@ -134,3 +134,95 @@ def q_nlp(spark, d):
 @register("narrative_features")
 def q_features(spark, d):
     return text_rules.narrative_features(nlp_table(spark, d), corpus_feature_rules())
+
+
+# ------------------------------------------------------------ quality kit, child collapse, starter features
+from riskmart.operators import quality as Q  # noqa: E402
+from riskmart.functions import dictionaries as D  # noqa: E402
+from riskmart.functions.scalars import in_window, to_timestamp_col  # noqa: E402
+
+
+@register("quality_metrics")
+def q_quality(spark, d):
+    """F6, V2, V3, V5, A12 as one long table (check_name, column_name, value)."""
+    raw = trusted.snake_case_columns(roles.operations_raw(spark, d))
+    dedup = keep_first(raw, D.OPERATIONS_KEYS, roles.OPERATIONS_ORDER)
+    present = Q.required_present(D.OPERATIONS_REQUIRED)
+    ts = to_timestamp_col(dedup, "flight_date")
+    valid = present & ts.isNotNull()
+    stages = dedup.agg(
+        F.count(F.lit(1)).alias("deduplicated_rows"),
+        F.count_if(~present).alias("required_null_rows"),
+        F.count_if(present & ts.isNull()).alias("invalid_date_rows"),
+        F.count_if(valid & ~in_window(ts, DRIVER_WINDOW)).alias("outside_window_rows"),
+        F.count_if(valid & in_window(ts, DRIVER_WINDOW)).alias("trusted_rows"),
+    )
+    names = ["deduplicated_rows", "required_null_rows", "invalid_date_rows", "outside_window_rows", "trusted_rows"]
+    parts = [
+        raw.agg(F.count(F.lit(1)).cast("double").alias("value"))
+           .select(F.lit("rows_loaded").alias("check_name"), F.lit("*").alias("column_name"), "value"),
+        stages.select(*[F.col(n).cast("double") for n in names])
+              .unpivot([], names, "check_name", "value").select("check_name", F.lit("*").alias("column_name"), "value"),
+        Q.null_profile(raw, D.OPERATIONS_REQUIRED)
+         .select(F.lit("null_count").alias("check_name"), "column_name", F.col("null_count").cast("double").alias("value")),
+    ]
+    li = roles.table(spark, d, "lineitem")
+    li_first = q_dedupe(spark, d)
+    cols = li.columns
+    parts += [
+        Q.count_duplicate_surplus(li, ["l_orderkey", "l_linenumber"])
+         .select(F.lit("key_duplicates").alias("check_name"), F.lit("l_orderkey,l_linenumber").alias("column_name"),
+                 F.col("duplicate_rows").cast("double").alias("value")),
+        Q.null_ratios(li_first).select(F.lit("null_ratio").alias("check_name"), "column_name",
+                                       F.col("null_ratio").alias("value")),
+        Q.low_variance_columns(li_first, cols).select(F.lit("distinct_count").alias("check_name"), "column_name",
+                                                      F.col("distinct_count").cast("double").alias("value")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("label_distribution")
+def q_labels(spark, d):
+    """V6 (value counts, NULL kept) of the weak label and of the primary theme."""
+    nlp = nlp_table(spark, d)
+    rep = t_reports(spark, d)
+    a = Q.value_distribution(rep, "quality_label").select(
+        F.lit("quality_label").alias("column_name"), F.col("quality_label").cast("string").alias("value"), "row_count")
+    b = Q.value_distribution(nlp, "theme_primary_label").select(
+        F.lit("theme_primary_label").alias("column_name"), F.col("theme_primary_label").alias("value"), "row_count")
+    c = Q.value_distribution(nlp, "fatigue_confidence_tier").select(
+        F.lit("fatigue_confidence_tier").alias("column_name"), F.col("fatigue_confidence_tier").alias("value"),
+        "row_count")
+    return a.unionByName(b).unionByName(c)
+
+
+@register("event_child_collapse")
+def q_child_collapse(spark, d):
+    """S4 at event grain: A6, A7, F5, J1, J2, G6 before the trusted filters."""
+    merged = trusted.investigation_events(
+        roles.investigation_events_raw(spark, d), roles.investigation_aircraft_raw(spark, d),
+        roles.investigation_injury_raw(spark, d), aircraft_order=F.col("src_order"))
+    return merged.select("ntsb_event_id", "injury_severity", "operator_name", "aircraft_damage")
+
+
+@register("event_features")
+def q_event_features(spark, d):
+    return trusted.event_features(t_culture(spark, d))
+
+
+@register("kpi_and_concentration")
+def q_kpi(spark, d):
+    return marts.kpi_and_concentration(q_overview(spark, d))
+
+
+@register("investigation_mix")
+def q_mix(spark, d):
+    return marts.investigation_mix(q_investigation(spark, d))
+
+
+@register("theme_top_k")
+def q_top_k(spark, d):
+    return marts.theme_top_k(q_fatigue(spark, d), 3)

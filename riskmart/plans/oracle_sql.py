@@ -526,3 +526,96 @@ FROM (
 
 
 ORACLE["narrative_features"] = with_ctes(uniq(NLP, ["nlp_enriched"]), _features_sql(_CF))
+
+
+# ---------------------------------------------------------------- quality kit and friends
+_OPS_REQ_NN = not_null(D.OPERATIONS_REQUIRED)
+_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+            "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_LI_FIRST = ORACLE["dedupe_keep_first"]
+ORACLE["quality_metrics"] = with_ctes(["ops_raw", "ops_dedup"], f""", li_first AS ({_LI_FIRST})
+SELECT 'rows_loaded' AS check_name, '*' AS column_name, CAST(count(*) AS DOUBLE) AS value FROM ops_raw
+UNION ALL
+SELECT check_name, '*', value FROM (
+  SELECT CAST(count(*) AS DOUBLE) AS deduplicated_rows,
+         CAST(count(*) FILTER (WHERE NOT ({_OPS_REQ_NN})) AS DOUBLE) AS required_null_rows,
+         CAST(count(*) FILTER (WHERE ({_OPS_REQ_NN}) AND _ts IS NULL) AS DOUBLE) AS invalid_date_rows,
+         CAST(count(*) FILTER (WHERE ({_OPS_REQ_NN}) AND _ts IS NOT NULL AND NOT ({in_window('_ts')})) AS DOUBLE)
+           AS outside_window_rows,
+         CAST(count(*) FILTER (WHERE ({_OPS_REQ_NN}) AND _ts IS NOT NULL AND {in_window('_ts')}) AS DOUBLE)
+           AS trusted_rows
+  FROM (SELECT *, {ts_parse('flight_date')} AS _ts FROM ops_dedup))
+UNPIVOT (value FOR check_name IN (deduplicated_rows, required_null_rows, invalid_date_rows, outside_window_rows,
+                                  trusted_rows))
+UNION ALL
+{" UNION ALL ".join(f"SELECT 'null_count', '{c}', CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) FROM ops_raw"
+                    for c in D.OPERATIONS_REQUIRED)}
+UNION ALL
+SELECT 'key_duplicates', 'l_orderkey,l_linenumber', CAST(count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS DOUBLE)
+FROM lineitem
+UNION ALL
+{" UNION ALL ".join(f"SELECT 'null_ratio', '{c}', avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) FROM li_first"
+                    for c in _LI_COLS)}
+UNION ALL
+{" UNION ALL ".join(f"SELECT 'distinct_count', '{c}', CAST(count(DISTINCT {c}) AS DOUBLE) FROM li_first"
+                    for c in _LI_COLS)}
+""")
+
+ORACLE["label_distribution"] = with_ctes(uniq(NLP, ["nlp_enriched"]), """
+SELECT 'quality_label' AS column_name, CAST(quality_label AS VARCHAR) AS value, count(*) AS row_count
+FROM trusted_reports GROUP BY ALL
+UNION ALL
+SELECT 'theme_primary_label', theme_primary_label, count(*) FROM nlp_enriched GROUP BY ALL
+UNION ALL
+SELECT 'fatigue_confidence_tier', fatigue_confidence_tier, count(*) FROM nlp_enriched GROUP BY ALL
+""")
+
+ORACLE["event_child_collapse"] = with_ctes(
+    ["inv_events", "inv_aircraft", "inv_injury", "aircraft_lookup", "injury_lookup", "inv_merged"], """
+SELECT ntsb_event_id, injury_severity, operator_name, aircraft_damage FROM inv_merged
+""")
+
+ORACLE["event_features"] = with_ctes(["cul_raw", "trusted_culture"], f"""
+SELECT event_id, employee_period_key, CAST({ts_parse('event_date')} AS TIMESTAMP) AS event_date, period_start_date,
+       source_system, base_location, fleet_group, severity_score, training_completion_rate, safety_engagement_score,
+       fatigue_training_flag, report_text, '***MASKED***' AS employee_id,
+       CAST(year({ts_parse('event_date')}) AS INTEGER) AS event_year,
+       CAST(month({ts_parse('event_date')}) AS INTEGER) AS event_month,
+       CAST(coalesce(contains(lower(source_system), 'asrs'), FALSE) AS INTEGER) AS is_fatigue_proxy,
+       CAST(length(coalesce(report_text, '')) AS INTEGER) AS report_text_length
+FROM trusted_culture
+""")
+
+_OVERVIEW_SQL = ORACLE["monthly_risk_overview"]
+ORACLE["kpi_and_concentration"] = f"""
+WITH ov AS ({_OVERVIEW_SQL})
+SELECT report_month, airport, coalesce(operational_flight_legs, 0) AS operational_flight_legs,
+       CAST(sum(coalesce(operational_flight_legs, 0)) OVER (PARTITION BY report_month) AS BIGINT) AS month_flight_legs,
+       CAST(sum(coalesce(asrs_report_count, 0)) OVER (PARTITION BY report_month) AS BIGINT) AS month_report_count,
+       CAST(sum(coalesce(ntsb_investigation_count, 0)) OVER (PARTITION BY report_month) AS BIGINT)
+         AS month_investigation_count,
+       round_even(CAST(coalesce(operational_flight_legs, 0) AS DOUBLE)
+                  / nullif(sum(coalesce(operational_flight_legs, 0)) OVER (PARTITION BY report_month), 0), 6)
+         AS airport_leg_share
+FROM ov
+"""
+
+ORACLE["investigation_mix"] = f"""
+WITH tr AS ({ORACLE["investigation_trends"]}),
+g AS (SELECT report_month, investigation_category, severity_normalized,
+             CAST(sum(investigation_count) AS BIGINT) AS investigation_count FROM tr GROUP BY ALL)
+SELECT *, round_even(CAST(investigation_count AS DOUBLE) / sum(investigation_count) OVER (PARTITION BY report_month), 6)
+         AS month_share,
+       lag(investigation_count) OVER (PARTITION BY investigation_category, severity_normalized ORDER BY report_month)
+         AS previous_month_count
+FROM g
+"""
+
+ORACLE["theme_top_k"] = f"""
+WITH tr AS ({ORACLE["fatigue_theme_trends"]}),
+g AS (SELECT report_month, human_factor_theme, CAST(sum(report_count) AS BIGINT) AS report_count,
+             count(DISTINCT carrier) AS carrier_count FROM tr GROUP BY ALL),
+r AS (SELECT *, lag(report_count) OVER (PARTITION BY human_factor_theme ORDER BY report_month) AS previous_month_count,
+             CAST(rank() OVER (PARTITION BY report_month ORDER BY report_count DESC) AS INTEGER) AS theme_rank FROM g)
+SELECT * FROM r WHERE theme_rank <= 3
+"""
