@@ -226,3 +226,42 @@ def q_mix(spark, d):
 @register("theme_top_k")
 def q_top_k(spark, d):
     return marts.theme_top_k(q_fatigue(spark, d), 3)
+
+
+# ------------------------------------------------------------ evaluation tables
+from riskmart.operators import evaluation as EV  # noqa: E402
+
+
+@register("stratified_folds")
+def q_folds(spark, d):
+    nlp = nlp_table(spark, d).select("report_id", "weak_fatigue_label")
+    return EV.stratified_folds(nlp, "report_id", "weak_fatigue_label", 3, 42)
+
+
+@register("pr_curve")
+def q_pr_curve(spark, d):
+    return EV.score_curve(roles.scored_rows(spark, d))
+
+
+@register("pr_threshold")
+def q_pr_threshold(spark, d):
+    curve = EV.score_curve(roles.scored_rows(spark, d))
+    a = EV.select_threshold(curve, compat_shift=True).withColumn("mode", F.lit("compat"))
+    b = EV.select_threshold(curve, compat_shift=False).withColumn("mode", F.lit("corrected"))
+    return a.unionByName(b)
+
+
+def _compat_threshold(spark, d) -> float:
+    curve = EV.score_curve(roles.scored_rows(spark, d))
+    return float(EV.select_threshold(curve, compat_shift=True).first()["threshold"])  # one row
+
+
+@register("classification_metrics")
+def q_metrics(spark, d):
+    return EV.metric_bundle(roles.scored_rows(spark, d), _compat_threshold(spark, d))
+
+
+@register("fold_metrics")
+def q_fold_metrics(spark, d):
+    scored = EV.stratified_folds(roles.scored_rows(spark, d), "row_id", "label", 3, 42)
+    return EV.fold_summary(scored, _compat_threshold(spark, d))

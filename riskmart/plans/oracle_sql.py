@@ -619,3 +619,106 @@ r AS (SELECT *, lag(report_count) OVER (PARTITION BY human_factor_theme ORDER BY
              CAST(rank() OVER (PARTITION BY report_month ORDER BY report_count DESC) AS INTEGER) AS theme_rank FROM g)
 SELECT * FROM r WHERE theme_rank <= 3
 """
+
+
+# ---------------------------------------------------------------- evaluation tables
+ORACLE["stratified_folds"] = with_ctes(uniq(NLP, ["nlp_enriched"]), """
+SELECT report_id, weak_fatigue_label,
+       CAST((row_number() OVER (ORDER BY weak_fatigue_label NULLS FIRST, md5(CAST(report_id AS VARCHAR) || ':42'),
+                                report_id) - 1) % 3 + 1 AS INTEGER) AS fold
+FROM nlp_enriched
+""")
+
+CTE["scored"] = ROLE["scored_rows"]
+
+
+def _curve_sql(src: str, group: str | None = None) -> str:
+    g = f"{group}, " if group else ""
+    part = f"PARTITION BY {group} " if group else ""
+    return f"""
+SELECT {g}threshold, positives, negatives, tp, fp, total_positives, total_negatives,
+       tp / (tp + fp) AS precision,
+       CASE WHEN total_positives > 0 THEN tp / total_positives ELSE 1.0 END AS recall,
+       CASE WHEN tp > 0 THEN 2 * tp / (2 * tp + fp + (total_positives - tp)) ELSE 0.0 END AS f1
+FROM (SELECT *, CAST(sum(positives) OVER ({part}ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp,
+             CAST(sum(negatives) OVER ({part}ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fp,
+             CAST(sum(positives) OVER ({part.strip()}) AS BIGINT) AS total_positives,
+             CAST(sum(negatives) OVER ({part.strip()}) AS BIGINT) AS total_negatives
+      FROM (SELECT {g}score AS threshold, count(*) FILTER (WHERE label = 1) AS positives,
+                   count(*) FILTER (WHERE label = 0) AS negatives
+            FROM {src} GROUP BY ALL))
+"""
+
+
+CTE["curve"] = _curve_sql("scored")
+_SHIFT = ("CASE WHEN (tp - positives) > 0 THEN 2 * (tp - positives) / (2 * (tp - positives) + (fp - negatives) "
+          "+ (total_positives - (tp - positives))) ELSE 0.0 END")
+
+
+def _threshold_sql(f1: str, mode: str) -> str:
+    return (f"SELECT round_even(threshold, 6) AS threshold, 'oof_pr_curve_max_f1' AS strategy, "
+            f"round_even(f1x, 4) AS best_f1, '{mode}' AS mode FROM (SELECT threshold, {f1} AS f1x FROM curve) "
+            f"ORDER BY f1x DESC, threshold ASC LIMIT 1")
+
+
+ORACLE["pr_curve"] = with_ctes(["scored", "curve"], "SELECT * FROM curve")
+ORACLE["pr_threshold"] = with_ctes(["scored", "curve"], f"""
+({_threshold_sql(_SHIFT, 'compat')}) UNION ALL ({_threshold_sql('f1', 'corrected')})
+""")
+CTE["thr"] = _threshold_sql(_SHIFT, "compat")
+
+
+def _sd(a: str, b: str) -> str:
+    return f"(CASE WHEN ({b}) > 0 THEN ({a}) / ({b}) ELSE 0.0 END)"
+
+
+_P1, _R1 = _sd("tp", "tp + fp"), _sd("tp", "tp + fn")
+_P0, _R0 = _sd("tn", "tn + fn"), _sd("tn", "tn + fp")
+_F11, _F10 = _sd(f"2 * {_P1} * {_R1}", f"{_P1} + {_R1}"), _sd(f"2 * {_P0} * {_R0}", f"{_P0} + {_R0}")
+_N = "(tp + fp + tn + fn)"
+_METRICS = {
+    "positive_precision": _P1, "positive_recall": _R1, "positive_f1": _F11, "positive_support": "tp + fn",
+    "negative_precision": _P0, "negative_recall": _R0, "negative_f1": _F10, "negative_support": "tn + fp",
+    "macro_precision": f"({_P1} + {_P0}) / 2", "macro_recall": f"({_R1} + {_R0}) / 2",
+    "macro_f1": f"({_F11} + {_F10}) / 2",
+    "weighted_precision": _sd(f"{_P1} * (tp + fn) + {_P0} * (tn + fp)", _N),
+    "weighted_recall": _sd(f"{_R1} * (tp + fn) + {_R0} * (tn + fp)", _N),
+    "weighted_f1": _sd(f"{_F11} * (tp + fn) + {_F10} * (tn + fp)", _N),
+    "accuracy": _sd("tp + tn", _N), "average_precision": "average_precision", "roc_auc": "roc_auc",
+    "tn": "tn", "fp": "fp", "fn": "fn", "tp": "tp", "predicted_positive_rate": _sd("tp + fp", _N),
+}
+_AP = (f"sum({_sd('positives', 'total_positives')} * (tp / (tp + fp)))")
+_AUC = (f"sum({_sd('negatives', 'total_negatives')} * {_sd('2 * tp - positives', '2 * total_positives')})")
+ORACLE["classification_metrics"] = with_ctes(["scored", "curve", "thr"], f"""
+, cm AS (SELECT CAST(count(*) FILTER (WHERE score >= t AND label = 1) AS BIGINT) AS tp,
+                CAST(count(*) FILTER (WHERE score >= t AND label = 0) AS BIGINT) AS fp,
+                CAST(count(*) FILTER (WHERE score < t AND label = 0) AS BIGINT) AS tn,
+                CAST(count(*) FILTER (WHERE score < t AND label = 1) AS BIGINT) AS fn
+         FROM scored, (SELECT threshold AS t FROM thr)),
+rs AS (SELECT {_AP} AS average_precision, {_AUC} AS roc_auc FROM curve),
+wide AS (SELECT {", ".join(f"round_even(CAST({v} AS DOUBLE), 4) AS {k}" for k, v in _METRICS.items())} FROM cm, rs)
+SELECT metric, value FROM wide UNPIVOT (value FOR metric IN ({", ".join(_METRICS)}))
+""")
+
+CTE["scored_folds"] = """
+SELECT *, CAST((row_number() OVER (ORDER BY label NULLS FIRST, md5(CAST(row_id AS VARCHAR) || ':42'), row_id) - 1)
+               % 3 + 1 AS INTEGER) AS fold
+FROM scored
+"""
+CTE["fold_curve"] = _curve_sql("scored_folds", "fold")
+ORACLE["fold_metrics"] = with_ctes(["scored", "curve", "thr", "scored_folds", "fold_curve"], f"""
+, cm AS (SELECT fold, CAST(count(*) FILTER (WHERE score >= t AND label = 1) AS BIGINT) AS tp,
+                CAST(count(*) FILTER (WHERE score >= t AND label = 0) AS BIGINT) AS fp,
+                CAST(count(*) FILTER (WHERE score < t AND label = 0) AS BIGINT) AS tn,
+                CAST(count(*) FILTER (WHERE score < t AND label = 1) AS BIGINT) AS fn, any_value(t) AS t
+         FROM scored_folds, (SELECT threshold AS t FROM thr) GROUP BY fold),
+ap AS (SELECT fold, {_AP} AS average_precision FROM fold_curve GROUP BY fold),
+tot AS (SELECT count(*) AS n, count(*) FILTER (WHERE label = 1) AS p FROM scored)
+SELECT cm.fold, n - (tp + fp + tn + fn) AS train_rows, tp + fp + tn + fn AS test_rows,
+       p - (tp + fn) AS train_positive_rows, tp + fn AS test_positive_rows,
+       round_even({_P1}, 4) AS precision, round_even({_R1}, 4) AS recall, round_even({_F11}, 4) AS f1,
+       tp + fn AS support, round_even(average_precision, 4) AS average_precision,
+       round_even({_sd('tp + fp', 'tp + fp + tn + fn')}, 4) AS predicted_positive_rate,
+       round_even(t, 6) AS decision_threshold
+FROM cm JOIN ap ON cm.fold = ap.fold, tot
+""")
