@@ -265,3 +265,61 @@ def q_metrics(spark, d):
 def q_fold_metrics(spark, d):
     scored = EV.stratified_folds(roles.scored_rows(spark, d), "row_id", "label", 3, 42)
     return EV.fold_summary(scored, _compat_threshold(spark, d))
+
+
+# ------------------------------------------------------------ model stages
+from riskmart.operators import models as MD  # noqa: E402
+
+_BENCH_CACHE: dict = {}
+
+
+def _benchmark(spark, d):
+    """The benchmark fits four models; its four output tables come from one run per session."""
+    key = (id(spark), d)
+    if key not in _BENCH_CACHE:
+        _BENCH_CACHE[key] = MD.fatigue_benchmark(nlp_table(spark, d))
+    return _BENCH_CACHE[key]
+
+
+@register("tfidf_weights")
+def q_tfidf(spark, d):
+    nlp = nlp_table(spark, d).select("report_id", "narrative_clean")
+    terms = MD.doc_terms(nlp, "report_id", "narrative_clean")
+    vocab = MD.idf_vocabulary(terms, "report_id")
+    w = MD.tfidf_weights(terms, vocab, "report_id")
+    return w.select("report_id", "term", (F.round(F.col("weight") * 1e8, 0) / 1e8).alias("weight"))
+
+
+@register("fatigue_benchmark_predictions")
+def q_bench_preds(spark, d):
+    status, preds, _, _ = _benchmark(spark, d)
+    return preds if preds is not None else status
+
+
+@register("fatigue_benchmark_folds")
+def q_bench_folds(spark, d):
+    status, _, folds, _ = _benchmark(spark, d)
+    return folds if folds is not None else status
+
+
+@register("top_terms")
+def q_top_terms(spark, d):
+    status, _, _, terms = _benchmark(spark, d)
+    return terms if terms is not None else status
+
+
+@register("fatigue_benchmark_summary")
+def q_bench_summary(spark, d):
+    return _benchmark(spark, d)[0]
+
+
+@register("imputed_features")
+def q_imputed(spark, d):
+    feats = MD.training_target(trusted.event_features(t_culture(spark, d)))
+    keep, numeric, categorical = MD.select_model_features(feats)
+    return MD.impute(feats, numeric, categorical).select("event_id", "elevated_risk_flag", *keep)
+
+
+@register("risk_model_summary")
+def q_risk_model(spark, d):
+    return MD.train_risk_model(trusted.event_features(t_culture(spark, d)))

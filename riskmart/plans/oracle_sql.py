@@ -722,3 +722,37 @@ SELECT cm.fold, n - (tp + fp + tn + fn) AS train_rows, tp + fp + tn + fn AS test
        round_even(t, 6) AS decision_threshold
 FROM cm JOIN ap ON cm.fold = ap.fold, tot
 """)
+
+
+# ---------------------------------------------------------------- TF-IDF weights (M7)
+ORACLE["tfidf_weights"] = with_ctes(uniq(NLP, ["nlp_enriched"]), """
+, toks AS (SELECT report_id, regexp_extract_all(strip_accents(lower(coalesce(narrative_clean, ''))),
+                                              '[\\pL\\pN_]{2,}') AS t FROM nlp_enriched),
+grams AS (SELECT report_id, unnest(t || list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS term
+          FROM toks),
+tf AS (SELECT report_id, term, count(*) AS tf FROM grams GROUP BY ALL),
+nd AS (SELECT count(DISTINCT report_id) AS n FROM tf),
+vocab AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+v AS (SELECT term, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM vocab, nd WHERE df >= 2 AND df <= 0.95 * n),
+w AS (SELECT tf.report_id, tf.term, (1.0 + ln(tf.tf)) * v.idf AS w FROM tf JOIN v ON tf.term = v.term),
+nrm AS (SELECT report_id, sqrt(sum(w * w)) AS nrm FROM w GROUP BY report_id)
+SELECT w.report_id, w.term, round(w.w / nrm.nrm, 8) AS weight FROM w JOIN nrm ON w.report_id = nrm.report_id
+""")
+
+# M1-M3: target, low-variance screen and imputation (exact median, most frequent with smallest on ties)
+ORACLE["imputed_features"] = with_ctes(["cul_raw", "trusted_culture"], """
+, f AS (SELECT *, CAST(coalesce(severity_score, 0) > 0 AS INTEGER) AS elevated_risk_flag FROM trusted_culture),
+med AS (SELECT median(training_completion_rate) AS m1, median(safety_engagement_score) AS m2,
+               median(CAST(fatigue_training_flag AS DOUBLE)) AS m3,
+               median(CAST(length(coalesce(report_text, '')) AS DOUBLE)) AS m4,
+               median(CAST(year(CAST(event_date AS DATE)) AS DOUBLE)) AS m5,
+               median(CAST(month(CAST(event_date AS DATE)) AS DOUBLE)) AS m6 FROM f)
+SELECT event_id, elevated_risk_flag, base_location, fleet_group,
+       coalesce(training_completion_rate, m1) AS training_completion_rate,
+       coalesce(safety_engagement_score, m2) AS safety_engagement_score,
+       coalesce(CAST(fatigue_training_flag AS DOUBLE), m3) AS fatigue_training_flag,
+       report_text,
+       coalesce(CAST(year(CAST(event_date AS DATE)) AS DOUBLE), m5) AS event_year,
+       coalesce(CAST(month(CAST(event_date AS DATE)) AS DOUBLE), m6) AS event_month
+FROM f, med
+""")
