@@ -40,10 +40,10 @@ def source_order_columns(df: DataFrame) -> tuple[DataFrame, list[str]]:
     Spark lists files by size, so the raw row id alone is not file order.  The id is
     ``monotonically_increasing_id`` which is increasing within each input split.
     """
-    out = (df.withColumn("_src_file", F.col("_metadata.file_name"))
-             .withColumn("_src_block", F.col("_metadata.file_block_start"))
-             .withColumn("_src_row", F.monotonically_increasing_id()))
-    return out, ["_src_file", "_src_block", "_src_row"]
+    out = (df.withColumn("src_file", F.col("_metadata.file_name"))
+             .withColumn("src_block", F.col("_metadata.file_block_start"))
+             .withColumn("src_row", F.monotonically_increasing_id()))
+    return out, ["src_file", "src_block", "src_row"]
 
 
 # ------------------------------------------------------------------ F1

@@ -21,7 +21,7 @@ def ts_parse(expr: str) -> str:
     e = f"trim(CAST({expr} AS VARCHAR))"
     return (f"COALESCE(try_strptime({e}, '%Y-%m-%d %H:%M:%S'), try_strptime({e}, '%Y-%m-%d'), "
             f"try_strptime({e}, '%Y-%m-%dT%H:%M:%S'), try_strptime({e}, '%Y/%m/%d'), "
-            f"try_strptime({e}, '%m/%d/%Y'))")
+            f"try_strptime({e}, '%m/%d/%Y'), try_strptime({e}, '%Y%m%d'))")
 
 
 def ts_parse_month_first(expr: str) -> str:
