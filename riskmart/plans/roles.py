@@ -203,7 +203,7 @@ def culture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_acctbal") / 1000).alias("severity_score"),
         F.when((seg == "HOUSEHOLD") & (F.col("c_acctbal") < 0), F.lit(None).cast("double"))
          .otherwise((F.col("c_acctbal") + 1000) / 11000).alias("training_completion_rate"),
-        F.when(seg == "AUTOMOBILE", F.lit(None).cast("double"))
+        F.when((seg == "AUTOMOBILE") & (F.col("c_acctbal") < 5000), F.lit(None).cast("double"))
          .otherwise(F.col("c_acctbal") / 2500 + 1).alias("safety_engagement_score"),
         F.when(seg.isin("BUILDING", "MACHINERY"), F.lit(1)).otherwise(F.lit(0)).alias("fatigue_training_flag"),
         F.col("c_name").alias("report_text"),
@@ -350,7 +350,8 @@ SELECT
   c.c_acctbal / 1000 AS severity_score,
   CASE WHEN c.c_mktsegment = 'HOUSEHOLD' AND c.c_acctbal < 0 THEN NULL
        ELSE (c.c_acctbal + 1000) / 11000 END AS training_completion_rate,
-  CASE WHEN c.c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE c.c_acctbal / 2500 + 1 END AS safety_engagement_score,
+  CASE WHEN c.c_mktsegment = 'AUTOMOBILE' AND c.c_acctbal < 5000 THEN NULL ELSE c.c_acctbal / 2500 + 1 END
+    AS safety_engagement_score,
   CASE WHEN c.c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 1 ELSE 0 END AS fatigue_training_flag,
   c.c_name AS report_text,
   c.c_name AS employee_id
