@@ -285,7 +285,7 @@ def _benchmark(spark, d):
 def q_tfidf(spark, d):
     nlp = nlp_table(spark, d).select("report_id", "narrative_clean")
     terms = MD.doc_terms(nlp, "report_id", "narrative_clean")
-    vocab = MD.idf_vocabulary(terms, "report_id")
+    vocab = MD.idf_vocabulary(terms, nlp)
     w = MD.tfidf_weights(terms, vocab, "report_id")
     return w.select("report_id", "term", (F.round(F.col("weight") * 1e8, 0) / 1e8).alias("weight"))
 

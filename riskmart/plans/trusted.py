@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskmart.functions import dictionaries as D
 from riskmart.functions.scalars import (
-    blank_or_null, blank_to_null, code_norm, indicator, in_window, lenient_double, map_lookup,
+    blank_or_null, blank_to_null, code_norm, indicator, in_window, lenient_double, lenient_double_of, map_lookup,
     null_safe_sum, parse_timestamp, py_strip, py_title, snake_case_columns, to_timestamp_col,
 )
 from riskmart.operators.quality import (
@@ -60,8 +60,8 @@ def trusted_operations(raw: DataFrame, order: Sequence[str], window=D.STUDY_WIND
     df = df.withColumn("_ts", ts).where(F.col("_ts").isNotNull() & in_window(F.col("_ts"), window))
     df = df.withColumn("flight_date", F.to_date("_ts")).drop("_ts")
     df = _drop_helpers(df, order)
-    dep = lenient_double("dep_delay") if "dep_delay" in df.columns else F.lit(None).cast("double")
-    arr = lenient_double("arr_delay") if "arr_delay" in df.columns else F.lit(None).cast("double")
+    dep = lenient_double_of(df, "dep_delay") if "dep_delay" in df.columns else F.lit(None).cast("double")
+    arr = lenient_double_of(df, "arr_delay") if "arr_delay" in df.columns else F.lit(None).cast("double")
     cancelled = indicator("cancelled")
     diverted = indicator("diverted")
     return df.withColumns({
