@@ -1,0 +1,5 @@
+"""Structured Streaming entry points (incremental trusted ingestion).
+
+The reference has no streaming capability; this package only lets the operations
+adapter run file by file as extracts arrive, with the same trusted transforms.
+"""

@@ -1,0 +1,19 @@
+import os
+
+from conftest import write_csv
+from riskmart.streaming.ingest import start_operations_ingest
+
+HEADER = ["FlightDate", "Reporting_Airline", "Flight_Number_Reporting_Airline", "Origin", "Dest",
+          "DepDelay", "ArrDelay", "Cancelled", "Diverted"]
+
+
+def test_incremental_ingest_drops_cross_file_duplicates(spark, tmp):
+    src = os.path.join(tmp, "in")
+    write_csv(src, "a.csv", HEADER, [["2025-01-03", "DL", "1045", "ATL", "JFK", 12, 6, 0, 0],
+                                     ["2025-01-05", "DL", "2201", "MSP", "DTW", 0, -3, 0, 0]])
+    write_csv(src, "b.csv", HEADER, [["2025-01-03", "DL", "1045", "ATL", "JFK", 12, 6, 0, 0],
+                                     ["2025-03-05", "DL", "9", "MSP", "DTW", 0, -3, 0, 0]])
+    q = start_operations_ingest(spark, src, HEADER, os.path.join(tmp, "out"), os.path.join(tmp, "ckpt"))
+    q.awaitTermination(120)
+    out = spark.read.parquet(os.path.join(tmp, "out"))
+    assert sorted(r.flight_number for r in out.collect()) == ["1045", "2201"]
