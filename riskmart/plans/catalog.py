@@ -323,3 +323,22 @@ def q_imputed(spark, d):
 @register("risk_model_summary")
 def q_risk_model(spark, d):
     return MD.train_risk_model(trusted.event_features(t_culture(spark, d)))
+
+
+# ------------------------------------------------------------ CSV connector path
+@register("operations_from_csv")
+def q_ops_csv(spark, d):
+    """The disruption mart through the CSV connector: the operations role view is written as
+    headered CSV (sorted, so file order equals the role order) under the checkpoint folder and
+    read back with the folder source; the result must equal the Parquet path."""
+    import uuid
+    from riskmart.session import checkpoint_dir
+    from riskmart.operators.quality import source_order_columns
+    from riskmart.sources.files import read_csv_folder, write_table
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/csv-roundtrip-{uuid.uuid4().hex}"
+    keys = ["flight_date", "reporting_airline", "flight_number", "origin", "dest"]
+    raw = roles.operations_raw(spark, d).orderBy(*keys, *roles.OPERATIONS_ORDER)
+    write_table(raw.drop(*roles.OPERATIONS_ORDER), folder, "csv")
+    back, order = source_order_columns(read_csv_folder(spark, folder, lineage=True))
+    ops = trusted.trusted_operations(back, order, DRIVER_WINDOW)
+    return marts.operational_disruption_summary(ops, airports(spark, d), DIGITS)

@@ -756,3 +756,5 @@ SELECT event_id, elevated_risk_flag, base_location, fleet_group,
        coalesce(CAST(month(CAST(event_date AS DATE)) AS DOUBLE), m6) AS event_month
 FROM f, med
 """)
+
+ORACLE["operations_from_csv"] = ORACLE["operational_disruption_summary"]
