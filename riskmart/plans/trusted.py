@@ -127,8 +127,12 @@ def injury_lookup(injury: DataFrame) -> DataFrame:
     rank = map_lookup(level, {k: str(v) for k, v in D.INJURY_LEVEL_RANK.items()}, None).cast("int")
     kept = (inj.select(F.col("ev_id"), level.alias("lvl"), count.alias("cnt"), rank.alias("rnk"))
                .where(F.col("lvl").isin(list(D.INJURY_LEVEL_RANK)) & (F.col("cnt") > 0)))
-    return kept.groupBy(F.col("ev_id").alias("ntsb_event_id")).agg(
-        F.max_by("lvl", "rnk").alias("injury_severity_from_injury"))
+    # the level is a 1:1 function of its rank: max(rank) (a hash aggregate on an int) mapped
+    # back to the level equals max_by(level, rank) without a sort-based aggregate.
+    by_rank = {str(v): k for k, v in D.INJURY_LEVEL_RANK.items()}
+    top = kept.groupBy(F.col("ev_id").alias("ntsb_event_id")).agg(F.max("rnk").alias("_top"))
+    return top.select("ntsb_event_id",
+                      map_lookup(F.col("_top").cast("string"), by_rank, None).alias("injury_severity_from_injury"))
 
 
 def investigation_events(events: DataFrame, aircraft: DataFrame | None, injury: DataFrame | None,
