@@ -108,15 +108,16 @@ def trusted_reports(raw: DataFrame, order: Sequence[str], window=D.STUDY_WINDOW)
 def aircraft_lookup(aircraft: DataFrame, order: Column) -> DataFrame:
     """Per event, first non-blank trimmed operator and damage in source order."""
     ac = snake_case_columns(aircraft).where(F.col("ev_id").isNotNull())
+    ac = ac.select("ev_id", order.alias("_ord"), py_strip(F.col("oper_name").cast("string")).alias("_op"),
+                   py_strip(F.col("damage").cast("string")).alias("_dm"))
 
-    def first_non_empty(c: str) -> Column:
-        v = py_strip(F.col(c).cast("string"))
-        return F.min_by(v, F.when(v != "", order))
+    def first_non_empty(v: str) -> Column:
+        # min over (order, value) of the non-blank rows: the value at the smallest order
+        return F.min(F.when(F.col(v) != "", F.struct(F.col("_ord"), F.col(v).alias("v"))))
 
-    return ac.groupBy(F.col("ev_id").alias("ntsb_event_id")).agg(
-        first_non_empty("oper_name").alias("operator_name"),
-        first_non_empty("damage").alias("aircraft_damage"),
-    )
+    agg = ac.groupBy(F.col("ev_id").alias("ntsb_event_id")).agg(
+        first_non_empty("_op").alias("_o"), first_non_empty("_dm").alias("_d"))
+    return agg.select("ntsb_event_id", F.col("_o.v").alias("operator_name"), F.col("_d.v").alias("aircraft_damage"))
 
 
 def injury_lookup(injury: DataFrame) -> DataFrame:
