@@ -49,13 +49,25 @@ def _drop_helpers(df: DataFrame, helpers: Sequence[str]) -> DataFrame:
 
 
 # ============================================================ operations (E1.3)
-def trusted_operations(raw: DataFrame, order: Sequence[str], window=D.STUDY_WINDOW) -> DataFrame:
-    """S2 -> P1 -> P2 -> V1 -> F4 -> F1 -> F2 -> G1..G5."""
+def _watch(df: DataFrame, observe: dict | None, step: str) -> DataFrame:
+    if observe and step in observe:
+        return df.observe(observe[step], F.count(F.lit(1)).alias("rows"))
+    return df
+
+
+def trusted_operations(raw: DataFrame, order: Sequence[str], window=D.STUDY_WINDOW,
+                       observe: dict | None = None) -> DataFrame:
+    """S2 -> P1 -> P2 -> V1 -> F4 -> F1 -> F2 -> G1..G5.
+
+    ``observe`` optionally maps stage names (loaded, deduplicated, required_present) to
+    ``Observation`` objects filled by whatever job finally runs the plan (F6).
+    """
     df = snake_case_columns(raw)
     df = rename_if_absent(df, D.OPERATIONS_ALIASES)
     validate_required_columns(df, D.OPERATIONS_REQUIRED)
-    df = keep_first(df, D.OPERATIONS_KEYS, order)
-    df = drop_required_nulls(df, D.OPERATIONS_REQUIRED)
+    df = _watch(df, observe, "loaded")
+    df = _watch(keep_first(df, D.OPERATIONS_KEYS, order), observe, "deduplicated")
+    df = _watch(drop_required_nulls(df, D.OPERATIONS_REQUIRED), observe, "required_present")
     ts = to_timestamp_col(df, "flight_date")
     df = df.withColumn("_ts", ts).where(F.col("_ts").isNotNull() & in_window(F.col("_ts"), window))
     df = df.withColumn("flight_date", F.to_date("_ts")).drop("_ts")
@@ -261,3 +273,22 @@ def event_features(trusted: DataFrame) -> DataFrame:
         if c in out.columns:
             out = out.withColumn(c, F.lit(D.MASK_LITERAL))
     return out
+
+
+# ============================================================ build + write with counters
+def write_trusted_operations(raw: DataFrame, order: Sequence[str], path: str, window=D.STUDY_WINDOW,
+                             partition_by: Sequence[str] = ("flight_date",)) -> list[tuple[str, str, int]]:
+    """Build the trusted operations table, write it (always, even when empty) and return the
+    stage counters (rows loaded / after de-dup / after required-null filter / written).
+
+    The counters are ``DataFrame.observe`` metrics collected by the write job itself, so no
+    extra pass over the data is made.
+    """
+    from pyspark.sql import Observation
+    obs = {k: Observation(f"ops_{k}") for k in ("loaded", "deduplicated", "required_present", "written")}
+    out = _watch(trusted_operations(raw, order, window, observe=obs), obs, "written")
+    w = out.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return [("operations", k, int(o.get["rows"])) for k, o in obs.items()]

@@ -59,3 +59,14 @@ def test_rate_half_even(spark, tmp):
     write_csv(os.path.join(tmp, "ops"), "a.csv", HEADER, rows)
     m = marts.operational_disruption_summary(_trusted(spark, os.path.join(tmp, "ops"))).collect()
     assert m[0].cancellation_rate == 0.0012 and m[0].flight_leg_count == 800
+
+
+def test_write_with_observed_counters(spark, tmp):
+    from riskmart.plans.trusted import write_trusted_operations
+    rows = SAMPLE + [["bad", "DL", "7", "ATL", "JFK", 1, 1, 0, 0, "x"], ["2025-01-09", "DL", "8", "ATL", "JFK", 1, 1, None, 0, "y"]]
+    write_csv(os.path.join(tmp, "ops"), "a.csv", HEADER, rows)
+    raw, order = source_order_columns(read_csv_folder(spark, os.path.join(tmp, "ops"), lineage=True))
+    counters = dict((k, v) for _, k, v in write_trusted_operations(raw, order, os.path.join(tmp, "trusted")))
+    assert counters == {"loaded": 8, "deduplicated": 7, "required_present": 6, "written": 5}
+    back = spark.read.parquet(os.path.join(tmp, "trusted"))
+    assert back.count() == 5 and "flight_date" in back.columns
