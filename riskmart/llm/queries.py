@@ -7,17 +7,26 @@ sketch, DOM trees, archives) and is tested against brute force in ``tests/llm``.
 from __future__ import annotations
 
 from riskmart.llm.bpe import op6_bpe_round_trip
+from riskmart.llm.embedding_dedup import OP1_SQL, op1_embedding_near_dedup
+from riskmart.llm.jaccard_join import op4_ngram_jaccard_join
+from riskmart.llm.mixing import OP5_SQL, op5_mix_sources
 from riskmart.llm.order_minhash import op7_fingerprints
 from riskmart.llm.quality import op8_quality_classifier
 from riskmart.llm.secrets_scan import op9_secret_scan
 from riskmart.llm.token_counts import op2_token_counts
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_token_counts": op2_token_counts,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_mix_sources": op5_mix_sources,
     "op6_bpe_round_trip": op6_bpe_round_trip,
     "op7_fingerprints": op7_fingerprints,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_secret_scan": op9_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_near_dedup": OP1_SQL,
+    "op5_mix_sources": OP5_SQL,
+}
