@@ -77,28 +77,32 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     are interchangeable.  ``keep`` lists the columns that stay (all by default).
     """
     new = ("size", "source_size", "target", "copies", "taken")
-    spark = df.sparkSession
     kept = [c for c in (keep if keep is not None else df.columns) if c not in new]
-    wide = len(kept) > 2
     u, q, b, src = fresh(df.select(*kept), "mix_u", "mix_rank", "mix_bucket", "mix_source")
-    base = df.select(*kept, F.col(source_col).alias(src), word_count(F.col(text_col)).alias("size"),
-                     uniform(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
-                                         F.when(F.col(id_col).isNull(), F.md5(F.col(text_col).cast("binary"))).otherwise("")), seed).alias(u))
-    if not wide:
-        base = materialize(base, "mix-sizes")
-    targets = materialize(source_targets(base, src, "size", weights, share, most), "mix-targets")
+    key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
+                      F.when(F.col(id_col).isNull(), F.md5(F.col(text_col).cast("binary"))).otherwise(""))
+    facts = [F.col(source_col).alias(src), word_count(F.col(text_col)).alias("size"), uniform(key, seed).alias(u)]
+    if text_col in kept:  # wide rows are read again at the end
+        base, narrow = df.select(*kept, *facts), materialize(df.select(*facts), "mix-sizes")
+    else:
+        base = narrow = materialize(df.select(*kept, *facts), "mix-sizes")
+    targets = materialize(source_targets(narrow, src, "size", weights, share, most), "mix-targets")
     per = targets.select(F.col("source").alias("t_source"), "source_size", "n_docs", "target",
                          (F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).alias("t_ratio"))
     per = (per.withColumn("t_whole", F.floor("t_ratio")).withColumn("t_part", F.col("t_ratio") - F.col("t_whole"))
            .withColumn("t_rest", F.col("target") - F.col("t_whole") * F.col("source_size"))
            .withColumn("t_mean", F.col("source_size") / F.col("n_docs"))
            .withColumn("t_buckets", F.ceil(F.col("n_docs") / BUCKET_ROWS) * 16))
-    joined = base.join(broadcast_below(per, 1_000_000), F.col(src).eqNullSafe(F.col("t_source")))
-    inclusion = F.least(F.lit(0.98), F.greatest(F.lit(0.02), F.col("t_part") * F.sqrt(F.col("size") / F.col("t_mean"))))
-    rank = (F.col(u) / (1 - F.col(u))) * ((1 - inclusion) / inclusion)
-    ranked = joined.withColumn(q, rank).withColumn(
-        b, F.least(F.col("t_buckets") - 1, F.floor(F.col(q) / (1 + F.col(q)) * F.col("t_buckets"))))
-    live = ranked.where("size > 0 and t_rest > 0")
+
+    def ranking(rows: DataFrame) -> DataFrame:
+        joined = rows.join(broadcast_below(per, 1_000_000), F.col(src).eqNullSafe(F.col("t_source")))
+        inclusion = F.least(F.lit(0.98), F.greatest(F.lit(0.02), F.col("t_part") * F.sqrt(F.col("size") / F.col("t_mean"))))
+        pareto = (F.col(u) / (1 - F.col(u))) * ((1 - inclusion) / inclusion)
+        return joined.withColumn(q, pareto).withColumn(
+            b, F.least(F.col("t_buckets") - 1, F.floor(F.col(q) / (1 + F.col(q)) * F.col("t_buckets"))))
+
+    ranked = ranking(base)
+    live = ranking(narrow).where("size > 0 and t_rest > 0")
     sums = live.groupBy("t_source", b).agg(F.sum("size").alias("b_words"), F.max("t_rest").alias("b_rest"))
     before = Window.partitionBy("t_source").orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("b_before", F.coalesce(F.sum("b_words").over(before), F.lit(0)))
