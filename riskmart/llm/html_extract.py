@@ -194,15 +194,18 @@ def matching(a, b) -> int:
     """Simple tree matching: nodes in the largest match of two trees with equal root labels."""
     if _label_of(a) != _label_of(b):
         return 0
-    return 1 + sum(w for _, _, w in pairs(_children(a), _children(b)))
+    x, y = _children(a), _children(b)
+    return 1 + sum(w or matching(x[i], y[j]) for i, j, w in pairs(x, y))
 
 
 def pairs(a: list, b: list) -> list[tuple[int, int, int]]:
-    """Aligned children (i, j, matched nodes) of the best order-preserving match of two lists."""
+    """Aligned children (i, j, matched nodes) of the best order-preserving match of two lists.
+
+    Nodes are not counted (0) where labels alone settle the match."""
     if len(a) == len(b) and all(_label_of(x) == _label_of(y) for x, y in zip(a, b)):
         labels = [_label_of(x) for x in a]
         if len(set(labels)) == len(labels):
-            return [(i, i, 1) for i in range(len(a))]
+            return [(i, i, 0) for i in range(len(a))]
     n, m = len(a), len(b)
     weight = [[matching(x, y) for y in b] for x in a]
     best = [[0] * (m + 1) for _ in range(n + 1)]

@@ -96,7 +96,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     def ranking(rows: DataFrame) -> DataFrame:
         joined = rows.join(broadcast_below(per, 1_000_000), F.col(src).eqNullSafe(F.col("t_source")))
-        inclusion = F.least(F.lit(0.98), F.greatest(F.lit(0.02), F.col("t_part") * F.sqrt(F.col("size") / F.col("t_mean"))))
+        inclusion = F.least(F.lit(0.98), F.greatest(F.lit(0.02), F.col("t_part") * F.sqrt(F.coalesce(F.try_divide(F.col("size"), F.col("t_mean")), F.lit(1.0)))))
         pareto = (F.col(u) / (1 - F.col(u))) * ((1 - inclusion) / inclusion)
         return joined.withColumn(q, pareto).withColumn(
             b, F.least(F.col("t_buckets") - 1, F.floor(F.col(q) / (1 + F.col(q)) * F.col("t_buckets"))))
