@@ -1,9 +1,8 @@
-"""Joins: dimension lookups (J5), size-checked broadcast, and the n-way outer merge.
+"""Joins: dimension lookups (J5) and the n-way outer merge.
 
-Broadcast policy: a side is broadcast only after ``bounded_rows`` has proved it holds at
-most ``max_rows`` rows (a ``limit(max_rows + 1).count()`` probe whose cost is bounded by
-the limit).  Otherwise the join is left to the planner (sort-merge / shuffle-hash, with
-AQE's runtime re-planning and skew-join splitting).
+No join here carries a broadcast hint.  The planner broadcasts a side whose bytes are below
+``spark.sql.autoBroadcastJoinThreshold``, AQE does so with the bytes a shuffle really wrote,
+and other joins are sort-merge joins whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -16,17 +15,6 @@ from pyspark.sql import functions as F
 
 from riskmart.functions.scalars import key_norm, map_lookup
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
 
 @dataclass
 class Lookup:
@@ -36,7 +24,6 @@ class Lookup:
     default: str | None
     key_col: str = "code"
     value_col: str = "region"
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
 
     def apply(self, df: DataFrame, key: Column, out: str) -> DataFrame:
         """Add ``out`` = dim[key] else default; never fans out (one value per key)."""
@@ -45,7 +32,6 @@ class Lookup:
         dim = (self.mapping
                .groupBy(F.col(self.key_col).alias("_lk_key"))
                .agg(F.min(self.value_col).alias("_lk_val")))
-        dim = maybe_broadcast(dim, self.max_broadcast_rows)
         joined = df.withColumn("_lk_key", key).join(dim, "_lk_key", "left")
         val = F.col("_lk_val") if self.default is None else F.coalesce(F.col("_lk_val"), F.lit(self.default))
         return joined.withColumn(out, val).drop("_lk_key", "_lk_val")

@@ -2,16 +2,18 @@
 
 On a cluster the session is created by the platform; ``get_spark`` only fills in
 settings that are unset so it never overrides cluster configuration.  The
-checkpoint folder is read from ``spark.checkpoint.dir``; a local default is set
-only when nothing is configured (tests, local runs).
+checkpoint folder is read from ``spark.checkpoint.dir``; a folder of its own is set
+only for a local session without one (tests, local runs).
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -45,13 +47,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def written(df: DataFrame, tag: str, schema: StructType | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again (lineage ends there)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/riskmart-{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """The shared checkpoint folder; unset, a local session gets its own and a cluster raises."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="riskmart-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
