@@ -291,4 +291,3 @@ OPERATIONAL_THEME_TERMS = {
     ],
 }
 FIRST_PERSON_PATTERN = r"\b(?:i|we|my|our|me|us|mine|ours)\b"
-CLAUSE_SPLIT_PATTERN = r"[.!?;]+"

@@ -207,7 +207,8 @@ def monthly_overview_joined_view(ops: DataFrame, reports: DataFrame, inv: DataFr
       COUNT(DISTINCT id)  = distinct ids on that side
       SUM(CASE side ...)  = count_side(cond) * n_ops * (M of the other two sides)
 
-    So no pair is ever materialised: four aggregations, three joins of aggregates.
+    So no pair is ever materialised: four aggregations, three joins of aggregates.  The
+    products are DECIMAL(38,0): four counts multiplied soon leave the range of BIGINT.
     """
     airports = airports or airport_lookup()
     o = with_month(ops, "flight_date").withColumn("airport", F.col("origin_airport"))
@@ -243,20 +244,20 @@ def monthly_overview_joined_view(ops: DataFrame, reports: DataFrame, inv: DataFr
     mr = F.greatest(F.coalesce(F.col("m_rep"), F.lit(0)), F.lit(1))
     mi = F.greatest(F.coalesce(F.col("m_inv"), F.lit(0)), F.lit(1))
     mc = F.greatest(F.coalesce(F.col("m_cul"), F.lit(0)), F.lit(1))
-    n = F.col("n_ops")
+    n = F.col("n_ops").cast("decimal(38,0)")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     return j.select(
         "report_month", "airport", "region",
-        (n * mr * mi * mc).cast("long").alias("operational_flight_legs"),
-        (F.col("s_cancelled") * mr * mi * mc).cast("long").alias("cancelled_flights"),
-        (F.col("s_diverted") * mr * mi * mc).cast("long").alias("diverted_flights"),
+        (n * mr * mi * mc).cast("decimal(38,0)").alias("operational_flight_legs"),
+        (F.col("s_cancelled").cast("decimal(38,0)") * mr * mi * mc).cast("decimal(38,0)").alias("cancelled_flights"),
+        (F.col("s_diverted").cast("decimal(38,0)") * mr * mi * mc).cast("decimal(38,0)").alias("diverted_flights"),
         "avg_departure_delay_minutes", "avg_arrival_delay_minutes",
         z("d_rep").cast("long").alias("asrs_report_count"),
-        (z("f_rep") * n * mi * mc).cast("long").alias("fatigue_related_report_count"),
+        (z("f_rep") * n * mi * mc).cast("decimal(38,0)").alias("fatigue_related_report_count"),
         z("d_inv").cast("long").alias("ntsb_investigation_count"),
-        (z("s_inv") * n * mr * mc).cast("long").alias("serious_or_higher_investigation_count"),
+        (z("s_inv") * n * mr * mc).cast("decimal(38,0)").alias("serious_or_higher_investigation_count"),
         "avg_training_completion_rate", "avg_safety_engagement_score", "fatigue_training_completion_rate",
-        (z("e_cul") * n * mr * mi).cast("long").alias("synthetic_elevated_risk_count"),
+        (z("e_cul") * n * mr * mi).cast("decimal(38,0)").alias("synthetic_elevated_risk_count"),
     )
 
 

@@ -1,4 +1,4 @@
-"""Data-quality kit: keep-first de-duplication, required-value filters, checks, counters.
+"""Data-quality kit: keep-first de-duplication, required-value filters, checks.
 
 Scale notes
 -----------
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.functions.scalars import col
@@ -34,18 +34,6 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def source_order_columns(df: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Attach a file-order key for CSV sources: (file name, block start, row id).
-
-    Spark lists files by size, so the raw row id alone is not file order.  The id is
-    ``monotonically_increasing_id`` which is increasing within each input split.
-    """
-    out = (df.withColumn("src_file", F.col("_metadata.file_name"))
-             .withColumn("src_block", F.col("_metadata.file_block_start"))
-             .withColumn("src_row", F.monotonically_increasing_id()))
-    return out, ["src_file", "src_block", "src_row"]
-
-
 # ------------------------------------------------------------------ F1
 def required_present(columns: Iterable[str], blank_is_null: bool = False) -> Column:
     cond = F.lit(True)
@@ -64,10 +52,11 @@ def drop_required_nulls(df: DataFrame, columns: Iterable[str], blank_is_null: bo
 
 # ------------------------------------------------------------------ V1
 def validate_required_columns(df: DataFrame, required: Iterable[str]) -> None:
-    """Plan-time check: raise listing the missing names, sorted."""
-    missing = sorted(set(required) - set(df.columns))
-    if missing:
-        raise DataQualityError(f"Missing required columns: {missing}")
+    """Plan-time check; the error names every absent column."""
+    have = set(df.columns)
+    absent = ", ".join(sorted({c for c in required if c not in have}))
+    if absent:
+        raise DataQualityError(f"the input lacks {absent}")
 
 
 # ------------------------------------------------------------------ V2
@@ -79,10 +68,10 @@ def null_ratios(df: DataFrame) -> DataFrame:
 
 
 def validate_null_threshold(df: DataFrame, threshold: float) -> None:
-    failing = null_ratios(df).where(F.col("null_ratio") > threshold).collect()  # <= #columns rows
-    if failing:
-        summary = {r["column_name"]: round(r["null_ratio"], 3) for r in failing}
-        raise DataQualityError(f"Null threshold exceeded: {summary}")
+    over = null_ratios(df).where(F.col("null_ratio") > threshold).collect()  # <= #columns rows
+    if over:
+        listed = ", ".join(f"{r.column_name} ({r.null_ratio:.1%})" for r in over)
+        raise DataQualityError(f"more than {threshold:.1%} of the values are null in {listed}")
 
 
 # ------------------------------------------------------------------ V3
@@ -95,7 +84,7 @@ def count_duplicate_surplus(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def validate_no_duplicates(df: DataFrame, keys: Sequence[str]) -> None:
     n = count_duplicate_surplus(df, keys).first()["duplicate_rows"]
     if n:
-        raise DataQualityError(f"Found {n} duplicate rows for keys {list(keys)}")
+        raise DataQualityError(f"{n} rows repeat a key ({', '.join(keys)})")
 
 
 # ------------------------------------------------------------------ V4
@@ -103,7 +92,7 @@ def validate_label(df: DataFrame, label: str) -> DataFrame:
     """Raise when the label is NULL or non-numeric; return it cast to int."""
     bad = df.agg(F.count_if(F.col(label).cast("string").try_cast("double").isNull()).alias("bad")).first()["bad"]
     if bad:
-        raise DataQualityError(f"{label} contains null or non-numeric values.")
+        raise DataQualityError(f"{bad} rows have no numeric value in {label}")
     return df.withColumn(label, F.col(label).cast("string").try_cast("double").cast("int"))
 
 
@@ -119,30 +108,11 @@ def value_distribution(df: DataFrame, column: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A12
-def low_variance_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact distinct non-NULL count per column, long format (column_name, distinct_count)."""
-    wide = df.agg(*[F.count_distinct(F.col(c)).cast("long").alias(c) for c in columns])
-    return wide.unpivot([], list(columns), "column_name", "distinct_count")
-
-
-# ------------------------------------------------------------------ F6
-class StageCounters:
-    """Counters collected in the same job as the write (``DataFrame.observe``)."""
-
-    def __init__(self, name: str):
-        self.name = name
-        self.observations: dict[str, Observation] = {}
-
-    def watch(self, df: DataFrame, step: str) -> DataFrame:
-        obs = Observation(f"{self.name}_{step}")
-        self.observations[step] = obs
-        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
-
-    def as_rows(self) -> list[tuple[str, str, int]]:
-        out = []
-        for step, obs in self.observations.items():
-            try:
-                out.append((self.name, step, int(obs.get["rows"])))
-            except Exception:  # not executed yet
-                continue
-        return out
+def varying_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Long format (column_name, varies): whether a column has two distinct non-NULL values.
+
+    ``min <> max`` decides it in one hash aggregate; a distinct count per column would
+    expand every row once per column.
+    """
+    wide = df.agg(*[F.coalesce(F.min(c) != F.max(c), F.lit(False)).alias(c) for c in columns])
+    return wide.unpivot([], list(columns), "column_name", "varies")

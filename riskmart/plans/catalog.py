@@ -47,11 +47,12 @@ def t_investigations(spark, d) -> DataFrame:
     merged = trusted.investigation_events(
         roles.investigation_events_raw(spark, d), roles.investigation_aircraft_raw(spark, d),
         roles.investigation_injury_raw(spark, d), aircraft_order=F.col("src_order"))
-    return trusted.trusted_investigations(merged, ["ntsb_event_id"], DRIVER_WINDOW)
+    return trusted.trusted_investigations(merged, roles.SRC_ORDER, DRIVER_WINDOW)
 
 
-def t_culture(spark, d, check: bool = True) -> DataFrame:
-    return trusted.trusted_culture(roles.culture_raw(spark, d), ["event_id"], check=check)
+def t_culture(spark, d) -> DataFrame:
+    """The checks V2 and V3 are a job of their own and belong to the write (``write_trusted_culture``)."""
+    return trusted.trusted_culture(roles.culture_raw(spark, d), roles.SRC_ORDER, check=False)
 
 
 # ------------------------------------------------------------ marts
@@ -83,10 +84,14 @@ def q_promotion(spark, d):
     return marts.safety_promotion_summary(roles.promotion_raw(spark, d))
 
 
+def overview(spark, d, sort: bool) -> DataFrame:
+    return marts.monthly_risk_overview(t_operations(spark, d), t_reports(spark, d), t_investigations(spark, d),
+                                       t_culture(spark, d), airports(spark, d), DIGITS, sort=sort)
+
+
 @register("monthly_risk_overview")
 def q_overview(spark, d):
-    return marts.monthly_risk_overview(t_operations(spark, d), t_reports(spark, d), t_investigations(spark, d),
-                                       t_culture(spark, d), airports(spark, d), DIGITS)
+    return overview(spark, d, sort=True)
 
 
 @register("monthly_overview_joined_view")
@@ -116,7 +121,8 @@ def corpus_feature_rules() -> text_rules.FeatureRules:
 
 
 def nlp_table(spark, d) -> DataFrame:
-    return text_rules.nlp_enrichment(t_reports(spark, d), corpus_enrichment_rules(), DRIVER_WINDOW)
+    # keep-first has just made report_id unique, so the duplicate check (a job) is left out
+    return text_rules.nlp_enrichment(t_reports(spark, d), corpus_enrichment_rules(), DRIVER_WINDOW, check=False)
 
 
 @register("text_normalised")
@@ -133,7 +139,7 @@ def q_nlp(spark, d):
 
 @register("narrative_features")
 def q_features(spark, d):
-    return text_rules.narrative_features(nlp_table(spark, d), corpus_feature_rules())
+    return text_rules.narrative_features(nlp_table(spark, d), corpus_feature_rules(), check=False)
 
 
 # ------------------------------------------------------------ quality kit, child collapse, starter features
@@ -142,61 +148,51 @@ from riskmart.functions import dictionaries as D  # noqa: E402
 from riskmart.functions.scalars import in_window, to_timestamp_col  # noqa: E402
 
 
+def _long(wide: DataFrame, checks: dict[str, tuple[str, str]]) -> DataFrame:
+    """(check_name, column_name, value) rows of a one-row aggregate; ``checks``: column -> (check, column)."""
+    rows = [F.struct(F.lit(check).alias("check_name"), F.lit(column).alias("column_name"), F.col(c).cast("double").alias("value"))
+            for c, (check, column) in checks.items()]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 @register("quality_metrics")
 def q_quality(spark, d):
-    """F6, V2, V3, V5, A12 as one long table (check_name, column_name, value)."""
+    """F6, V2, V3, V5, A12 as one long table (check_name, column_name, value): one aggregate an input."""
     raw = trusted.snake_case_columns(roles.operations_raw(spark, d))
     dedup = keep_first(raw, D.OPERATIONS_KEYS, roles.OPERATIONS_ORDER)
     present = Q.required_present(D.OPERATIONS_REQUIRED)
-    ts = to_timestamp_col(dedup, "flight_date")
+    ts = F.col("_ts")
     valid = present & ts.isNotNull()
-    stages = dedup.agg(
+    stages = dedup.withColumn("_ts", to_timestamp_col(dedup, "flight_date")).agg(
         F.count(F.lit(1)).alias("deduplicated_rows"),
         F.count_if(~present).alias("required_null_rows"),
         F.count_if(present & ts.isNull()).alias("invalid_date_rows"),
         F.count_if(valid & ~in_window(ts, DRIVER_WINDOW)).alias("outside_window_rows"),
         F.count_if(valid & in_window(ts, DRIVER_WINDOW)).alias("trusted_rows"),
     )
-    names = ["deduplicated_rows", "required_null_rows", "invalid_date_rows", "outside_window_rows", "trusted_rows"]
-    parts = [
-        raw.agg(F.count(F.lit(1)).cast("double").alias("value"))
-           .select(F.lit("rows_loaded").alias("check_name"), F.lit("*").alias("column_name"), "value"),
-        stages.select(*[F.col(n).cast("double") for n in names])
-              .unpivot([], names, "check_name", "value").select("check_name", F.lit("*").alias("column_name"), "value"),
-        Q.null_profile(raw, D.OPERATIONS_REQUIRED)
-         .select(F.lit("null_count").alias("check_name"), "column_name", F.col("null_count").cast("double").alias("value")),
-    ]
+    loaded = raw.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in D.OPERATIONS_REQUIRED])
     li = roles.table(spark, d, "lineitem")
     li_first = q_dedupe(spark, d)
-    cols = li.columns
-    parts += [
-        Q.count_duplicate_surplus(li, ["l_orderkey", "l_linenumber"])
-         .select(F.lit("key_duplicates").alias("check_name"), F.lit("l_orderkey,l_linenumber").alias("column_name"),
-                 F.col("duplicate_rows").cast("double").alias("value")),
-        Q.null_ratios(li_first).select(F.lit("null_ratio").alias("check_name"), "column_name",
-                                       F.col("null_ratio").alias("value")),
-        Q.low_variance_columns(li_first, cols).select(F.lit("distinct_count").alias("check_name"), "column_name",
-                                                      F.col("distinct_count").cast("double").alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    shape = li_first.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(f"ratio_{c}") for c in li.columns],
+                         *[F.coalesce(F.min(c) != F.max(c), F.lit(False)).alias(f"varies_{c}") for c in li.columns])
+    surplus = Q.count_duplicate_surplus(li, ["l_orderkey", "l_linenumber"])
+    return (_long(loaded, {"rows": ("rows_loaded", "*"), **{f"null_{c}": ("null_count", c) for c in D.OPERATIONS_REQUIRED}})
+            .unionByName(_long(stages, {c: (c, "*") for c in stages.columns}))
+            .unionByName(_long(surplus, {"duplicate_rows": ("key_duplicates", "l_orderkey,l_linenumber")}))
+            .unionByName(_long(shape, {**{f"ratio_{c}": ("null_ratio", c) for c in li.columns},
+                                       **{f"varies_{c}": ("varies", c) for c in li.columns}})))
 
 
 @register("label_distribution")
 def q_labels(spark, d):
-    """V6 (value counts, NULL kept) of the weak label and of the primary theme."""
-    nlp = nlp_table(spark, d)
-    rep = t_reports(spark, d)
-    a = Q.value_distribution(rep, "quality_label").select(
-        F.lit("quality_label").alias("column_name"), F.col("quality_label").cast("string").alias("value"), "row_count")
-    b = Q.value_distribution(nlp, "theme_primary_label").select(
-        F.lit("theme_primary_label").alias("column_name"), F.col("theme_primary_label").alias("value"), "row_count")
-    c = Q.value_distribution(nlp, "fatigue_confidence_tier").select(
-        F.lit("fatigue_confidence_tier").alias("column_name"), F.col("fatigue_confidence_tier").alias("value"),
-        "row_count")
-    return a.unionByName(b).unionByName(c)
+    """V6 (value counts, NULL kept) of the weak label, the primary theme and the confidence tier."""
+    def pairs(df, columns):
+        return df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+                                             for c in columns])).alias("p")).select("p.*")
+
+    rows = pairs(t_reports(spark, d), ["quality_label"]).unionByName(
+        pairs(nlp_table(spark, d), ["theme_primary_label", "fatigue_confidence_tier"]))
+    return rows.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @register("event_child_collapse")
@@ -215,7 +211,7 @@ def q_event_features(spark, d):
 
 @register("kpi_and_concentration")
 def q_kpi(spark, d):
-    return marts.kpi_and_concentration(q_overview(spark, d))
+    return marts.kpi_and_concentration(overview(spark, d, sort=False))
 
 
 @register("investigation_mix")
@@ -268,49 +264,47 @@ def q_fold_metrics(spark, d):
 
 
 # ------------------------------------------------------------ model stages
+from riskmart.operators import benchmark as BM  # noqa: E402
 from riskmart.operators import models as MD  # noqa: E402
 
-_BENCH_CACHE: dict = {}
-
-
-def _benchmark(spark, d):
-    """The benchmark fits four models; its four output tables come from one run per session."""
-    key = (id(spark), d)
-    if key not in _BENCH_CACHE:
-        _BENCH_CACHE[key] = MD.fatigue_benchmark(nlp_table(spark, d))
-    return _BENCH_CACHE[key]
-
 
 @register("tfidf_weights")
 def q_tfidf(spark, d):
     nlp = nlp_table(spark, d).select("report_id", "narrative_clean")
-    terms = MD.doc_terms(nlp, "report_id", "narrative_clean")
-    vocab = MD.idf_vocabulary(terms, nlp)
-    w = MD.tfidf_weights(terms, vocab, "report_id")
+    terms = BM.doc_terms(nlp, "report_id", "narrative_clean")
+    vocab = BM.idf_vocabulary(terms, nlp)
+    w = BM.tfidf_weights(terms, vocab, "report_id")
     return w.select("report_id", "term", (F.round(F.col("weight") * 1e8, 0) / 1e8).alias("weight"))
 
 
+@register("fatigue_benchmark_rows")
+def q_bench_rows(spark, d):
+    return BM.benchmark_rows(nlp_table(spark, d))
+
+
+@register("fatigue_benchmark_design")
+def q_bench_design(spark, d):
+    return BM.benchmark_design(nlp_table(spark, d))
+
+
 @register("fatigue_benchmark_predictions")
 def q_bench_preds(spark, d):
-    status, preds, _, _ = _benchmark(spark, d)
-    return preds if preds is not None else status
+    return BM.benchmark_predictions(nlp_table(spark, d))
 
 
 @register("fatigue_benchmark_folds")
 def q_bench_folds(spark, d):
-    status, _, folds, _ = _benchmark(spark, d)
-    return folds if folds is not None else status
+    return BM.benchmark_folds(nlp_table(spark, d))
 
 
 @register("top_terms")
 def q_top_terms(spark, d):
-    status, _, _, terms = _benchmark(spark, d)
-    return terms if terms is not None else status
+    return BM.benchmark_terms(nlp_table(spark, d))
 
 
 @register("fatigue_benchmark_summary")
 def q_bench_summary(spark, d):
-    return _benchmark(spark, d)[0]
+    return BM.benchmark_summary(nlp_table(spark, d))
 
 
 @register("imputed_features")
@@ -325,20 +319,167 @@ def q_risk_model(spark, d):
     return MD.train_risk_model(trusted.event_features(t_culture(spark, d)))
 
 
-# ------------------------------------------------------------ CSV connector path
-@register("operations_from_csv")
-def q_ops_csv(spark, d):
-    """The disruption mart through the CSV connector: the operations role view is written as
-    headered CSV (sorted, so file order equals the role order) under the checkpoint folder and
-    read back with the folder source; the result must equal the Parquet path."""
+@register("one_hot_features")
+def q_one_hot(spark, d):
+    """M4 over the imputed starter features: the non-zero entries of every row as text."""
+    feats = MD.training_target(trusted.event_features(t_culture(spark, d)))
+    numeric, categorical = ["training_completion_rate", "fatigue_training_flag"], ["base_location", "fleet_group", "report_text"]
+    rows = MD.impute(feats, numeric, categorical)
+    index = MD.category_index(rows.where("elevated_risk_flag = 1"), categorical)  # other rows have unseen values
+    out = MD.one_hot(rows, "event_id", numeric, categorical, index)
+    return out.select("event_id", F.array_join(F.transform("entries", lambda e: e["index"].cast("string")), ",").alias("indices"),
+                      F.array_join(F.transform("entries", lambda e: F.round(e["value"] * 1e6, 0).cast("long").cast("string")), ",").alias("values_e6"))
+
+
+@register("holdout_split")
+def q_holdout(spark, d):
+    """M5: the stratified hold-out of the risk model."""
+    feats = MD.training_target(trusted.event_features(t_culture(spark, d)))
+    return EV.holdout_split(feats.select("event_id", "elevated_risk_flag"), "event_id", "elevated_risk_flag", 0.2, 42)
+
+
+@register("bi_extract")
+def q_extract(spark, d):
+    """The dashboard's typed extract of the overview."""
+    from riskmart.sources.files import overview_extract
+    return overview_extract(overview(spark, d, sort=False))
+
+
+@register("trusted_investigations")
+def q_trusted_investigations(spark, d):
+    """The trusted table with its normalised columns."""
+    return t_investigations(spark, d)
+
+
+@register("aliased_investigations")
+def q_aliased(spark, d):
+    """Event types from the first alias that has one; no operator, damage or airport columns."""
+    return trusted.trusted_investigations(roles.aliased_investigations_raw(spark, d), roles.SRC_ORDER, DRIVER_WINDOW)
+
+
+@register("event_features_defaults")
+def q_event_defaults(spark, d):
+    """Without a severity score and a report text."""
+    return trusted.event_features(t_culture(spark, d).drop("severity_score", "report_text"))
+
+
+def reference_table(spark, d) -> DataFrame:
+    reports = trusted.trusted_reports(roles.planted_reports_raw(spark, d), roles.REPORTS_ORDER, DRIVER_WINDOW)
+    return text_rules.nlp_enrichment(reports, text_rules.REFERENCE_ENRICHMENT, DRIVER_WINDOW, check=False)
+
+
+@register("reference_rules")
+def q_reference_rules(spark, d):
+    """T5-T9 with the reference's dictionaries, over documents into which their phrases are planted."""
+    return reference_table(spark, d).drop("narrative", "narrative_clean")
+
+
+@register("reference_features")
+def q_reference_features(spark, d):
+    """T10-T12 with the reference's dictionaries over the same documents."""
+    return text_rules.narrative_features(reference_table(spark, d), text_rules.REFERENCE_FEATURES, check=False)
+
+
+# ------------------------------------------------------------ file connectors
+def _folder(spark, name: str) -> str:
     import uuid
     from riskmart.session import checkpoint_dir
-    from riskmart.operators.quality import source_order_columns
-    from riskmart.sources.files import read_csv_folder, write_table
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/csv-roundtrip-{uuid.uuid4().hex}"
-    keys = ["flight_date", "reporting_airline", "flight_number", "origin", "dest"]
-    raw = roles.operations_raw(spark, d).orderBy(*keys, *roles.OPERATIONS_ORDER)
-    write_table(raw.drop(*roles.OPERATIONS_ORDER), folder, "csv")
-    back, order = source_order_columns(read_csv_folder(spark, folder, lineage=True))
-    ops = trusted.trusted_operations(back, order, DRIVER_WINDOW)
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _as_csv(df: DataFrame, folder: str, keys, order) -> None:
+    """Written as headered CSV; rows of a key are in one file, in source order."""
+    from riskmart.sources.files import write_table
+    write_table(df.repartition(*keys).sortWithinPartitions(*keys, *order).drop(*order), folder, "csv")
+
+
+@register("operations_from_csv")
+def q_ops_csv(spark, d):
+    """The disruption mart through the CSV connector equals the Parquet path."""
+    from riskmart.sources.files import SOURCE_ORDER, read_csv_folder
+    folder = _folder(spark, "operations")
+    _as_csv(roles.operations_raw(spark, d), folder, D.OPERATIONS_KEYS, roles.OPERATIONS_ORDER)
+    ops = trusted.trusted_operations(read_csv_folder(spark, folder, lineage=True, order=True), SOURCE_ORDER, DRIVER_WINDOW)
     return marts.operational_disruption_summary(ops, airports(spark, d), DIGITS)
+
+
+@register("union_by_name")
+def q_union_by_name(spark, d):
+    """S2 and P7 into F4: files of odd flight numbers have other columns, in another order."""
+    from riskmart.sources.files import SOURCE_ORDER, read_csv_folder
+    folders = [_folder(spark, "operations-even"), _folder(spark, "operations-odd")]
+    raw = roles.operations_raw(spark, d)
+    odd = F.col("flight_number").cast("long") % 2 == 1
+    _as_csv(raw.where(~odd), folders[0], D.OPERATIONS_KEYS, roles.OPERATIONS_ORDER)
+    drifted = raw.where(odd).select("diverted", "cancelled", "arr_delay", F.col("dest").alias("Dest"), "origin",
+                                    F.col("flight_number").alias("flight number"), "reporting_airline", F.lit("new").alias("added"),
+                                    F.col("flight_date").alias("FlightDate"), *roles.OPERATIONS_ORDER)
+    _as_csv(drifted, folders[1], ["FlightDate", "reporting_airline", "flight number", "origin", "Dest"], roles.OPERATIONS_ORDER)
+    parts = [trusted.snake_case_columns(read_csv_folder(spark, f, order=True)) for f in folders]
+    ops = trusted.trusted_operations(parts[0].unionByName(parts[1], allowMissingColumns=True), SOURCE_ORDER, DRIVER_WINDOW)
+    return marts.operational_disruption_summary(ops, airports(spark, d), DIGITS)
+
+
+@register("two_row_header")
+def q_two_row_header(spark, d):
+    """Reports as exports with a split header, a separator row and the export's column names."""
+    from riskmart.sources.files import SOURCE_ORDER, read_two_row_header_exports
+    folder = _folder(spark, "exports")
+    one_line = {c: F.regexp_replace(c, r"[\s\"]+", " ") for c in ("narrative", "narrative_synopsis")}
+    raw = roles.reports_raw(spark, d).withColumns(one_line)
+    columns = [c for c, _, _ in roles.EXPORT_HEADER]
+    line = F.to_csv(F.struct(*[F.col(c).cast("string") for c in columns]), {"quoteAll": "true", "escape": '"', "nullValue": "", "emptyValue": ""})
+    heads = ["\n".join([",".join(t for _, t, _ in roles.EXPORT_HEADER), ",".join(b for _, _, b in roles.EXPORT_HEADER), "," * (len(columns) - 1)])]
+
+    def with_head(batches):
+        import pyarrow as pa
+        first = True
+        for batch in batches:
+            if first and batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(heads, pa.string())], names=["value"])
+                first = False
+            yield batch
+
+    rows = raw.repartition("report_id").sortWithinPartitions("report_id", "src_row").select(line.alias("value"))
+    rows.mapInArrow(with_head, "value string").write.mode("overwrite").text(f"{folder}-lines")
+    _rename_parts(spark, f"{folder}-lines", ".txt", ".csv")
+    exports = read_two_row_header_exports(spark, f"{folder}-lines", multi_line=False)
+    return trusted.trusted_reports(exports, SOURCE_ORDER, DRIVER_WINDOW).select(
+        "report_id", "event_date", "location", "aircraft_operator", "anomaly", "human_factors", "narrative", "source_system", "narrative_privacy_note")
+
+
+def _rename_parts(spark, folder: str, old: str, new: str) -> None:
+    """Part files of Spark's text writer under the extension of an export."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.endswith(old):
+            fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(path, name.removesuffix(old) + new))
+
+
+@register("three_file_source")
+def q_three_files(spark, d):
+    """The trusted investigations from the three CSV tables of the source."""
+    import os
+    from riskmart.sources.files import SOURCE_ORDER, read_investigation_files
+    folder = _folder(spark, "investigations")
+    names = D.INVESTIGATION_FILES
+    _as_csv(roles.investigation_events_raw(spark, d), os.path.join(folder, names[0]), ["ev_id"], ["src_row"])
+    aircraft = roles.investigation_aircraft_raw(spark, d).select("ev_id", "oper_name", "damage", "src_order")
+    _as_csv(aircraft, os.path.join(folder, names[1]), ["ev_id"], ["src_order"])
+    _as_csv(roles.investigation_injury_raw(spark, d), os.path.join(folder, names[2]), ["ev_id"], [])
+    events, craft, injury, lineage = read_investigation_files(spark, folder)
+    merged = trusted.investigation_events(events, craft, injury, F.struct(*SOURCE_ORDER), lineage)
+    return trusted.trusted_investigations(merged, SOURCE_ORDER, DRIVER_WINDOW)
+
+
+@register("promotion_from_layers")
+def q_promotion_layers(spark, d):
+    """Promotion events as raw CSV, the mart as a curated table, read back."""
+    from riskmart.sources.files import read_raw_dataset, read_table, write_table
+    raw, curated = _folder(spark, "promotion"), _folder(spark, "promotion-mart")
+    write_table(roles.promotion_raw(spark, d), raw, "csv")
+    write_table(marts.safety_promotion_summary(read_raw_dataset(spark, raw)), curated)
+    return read_table(spark, curated)

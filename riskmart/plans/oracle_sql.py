@@ -20,8 +20,9 @@ def q(s: str) -> str:
 def ts_parse(expr: str) -> str:
     e = f"trim(CAST({expr} AS VARCHAR))"
     return (f"COALESCE(try_strptime({e}, '%Y-%m-%d %H:%M:%S'), try_strptime({e}, '%Y-%m-%d'), "
-            f"try_strptime({e}, '%Y-%m-%dT%H:%M:%S'), try_strptime({e}, '%Y/%m/%d'), "
-            f"try_strptime({e}, '%m/%d/%Y'), try_strptime({e}, '%Y%m%d'))")
+            f"try_strptime({e}, '%Y-%m-%dT%H:%M:%S'), try_strptime({e}, '%Y-%m-%dT%H:%M:%SZ'), "
+            f"try_strptime({e}, '%Y/%m/%d'), try_strptime({e}, '%m/%d/%Y %I:%M:%S %p'), "
+            f"try_strptime({e}, '%m/%d/%Y'), try_strptime({e}, '%B %d, %Y'), try_strptime({e}, '%Y%m%d'))")
 
 
 def ts_parse_month_first(expr: str) -> str:
@@ -56,8 +57,8 @@ def not_null(cols: list[str]) -> str:
     return " AND ".join(f"{c} IS NOT NULL" for c in cols)
 
 
-def exact_avg(x: str, digits: int = 6, quantum: int = 9) -> str:
-    u = f"sum(CAST(round(({x}) * 1e{quantum}) AS HUGEINT))"
+def exact_avg(x: str, digits: int = 6, quantum: int = 12) -> str:
+    u = f"sum(CAST(round(CAST({x} AS DOUBLE) * 1e{quantum}) AS HUGEINT))"
     d = f"(count({x}) * {10 ** (quantum - digits)})"
     return (f"(CASE WHEN count({x}) = 0 THEN NULL ELSE "
             f"CAST(sign({u}) * ((2 * abs({u}) + {d}) // (2 * {d})) AS DOUBLE) / 1e{digits} END)")
@@ -94,9 +95,10 @@ FROM ops_valid WHERE _ts IS NOT NULL AND {in_window('_ts')}
 """
 
 CTE["rep_raw"] = ROLE["reports_raw"]
-CTE["rep_dedup"] = keep_first("rep_raw", D.REPORTS_KEYS, ["src_doc_id"])
+CTE["rep_dedup"] = keep_first("rep_raw", D.REPORTS_KEYS, ["src_row"])
 CTE["trusted_reports"] = f"""
-SELECT * EXCLUDE (event_date, location, aircraft_operator, _ts, src_doc_id),
+SELECT * EXCLUDE (event_date, location, aircraft_operator, _ts, src_row, narrative),
+       coalesce(nullif(narrative, ''), narrative_synopsis) AS narrative,
        CAST(_ts AS DATE) AS event_date,
        coalesce(location, 'UNKNOWN') AS location,
        coalesce(aircraft_operator, 'UNKNOWN') AS aircraft_operator,
@@ -139,7 +141,7 @@ SELECT m.ev_id AS ntsb_event_id, m.ev_date AS event_date, m.ev_type AS event_typ
        CASE WHEN (sev IS NULL OR trim(sev) = '')
                  AND coalesce(TRY_CAST(m.inj_tot_n AS DOUBLE), 0) + coalesce(TRY_CAST(m.inj_tot_t AS DOUBLE), 0) = 0
             THEN 'NONE' ELSE sev END AS injury_severity,
-       m.ev_nr_apt_id AS airport_code, a.operator_name, a.aircraft_damage
+       m.ev_nr_apt_id AS airport_code, a.operator_name, a.aircraft_damage, m.src_row
 FROM (SELECT e.*, coalesce(e.ev_highest_injury, i.injury_severity_from_injury) AS sev
       FROM inv_events e LEFT JOIN injury_lookup i ON e.ev_id = i.ntsb_event_id) m
 LEFT JOIN aircraft_lookup a ON m.ev_id = a.ntsb_event_id
@@ -148,12 +150,12 @@ _BLANK = "CASE WHEN regexp_full_match(CAST({c} AS VARCHAR), '\\s*') THEN NULL EL
 CTE["inv_std"] = f"""
 SELECT {_BLANK.format(c='ntsb_event_id')} AS ntsb_event_id, {_BLANK.format(c='event_date')} AS event_date,
        {_BLANK.format(c='injury_severity')} AS injury_severity, {_BLANK.format(c='event_type')} AS event_type,
-       airport_code, operator_name, aircraft_damage
+       airport_code, operator_name, aircraft_damage, src_row
 FROM inv_merged
 """
 CTE["inv_valid"] = f"""
 SELECT *, {ts_parse('event_date')} AS _ts
-FROM ({keep_first('inv_std', D.INVESTIGATIONS_KEYS, ['ntsb_event_id'])})
+FROM ({keep_first('inv_std', D.INVESTIGATIONS_KEYS, ['src_row'])})
 WHERE {not_null(D.INVESTIGATIONS_REQUIRED)}
 """
 _SEV_SRC = "nullif(upper(trim(injury_severity)), '')"
@@ -177,7 +179,7 @@ FROM inv_valid WHERE _ts IS NOT NULL AND {in_window('_ts')}
 """
 
 CTE["cul_raw"] = ROLE["culture_raw"]
-CTE["trusted_culture"] = keep_first("cul_raw", D.CULTURE_KEYS, ["event_id"])
+CTE["trusted_culture"] = f"SELECT * EXCLUDE (src_row) FROM ({keep_first('cul_raw', D.CULTURE_KEYS, ['src_row'])})"
 CTE["promo_raw"] = ROLE["promotion_raw"]
 
 
@@ -336,20 +338,20 @@ FULL OUTER JOIN cul_k c
 # the view as written: record-level left joins, then GROUP BY (fan-out semantics, Q1)
 ORACLE["monthly_overview_joined_view"] = with_ctes(_ALL, f"""
 SELECT b.report_month, b.origin_airport AS airport, coalesce(dm.region, 'Unknown') AS region,
-       count(*) AS operational_flight_legs,
-       CAST(sum(b.cancelled_flag) AS BIGINT) AS cancelled_flights,
-       CAST(sum(b.diverted_flag) AS BIGINT) AS diverted_flights,
+       CAST(count(*) AS DECIMAL(38,0)) AS operational_flight_legs,
+       CAST(sum(b.cancelled_flag) AS DECIMAL(38,0)) AS cancelled_flights,
+       CAST(sum(b.diverted_flag) AS DECIMAL(38,0)) AS diverted_flights,
        {exact_avg('b.departure_delay_minutes')} AS avg_departure_delay_minutes,
        {exact_avg('b.arrival_delay_minutes')} AS avg_arrival_delay_minutes,
        count(DISTINCT a.report_id) AS asrs_report_count,
-       CAST(sum(CASE WHEN lower(a.human_factors) LIKE '%fatigue%' THEN 1 ELSE 0 END) AS BIGINT) AS fatigue_related_report_count,
+       CAST(sum(CASE WHEN lower(a.human_factors) LIKE '%fatigue%' THEN 1 ELSE 0 END) AS DECIMAL(38,0)) AS fatigue_related_report_count,
        count(DISTINCT n.ntsb_event_id) AS ntsb_investigation_count,
-       CAST(sum(CASE WHEN n.severity_normalized IN ('serious_injury', 'fatal_injury') THEN 1 ELSE 0 END) AS BIGINT)
+       CAST(sum(CASE WHEN n.severity_normalized IN ('serious_injury', 'fatal_injury') THEN 1 ELSE 0 END) AS DECIMAL(38,0))
          AS serious_or_higher_investigation_count,
        {exact_avg('s.training_completion_rate')} AS avg_training_completion_rate,
        {exact_avg('s.safety_engagement_score')} AS avg_safety_engagement_score,
        {exact_avg('s.fatigue_training_flag')} AS fatigue_training_completion_rate,
-       CAST(sum(CASE WHEN s.severity_score > 0 THEN 1 ELSE 0 END) AS BIGINT) AS synthetic_elevated_risk_count
+       CAST(sum(CASE WHEN s.severity_score > 0 THEN 1 ELSE 0 END) AS DECIMAL(38,0)) AS synthetic_elevated_risk_count
 FROM (SELECT substr(CAST(flight_date AS VARCHAR), 1, 7) AS report_month, origin_airport,
              departure_delay_minutes, arrival_delay_minutes, cancelled_flag, diverted_flag
       FROM trusted_operations) b
@@ -557,7 +559,7 @@ UNION ALL
 {" UNION ALL ".join(f"SELECT 'null_ratio', '{c}', avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) FROM li_first"
                     for c in _LI_COLS)}
 UNION ALL
-{" UNION ALL ".join(f"SELECT 'distinct_count', '{c}', CAST(count(DISTINCT {c}) AS DOUBLE) FROM li_first"
+{" UNION ALL ".join(f"SELECT 'varies', '{c}', CAST(count(DISTINCT {c}) > 1 AS DOUBLE) FROM li_first"
                     for c in _LI_COLS)}
 """)
 
@@ -731,7 +733,7 @@ ORACLE["tfidf_weights"] = with_ctes(uniq(NLP, ["nlp_enriched"]), """
 grams AS (SELECT report_id, unnest(t || list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS term
           FROM toks),
 tf AS (SELECT report_id, term, count(*) AS tf FROM grams GROUP BY ALL),
-nd AS (SELECT count(DISTINCT report_id) AS n FROM tf),
+nd AS (SELECT count(*) AS n FROM nlp_enriched),
 vocab AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 v AS (SELECT term, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM vocab, nd WHERE df >= 2 AND df <= 0.95 * n),
 w AS (SELECT tf.report_id, tf.term, (1.0 + ln(tf.tf)) * v.idf AS w FROM tf JOIN v ON tf.term = v.term),
@@ -739,6 +741,33 @@ nrm AS (SELECT report_id, sqrt(sum(w * w)) AS nrm FROM w GROUP BY report_id)
 SELECT w.report_id, w.term, round(w.w / nrm.nrm, 8) AS weight FROM w JOIN nrm ON w.report_id = nrm.report_id
 """)
 
+# ---------------------------------------------------------------- benchmark (M8, M9): what no solver decides
+CTE["bench_rows"] = """
+SELECT report_id, event_date, narrative_clean, weak_fatigue_label, theme_primary_label, fatigue_confidence_tier,
+       CAST((row_number() OVER (ORDER BY weak_fatigue_label NULLS FIRST, md5(CAST(report_id AS VARCHAR) || ':42'),
+                                report_id) - 1) % 3 + 1 AS INTEGER) AS oof_fold
+FROM nlp_enriched
+"""
+_BENCH = uniq(NLP, ["nlp_enriched", "bench_rows"])
+ORACLE["fatigue_benchmark_rows"] = with_ctes(_BENCH, """
+SELECT report_id, event_date, weak_fatigue_label, oof_fold, theme_primary_label, fatigue_confidence_tier FROM bench_rows
+""")
+ORACLE["fatigue_benchmark_design"] = with_ctes(_BENCH, """
+, toks AS (SELECT report_id, oof_fold, regexp_extract_all(strip_accents(lower(coalesce(narrative_clean, ''))),
+                                                        '[\\pL\\pN_]{2,}') AS t FROM bench_rows),
+grams AS (SELECT DISTINCT report_id, oof_fold,
+                 unnest(t || list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS term FROM toks),
+k AS (SELECT unnest([0, 1, 2, 3]) AS fold),
+tr AS (SELECT k.fold, count(*) AS n, CAST(sum(weak_fatigue_label) AS BIGINT) AS p
+       FROM k JOIN bench_rows b ON b.oof_fold <> k.fold GROUP BY k.fold),
+df AS (SELECT k.fold, term, count(*) AS df FROM k JOIN grams g ON g.oof_fold <> k.fold GROUP BY ALL),
+voc AS (SELECT df.fold, count(*) AS vocabulary_size FROM df JOIN tr ON df.fold = tr.fold
+        WHERE df.df >= 2 AND df.df <= 0.95 * tr.n GROUP BY df.fold)
+SELECT CAST(tr.fold AS INTEGER) AS fold, tr.n AS train_rows, tr.p AS train_positive_rows,
+       tr.n / (2.0 * tr.p) AS positive_weight, tr.n / (2.0 * (tr.n - tr.p)) AS negative_weight, voc.vocabulary_size
+FROM tr JOIN voc ON tr.fold = voc.fold
+""")
+
 # M1-M3: target, low-variance screen and imputation (exact median, most frequent with smallest on ties)
 ORACLE["imputed_features"] = with_ctes(["cul_raw", "trusted_culture"], """
 , f AS (SELECT *, CAST(coalesce(severity_score, 0) > 0 AS INTEGER) AS elevated_risk_flag FROM trusted_culture),
@@ -758,3 +787,81 @@ FROM f, med
 """)
 
 ORACLE["operations_from_csv"] = ORACLE["operational_disruption_summary"]
+
+# ---------------------------------------------------------------- operators behind files and adapters
+ORACLE["promotion_from_layers"] = ORACLE["promotion_summary"]
+ORACLE["trusted_investigations"] = with_ctes(INV, "SELECT * FROM trusted_investigations")
+ORACLE["three_file_source"] = ORACLE["trusted_investigations"]
+_ALIASED = dict(CTE)
+_ALIASED["inv_std"] = ROLE["aliased_investigations_raw"]
+ORACLE["aliased_investigations"] = "WITH " + ",\n".join(
+    f"{n} AS ({_ALIASED[n]})" for n in ("inv_std", "inv_valid", "trusted_investigations")) + "\nSELECT * FROM trusted_investigations"
+
+_DRIFTED = dict(CTE)
+_DRIFTED["ops_raw"] = f"""
+SELECT * REPLACE (CASE WHEN CAST(flight_number AS BIGINT) % 2 = 1 THEN NULL ELSE dep_delay END AS dep_delay)
+FROM ({ROLE["operations_raw"]})
+"""
+_DISRUPTION_BODY = ORACLE["operational_disruption_summary"].split("\nSELECT strftime(t.flight_date", 1)[1]
+ORACLE["union_by_name"] = "WITH " + ",\n".join(f"{n} AS ({_DRIFTED[n]})" for n in OPS) + "\nSELECT strftime(t.flight_date" + _DISRUPTION_BODY
+
+_EXPORTED = dict(CTE)
+_EXPORTED["rep_raw"] = f"""
+SELECT * REPLACE (regexp_replace(narrative, '[\\s"]+', ' ', 'g') AS narrative,
+                  regexp_replace(narrative_synopsis, '[\\s"]+', ' ', 'g') AS narrative_synopsis, CAST(NULL AS VARCHAR) AS aircraft_operator)
+FROM ({ROLE["reports_raw"]})
+"""
+ORACLE["two_row_header"] = "WITH " + ",\n".join(f"{n} AS ({_EXPORTED[n]})" for n in REP) + """
+SELECT report_id, event_date, location, aircraft_operator, anomaly, human_factors, narrative, source_system, narrative_privacy_note
+FROM trusted_reports
+"""
+
+ORACLE["event_features_defaults"] = f"""
+SELECT * EXCLUDE (severity_score, report_text, report_text_length), CAST(0.0 AS DOUBLE) AS severity_score
+FROM ({ORACLE["event_features"]})
+"""
+
+ORACLE["bi_extract"] = f"""
+SELECT * REPLACE (CAST(report_month || '-01' AS DATE) AS report_month,
+                  {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in (
+                      "operational_flight_legs", "cancelled_flights", "diverted_flights", "avg_departure_delay_minutes",
+                      "avg_arrival_delay_minutes", "asrs_report_count", "fatigue_related_report_count", "ntsb_investigation_count",
+                      "serious_or_higher_investigation_count", "avg_training_completion_rate", "avg_safety_engagement_score",
+                      "fatigue_training_completion_rate", "synthetic_elevated_risk_count"))})
+FROM ({_OVERVIEW_SQL})
+"""
+
+_REFERENCE = dict(
+    keyword=D.FATIGUE_KEYWORD_RULES, strong=D.FATIGUE_STRONG_RULES, sleep_rest=D.FATIGUE_SLEEP_REST_RULES,
+    alertness=D.FATIGUE_ALERTNESS_RULES, context=D.FATIGUE_CONTEXT_RULES, hypothetical=D.HYPOTHETICAL_PATTERNS,
+    themes=D.THEME_RULES, theme_priority=D.THEME_PRIORITY)
+_PLANTED = dict(CTE)
+_PLANTED["rep_raw"] = ROLE["planted_reports_raw"]
+_PLANTED["nlp_enriched"] = _nlp_sql(_REFERENCE)
+_PLANTED_CTES = "WITH " + ",\n".join(f"{n} AS ({_PLANTED[n]})" for n in uniq(NLP, ["nlp_enriched"])) + "\n"
+ORACLE["reference_rules"] = _PLANTED_CTES + "SELECT * EXCLUDE (narrative, narrative_clean) FROM nlp_enriched"
+ORACLE["reference_features"] = _PLANTED_CTES + _features_sql(dict(
+    explicit=D.EXPLICIT_TERMS, context=D.CONTEXT_TERMS, hypothetical=D.HYPOTHETICAL_PATTERNS, operational=D.OPERATIONAL_THEME_TERMS))
+
+# ---------------------------------------------------------------- M4, M5
+CTE["risk_rows"] = "SELECT *, CAST(coalesce(severity_score, 0) > 0 AS INTEGER) AS elevated_risk_flag FROM trusted_culture"
+ORACLE["holdout_split"] = with_ctes(["cul_raw", "trusted_culture", "risk_rows"], """
+SELECT event_id, elevated_risk_flag,
+       row_number() OVER (PARTITION BY elevated_risk_flag ORDER BY md5(event_id || ':42'), event_id)
+         <= round(0.2 * count(*) OVER (PARTITION BY elevated_risk_flag)) AS is_test
+FROM risk_rows
+""")
+_HOT = ("base_location", "fleet_group", "report_text")
+ORACLE["one_hot_features"] = with_ctes(["cul_raw", "trusted_culture", "risk_rows"], f"""
+, filled AS (SELECT event_id, elevated_risk_flag,
+                    coalesce(training_completion_rate, (SELECT median(training_completion_rate) FROM risk_rows)) AS x0,
+                    CAST(fatigue_training_flag AS DOUBLE) AS x1, {", ".join(_HOT)} FROM risk_rows),
+pairs AS ({" UNION ALL ".join(f"SELECT event_id, elevated_risk_flag, '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM filled" for c in _HOT)}),
+idx AS (SELECT feature, value, row_number() OVER (ORDER BY md5(feature || ':' || value), feature, value) - 1 + 2 AS i
+        FROM (SELECT DISTINCT feature, value FROM pairs WHERE elevated_risk_flag = 1 AND value IS NOT NULL)),
+entries AS (SELECT event_id, 0 AS i, x0 AS v FROM filled WHERE x0 <> 0 UNION ALL SELECT event_id, 1, x1 FROM filled WHERE x1 <> 0
+            UNION ALL SELECT p.event_id, idx.i, 1.0 FROM pairs p JOIN idx ON p.feature = idx.feature AND p.value = idx.value)
+SELECT f.event_id, coalesce(string_agg(CAST(e.i AS VARCHAR), ',' ORDER BY e.i), '') AS indices,
+       coalesce(string_agg(CAST(CAST(round(e.v * 1e6) AS BIGINT) AS VARCHAR), ',' ORDER BY e.i), '') AS values_e6
+FROM filled f LEFT JOIN entries e ON f.event_id = e.event_id GROUP BY f.event_id
+""")

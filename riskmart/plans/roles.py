@@ -6,14 +6,17 @@ TPC-H-like tables.  Every view is defined twice, side by side: as a DataFrame
 Both must stay identical in meaning.
 
 All derivations are joins along the tables' own foreign keys plus CASE rules on
-their columns; no row is dropped here (drops happen in the adapters under test).
+their columns; no row is dropped here (drops happen in the adapters under test).  A tenth of
+the reports, investigations and culture rows comes twice, with a differing later copy.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.functions import dictionaries as D
+
 # Study window used with the driver tables (their dates run 1995-2001).
 DRIVER_WINDOW = ("1996-01-01", "2000-12-31")
 
@@ -48,6 +51,8 @@ def operations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(r2, F.col("cn_region") == F.col("cr_key")))
     return j.select(
         F.when(F.col("l_linenumber") == 7, F.lit("n/a-date"))
+         .when(F.col("l_linenumber") == 6, F.concat(F.date_format("l_shipdate", "M/d/yyyy"), F.lit(" 12:00:00 AM")))
+         .when(F.col("l_linenumber") == 5, F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit("T00:00:00Z")))
          .when(F.col("l_linestatus") == "F", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
          .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("flight_date"),
         F.lower("l_returnflag").alias("reporting_airline"),
@@ -71,6 +76,17 @@ def operations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 OPERATIONS_ORDER = ["src_linenumber", "src_partkey", "src_suppkey", "src_quantity", "src_price",
                     "src_discount", "src_tax", "src_linestatus"]
 
+
+def _with_copies(df: DataFrame, twice: Column) -> DataFrame:
+    """``df`` with src_row, its place in the source: 1, and for rows of ``twice`` a later copy 2.
+
+    The copies differ in other columns, so keep-first must go by src_row to be right.
+    """
+    return df.withColumn("src_row", F.explode(F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+
+
+SRC_ORDER = ["src_row"]
+
 # ----------------------------------------------------------------- reports
 def reports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
@@ -79,12 +95,16 @@ def reports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = d.join(lab, d.doc_id == lab.l_doc, "left").join(
         n, F.pmod(d.doc_id, F.lit(25)) == n.n_nationkey, "left")
     day = F.date_add(F.lit("1996-01-01").cast("date"), F.pmod(F.col("doc_id"), F.lit(2000)).cast("int"))
+    base = _with_copies(base, F.pmod(F.col("doc_id"), F.lit(10)) == 3)
+    copy = F.col("src_row") == 2
+    synopsis_only = F.pmod(F.col("doc_id"), F.lit(20))  # 5: no narrative, 15: an empty one
     return base.select(
         F.col("doc_id").cast("string").alias("report_id"),
         F.when(F.col("n_chars") < 200, F.lit("unknown"))
          .when(F.col("lang") == "de", F.date_format(day, "yyyyMM"))
+         .when(F.col("lang") == "es", F.date_format(day, "MMMM d, yyyy"))
          .otherwise(F.date_format(day, "yyyy-MM-dd")).alias("event_date"),
-        F.col("n_name").alias("location"),
+        F.when(copy, F.lit("A LATER COPY")).otherwise(F.col("n_name")).alias("location"),
         F.when(F.col("source").isin("src0", "src1", "src2"), F.lit("Delta Air Lines"))
          .when(F.col("source").isin("src3", "src4"), F.lit(" skywest airlines"))
          .when(F.col("source") == "src5", F.lit(None).cast("string"))
@@ -94,19 +114,20 @@ def reports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(F.col("lang") == "fr", F.lit("Communication Breakdown"))
          .when(F.col("lang") == "de", F.lit("Distraction"))
          .otherwise(F.lit(None).cast("string")).alias("human_factors"),
-        F.col("text").alias("narrative"),
+        F.when(copy, F.lit("the der que")).when(synopsis_only == 5, F.lit(None).cast("string"))
+         .when(synopsis_only == 15, F.lit("")).otherwise(F.col("text")).alias("narrative"),
         F.when(F.col("quality") == 1, F.lit("Human Factors"))
          .when(F.col("quality") == 0, F.lit("Procedure"))
          .otherwise(F.lit(None).cast("string")).alias("assessments_contributing_factors_situations"),
         F.when(F.col("toxic") == 1, F.lit("Ambiguous")).otherwise(F.lit(None).cast("string"))
          .alias("assessments_primary_problem"),
-        F.lit(None).cast("string").alias("narrative_synopsis"),
+        F.when(synopsis_only.isin(5, 15), F.col("text")).alias("narrative_synopsis"),
         F.col("quality").alias("quality_label"),
-        F.col("doc_id").alias("src_doc_id"),
+        "src_row",
     )
 
 
-REPORTS_ORDER = ["src_doc_id"]
+REPORTS_ORDER = ["src_row"]
 
 # ----------------------------------------------------------------- investigations
 def investigation_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,10 +136,12 @@ def investigation_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     pri = F.col("o_orderpriority")
+    j = _with_copies(j, F.pmod(F.col("o_orderkey"), F.lit(10)) == 3)
     return j.select(
         F.col("o_orderkey").cast("string").alias("ev_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("ev_date"),
-        F.when(F.col("o_orderstatus") == "F", F.lit("ACC"))
+        F.when(F.col("src_row") == 2, F.lit("A Later Copy"))
+         .when(F.col("o_orderstatus") == "F", F.lit("ACC"))
          .when(F.col("o_orderstatus") == "O", F.lit("inc "))
          .otherwise(F.lit("ground damage")).alias("ev_type"),
         F.when(pri == "1-URGENT", F.lit("FATL"))
@@ -131,6 +154,7 @@ def investigation_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((pri == "4-NOT SPECIFIED") & (F.col("o_totalprice") > 150000), F.lit(2))
          .otherwise(F.lit(0)).alias("inj_tot_n"),
         F.lit(0).alias("inj_tot_t"),
+        "src_row",
     )
 
 
@@ -163,6 +187,20 @@ def investigation_injury_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def aliased_investigations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows under the source's own names: the type is in the first of three columns that has one."""
+    k = F.pmod(F.col("o_orderkey"), F.lit(4))
+    none = F.lit(None).cast("string")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("ev_id"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("ev_date"),
+        F.when(k == 0, F.lit("ACC")).otherwise(none).alias("ev_type"),
+        F.when(k == 1, F.lit("turbulence injury")).when(k == 0, F.lit("not this")).otherwise(none).alias("investigation_type"),
+        F.when(k == 2, F.lit("Hard Landing")).otherwise(none).alias("broad_phase_of_flight"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("fatal")).otherwise(F.lit("none ")).alias("ev_highest_injury"),
+        F.lit(1).alias("src_row"))
+
+
 # ----------------------------------------------------------------- promotion
 def promotion_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
@@ -183,6 +221,29 @@ def promotion_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Columns of the reports as an export has them: our column, upper and lower header cell.
+EXPORT_HEADER = (("report_id", "", "ACN"), ("event_date", "Time", "Date"), ("location", "Place", "Locale Reference"),
+                 ("anomaly", "Events", "Anomaly"), ("human_factors", "Person 1", "Human Factors"),
+                 ("narrative", "Report 1", "Narrative"), ("narrative_synopsis", "Report 1", "Synopsis"))
+
+
+def planted_phrases() -> list[str]:
+    """Every phrase of the reference's rules, and two hypothetical sentences."""
+    e = [D.FATIGUE_KEYWORD_RULES, D.FATIGUE_STRONG_RULES, D.FATIGUE_SLEEP_REST_RULES, D.FATIGUE_ALERTNESS_RULES, D.FATIGUE_CONTEXT_RULES,
+         *D.THEME_RULES.values(), D.EXPLICIT_TERMS, D.CONTEXT_TERMS, *D.OPERATIONAL_THEME_TERMS.values()]
+    found = list(dict.fromkeys(p for phrases in e for p in phrases))
+    return [*found, "could have been fatigue", "fatigue may have been a factor; we were tired"]
+
+
+def planted_reports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports with a sentence of three phrases of the reference's rules before the narrative."""
+    phrases = planted_phrases()
+    n, doc = len(phrases), F.col("report_id").cast("long")
+    pick = lambda i: F.element_at(F.array(*[F.lit(p) for p in phrases]), (F.pmod(doc * (2 * i + 1) + i, F.lit(n)) + 1).cast("int"))
+    sentence = F.concat(F.lit("I was "), pick(0), F.lit(". We had "), pick(1), F.lit(" "), pick(2), F.lit("! "))
+    return reports_raw(spark, sf_dir).withColumn("narrative", F.concat(sentence, F.coalesce("narrative", F.lit(""))))
+
+
 # ----------------------------------------------------------------- culture
 def culture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
@@ -190,8 +251,9 @@ def culture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     act = o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"),
                                      F.max("o_orderdate").alias("last_order"))
-    j = c.join(act, c.c_custkey == act.o_custkey).join(n, c.c_nationkey == n.n_nationkey, "left")
+    j = c.join(act, c.c_custkey == act.o_custkey, "left").join(n, c.c_nationkey == n.n_nationkey, "left")
     seg = F.col("c_mktsegment")
+    j = _with_copies(j, F.pmod(F.col("c_custkey"), F.lit(10)) == 3)
     return j.select(
         F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("event_id"),
         F.concat(F.lit("EP"), F.col("c_custkey").cast("string")).alias("employee_period_key"),
@@ -200,7 +262,7 @@ def culture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("SYNTHETIC_CULTURE").alias("source_system"),
         F.col("n_name").alias("base_location"),
         seg.alias("fleet_group"),
-        (F.col("c_acctbal") / 1000).alias("severity_score"),
+        F.when(F.col("src_row") == 2, F.lit(-99.0)).otherwise(F.col("c_acctbal") / 1000).alias("severity_score"),
         F.when((seg == "HOUSEHOLD") & (F.col("c_acctbal") < 0), F.lit(None).cast("double"))
          .otherwise((F.col("c_acctbal") + 1000) / 11000).alias("training_completion_rate"),
         F.when((seg == "AUTOMOBILE") & (F.col("c_acctbal") < 5000), F.lit(None).cast("double"))
@@ -208,6 +270,7 @@ def culture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(seg.isin("BUILDING", "MACHINERY"), F.lit(1)).otherwise(F.lit(0)).alias("fatigue_training_flag"),
         F.col("c_name").alias("report_text"),
         F.col("c_name").alias("employee_id"),
+        "src_row",
     )
 
 
@@ -235,6 +298,8 @@ FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 SQL["operations_raw"] = """
 SELECT
   CASE WHEN l.l_linenumber = 7 THEN 'n/a-date'
+       WHEN l.l_linenumber = 6 THEN strftime(l.l_shipdate, '%-m/%-d/%Y') || ' 12:00:00 AM'
+       WHEN l.l_linenumber = 5 THEN strftime(l.l_shipdate, '%Y-%m-%d') || 'T00:00:00Z'
        WHEN l.l_linestatus = 'F' THEN strftime(l.l_shipdate, '%Y-%m-%d %H:%M:%S')
        ELSE strftime(l.l_shipdate, '%Y-%m-%d') END AS flight_date,
   lower(l.l_returnflag) AS reporting_airline,
@@ -263,8 +328,9 @@ SELECT
   CAST(d.doc_id AS VARCHAR) AS report_id,
   CASE WHEN d.n_chars < 200 THEN 'unknown'
        WHEN d.lang = 'de' THEN strftime(DATE '1996-01-01' + CAST(d.doc_id % 2000 AS INTEGER), '%Y%m')
+       WHEN d.lang = 'es' THEN strftime(DATE '1996-01-01' + CAST(d.doc_id % 2000 AS INTEGER), '%B %-d, %Y')
        ELSE strftime(DATE '1996-01-01' + CAST(d.doc_id % 2000 AS INTEGER), '%Y-%m-%d') END AS event_date,
-  n.n_name AS location,
+  CASE WHEN s.src_row = 2 THEN 'A LATER COPY' ELSE n.n_name END AS location,
   CASE WHEN d.source IN ('src0', 'src1', 'src2') THEN 'Delta Air Lines'
        WHEN d.source IN ('src3', 'src4') THEN ' skywest airlines'
        WHEN d.source = 'src5' THEN NULL
@@ -273,23 +339,33 @@ SELECT
   CASE WHEN d.lang = 'en' THEN 'Fatigue; Situational Awareness'
        WHEN d.lang = 'fr' THEN 'Communication Breakdown'
        WHEN d.lang = 'de' THEN 'Distraction' ELSE NULL END AS human_factors,
-  d.text AS narrative,
+  CASE WHEN s.src_row = 2 THEN 'the der que' WHEN d.doc_id % 20 = 5 THEN NULL WHEN d.doc_id % 20 = 15 THEN ''
+       ELSE d.text END AS narrative,
   CASE WHEN lb.quality = 1 THEN 'Human Factors' WHEN lb.quality = 0 THEN 'Procedure' ELSE NULL END
     AS assessments_contributing_factors_situations,
   CASE WHEN lb.toxic = 1 THEN 'Ambiguous' ELSE NULL END AS assessments_primary_problem,
-  CAST(NULL AS VARCHAR) AS narrative_synopsis,
+  CASE WHEN d.doc_id % 20 IN (5, 15) THEN d.text END AS narrative_synopsis,
   lb.quality AS quality_label,
-  d.doc_id AS src_doc_id
+  s.src_row
 FROM documents d
+JOIN (VALUES (1), (2)) s(src_row) ON s.src_row = 1 OR d.doc_id % 10 = 3
 LEFT JOIN labels lb ON d.doc_id = lb.doc_id
 LEFT JOIN nation n ON d.doc_id % 25 = n.n_nationkey
 """
 
+_PHRASES = ", ".join("'" + p.replace("'", "''") + "'" for p in planted_phrases())
+_PICK = ("([" + _PHRASES + "])[((CAST(report_id AS BIGINT) * {m} + {i}) % " + str(len(planted_phrases())) + ") + 1]")
+SQL["planted_reports_raw"] = f"""
+SELECT * REPLACE ('I was ' || {_PICK.format(m=1, i=0)} || '. We had ' || {_PICK.format(m=3, i=1)} || ' ' || {_PICK.format(m=5, i=2)} || '! '
+                  || coalesce(narrative, '') AS narrative)
+FROM ({SQL["reports_raw"]})
+"""
+
 SQL["investigation_events_raw"] = """
 SELECT
   CAST(o.o_orderkey AS VARCHAR) AS ev_id,
   strftime(o.o_orderdate, '%Y-%m-%d') AS ev_date,
-  CASE WHEN o.o_orderstatus = 'F' THEN 'ACC' WHEN o.o_orderstatus = 'O' THEN 'inc '
+  CASE WHEN s.src_row = 2 THEN 'A Later Copy' WHEN o.o_orderstatus = 'F' THEN 'ACC' WHEN o.o_orderstatus = 'O' THEN 'inc '
        ELSE 'ground damage' END AS ev_type,
   CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'FATL'
        WHEN o.o_orderpriority = '2-HIGH' THEN 'sers '
@@ -299,8 +375,10 @@ SELECT
        ELSE 'UNK' END AS ev_highest_injury,
   n.n_name AS ev_nr_apt_id,
   CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' AND o.o_totalprice > 150000 THEN 2 ELSE 0 END AS inj_tot_n,
-  0 AS inj_tot_t
+  0 AS inj_tot_t,
+  s.src_row
 FROM orders o
+JOIN (VALUES (1), (2)) s(src_row) ON s.src_row = 1 OR o.o_orderkey % 10 = 3
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
@@ -325,6 +403,15 @@ SELECT
 FROM lineitem
 """
 
+SQL["aliased_investigations_raw"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS ntsb_event_id, strftime(o_orderdate, '%Y-%m-%d') AS event_date,
+       CASE o_orderkey % 4 WHEN 0 THEN 'ACC' WHEN 1 THEN 'turbulence injury' WHEN 2 THEN 'Hard Landing' END AS event_type,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'fatal' ELSE 'none ' END AS injury_severity,
+       CAST(NULL AS VARCHAR) AS airport_code, CAST(NULL AS VARCHAR) AS operator_name, CAST(NULL AS VARCHAR) AS aircraft_damage,
+       1 AS src_row
+FROM orders
+"""
+
 SQL["promotion_raw"] = """
 SELECT
   CAST(event_id AS VARCHAR) AS event_id,
@@ -347,16 +434,18 @@ SELECT
   'SYNTHETIC_CULTURE' AS source_system,
   n.n_name AS base_location,
   c.c_mktsegment AS fleet_group,
-  c.c_acctbal / 1000 AS severity_score,
+  CASE WHEN s.src_row = 2 THEN -99.0 ELSE c.c_acctbal / 1000 END AS severity_score,
   CASE WHEN c.c_mktsegment = 'HOUSEHOLD' AND c.c_acctbal < 0 THEN NULL
        ELSE (c.c_acctbal + 1000) / 11000 END AS training_completion_rate,
   CASE WHEN c.c_mktsegment = 'AUTOMOBILE' AND c.c_acctbal < 5000 THEN NULL ELSE c.c_acctbal / 2500 + 1 END
     AS safety_engagement_score,
   CASE WHEN c.c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 1 ELSE 0 END AS fatigue_training_flag,
   c.c_name AS report_text,
-  c.c_name AS employee_id
+  c.c_name AS employee_id,
+  s.src_row
 FROM customer c
-JOIN (SELECT o_custkey, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
+JOIN (VALUES (1), (2)) s(src_row) ON s.src_row = 1 OR c.c_custkey % 10 = 3
+LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
       FROM orders GROUP BY o_custkey) a ON c.c_custkey = a.o_custkey
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """

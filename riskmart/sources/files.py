@@ -1,15 +1,17 @@
 """File sources and sinks.
 
 All raw extracts are headered UTF-8 CSV read as strings (no inference); the CSV null-token
-list becomes SQL NULL once per source.  File listing and header sniffing touch only file
-metadata and first lines on the driver; rows are always read by Spark.
+list becomes SQL NULL once per source.  The driver lists files; tasks read their headers and
+Spark reads the rows.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,11 @@ from riskmart.functions import dictionaries as D
 from riskmart.functions.scalars import na_to_null, snake_case_columns
 
 
-# ------------------------------------------------------------------ listing helpers
+# ------------------------------------------------------------------ listing and headers
+#: Place of a row in the source: path, block of the file, and row within the block.
+SOURCE_ORDER = ["src_file", "src_block", "src_row"]
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -26,34 +32,50 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p
 
 
-def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
-    """Sorted ``*.csv`` paths in ``folder`` (Hadoop FS, so local or object stores alike)."""
-    fs, p = _fs(spark, folder)
-    if not fs.exists(p):
-        return []
-    return sorted(str(s.getPath().toString()) for s in fs.listStatus(p)
-                  if s.isFile() and s.getPath().getName().endswith(".csv"))
-
-
-def _first_line(spark: SparkSession, path: str) -> str:
-    fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return (line or "").lstrip("﻿")
-    finally:
-        stream.close()
-
-
-def _header_names(line: str) -> list[str]:
-    import csv
-    return next(csv.reader([line])) if line else []
+def list_csv_files(spark: SparkSession, folder: str | Sequence[str]) -> list[str]:
+    """Sorted ``*.csv`` paths in the folder or folders (Hadoop FS, so local or object stores alike)."""
+    found = []
+    for one in [folder] if isinstance(folder, str) else folder:
+        fs, p = _fs(spark, one)
+        if fs.exists(p):
+            found += [str(s.getPath().toString()) for s in fs.listStatus(p) if s.isFile() and s.getPath().getName().endswith(".csv")]
+    return sorted(found)
+
+
+def first_records(spark: SparkSession, files: Sequence[str], records: int) -> dict[tuple, list[str]]:
+    """Files by the cells of their first ``records`` records; tasks open the files, not the driver."""
+    def sniff(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import csv
+        import io
+        import itertools
+
+        import pyarrow as pa
+        from pyarrow import fs
+        for batch in batches:
+            paths, heads = batch.column(0).to_pylist(), []
+            for path in paths:
+                system, name = fs.FileSystem.from_uri(path)
+                with system.open_input_stream(name) as raw:
+                    text = io.TextIOWrapper(raw, "utf-8-sig", newline="")
+                    heads.append([row for row in itertools.islice(csv.reader(text), records)])
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(heads, pa.list_(pa.list_(pa.string())))], names=["path", "head"])
+
+    listed = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, min(len(files), 1000)))
+    groups: dict[tuple, list[str]] = {}
+    for r in listed.mapInArrow(sniff, "path string, head array<array<string>>").groupBy("head").agg(
+            F.sort_array(F.collect_list("path")).alias("paths")).collect():  # a row for each distinct head
+        groups[tuple(tuple(row) for row in r.head)] = list(r.paths)
+    return groups
 
 
-def _nulls(df: DataFrame) -> DataFrame:
-    return df.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
+def _read_strings(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], header: bool, multi_line: bool) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+    raw = (spark.read.schema(schema).option("header", header).option("multiLine", multi_line)
+           .option("escape", '"').option("nullValue", None).csv(list(paths)))
+    # attached here, file by file: a union of groups has no file metadata
+    order = [F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.file_block_start").alias("src_block"),
+             F.monotonically_increasing_id().alias("src_row"), F.col("_metadata.file_name").alias("raw_file_name")]
+    return raw.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in columns], *order)
 
 
 def empty_frame(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
@@ -61,33 +83,33 @@ def empty_frame(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 # ------------------------------------------------------------------ S1 / S2 / S5 / P7
-def read_csv_folder(spark: SparkSession, folder: str, lineage: bool = False,
-                    columns_if_empty: Sequence[str] = ()) -> DataFrame:
+def read_csv_folder(spark: SparkSession, folder: str | Sequence[str], lineage: bool = False, columns_if_empty: Sequence[str] = (),
+                    order: bool = False, multi_line: bool = False) -> DataFrame:
     """All ``*.csv`` in a folder, as strings, unioned by column name (schema drift, P7).
 
-    Files are grouped by header so each group is one distributed read; ``lineage`` adds
-    ``raw_file_name`` (S2).  No files -> an empty frame with ``columns_if_empty``.
+    Files are grouped by header so each group is one distributed read.  ``lineage`` adds
+    ``raw_file_name`` (S2) and ``order`` the ``SOURCE_ORDER`` columns for keep-first.  Quoted
+    line ends need ``multi_line``, which reads every file in one task.  No files -> an empty
+    frame with ``columns_if_empty``.
     """
+    extra = (["raw_file_name"] if lineage else []) + (SOURCE_ORDER if order else [])
     files = list_csv_files(spark, folder)
     if not files:
-        return empty_frame(spark, list(columns_if_empty) + (["raw_file_name"] if lineage else []))
-    groups: dict[tuple, list[str]] = {}
-    for f in files:
-        groups.setdefault(tuple(_header_names(_first_line(spark, f))), []).append(f)
+        return empty_frame(spark, [*columns_if_empty, *extra])
     frames = []
-    for header, paths in groups.items():
-        schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
-        df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-              .option("escape", '"').option("nullValue", None).csv(paths))
-        df = _nulls(df)
-        if lineage:
-            df = df.withColumn("raw_file_name", F.col("_metadata.file_name"))
-        frames.append(df)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    for head, paths in sorted(first_records(spark, files, 1).items()):
+        columns = list(head[0]) if head else []
+        if columns:  # an empty file has no header
+            frames.append(_read_strings(spark, paths, columns, True, multi_line).select(*[f"`{c}`" for c in columns], *extra))
+    return _union(frames) if frames else empty_frame(spark, [*columns_if_empty, *extra])
 
 
 def read_raw_dataset(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,81 +120,51 @@ def read_raw_dataset(spark: SparkSession, folder: str) -> DataFrame:
 # ------------------------------------------------------------------ S3 two-row header
 def flatten_two_row_header(top: Sequence[str | None], bottom: Sequence[str | None]) -> list[str]:
     """``top_bottom`` when both are set, otherwise whichever is set."""
-    out = []
-    for a, b in zip(top, bottom):
-        a, b = (a or "").strip(), (b or "").strip()
-        out.append(f"{a}_{b}" if a and b else (a or b))
-    return out
+    rows = [[(cell or "").strip() for cell in row] for row in (top, bottom)]
+    return ["_".join(filter(None, column)) for column in zip(*rows)]
 
 
-def read_two_row_header_exports(spark: SparkSession, folder: str) -> DataFrame:
+def read_two_row_header_exports(spark: SparkSession, folder: str | Sequence[str], multi_line: bool = True) -> DataFrame:
     """Exports whose rows 1-2 are a split header and row 3 a separator; data from row 4.
 
-    Rows are numbered per file (a multi-line CSV file is read by one task, in order); only
-    the two header rows of each file are collected.  All-NULL rows are dropped.  The file
-    order key is returned as ``src_file`` / ``src_row`` for keep-first de-duplication.
+    Files are grouped by their two header rows.  A file's first three records are those with
+    its three smallest row ids in its first block.  All-NULL rows are dropped.  The
+    ``SOURCE_ORDER`` columns are returned for keep-first de-duplication.
     """
     files = list_csv_files(spark, folder)
-    if not files:
-        return empty_frame(spark, ["raw_file_name"])
-    width = max(len(_header_names(_first_line(spark, f))) for f in files)
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(width)])
-    raw = (spark.read.schema(schema).option("header", False).option("multiLine", True)
-           .option("escape", '"').option("nullValue", None).csv(files))
-    raw = _nulls(raw).withColumns({"raw_file_name": F.col("_metadata.file_name"),
-                                   "_id": F.monotonically_increasing_id()})
-    first = raw.groupBy("raw_file_name").agg(F.min("_id").alias("_first"))
-    numbered = raw.join(F.broadcast(first), "raw_file_name").withColumn("_pos", F.col("_id") - F.col("_first"))
-    headers = {}
-    for r in numbered.where(F.col("_pos") < 2).collect():  # two rows per file
-        headers.setdefault(r["raw_file_name"], {})[r["_pos"]] = [r[f"_c{i}"] for i in range(width)]
     frames = []
-    by_names: dict[tuple, list[str]] = {}
-    for fname, rows in headers.items():
-        if 0 in rows and 1 in rows:
-            by_names.setdefault(tuple(flatten_two_row_header(rows[0], rows[1])), []).append(fname)
-    data = numbered.where(F.col("_pos") >= 3)
-    for names, fnames in by_names.items():
-        cols = [(i, n) for i, n in enumerate(names) if n]
-        part = data.where(F.col("raw_file_name").isin(fnames)).select(
-            *[F.col(f"_c{i}").alias(n) for i, n in cols], "raw_file_name",
-            F.col("raw_file_name").alias("src_file"), F.col("_pos").alias("src_row"))
-        value_cols = [n for _, n in cols]
-        part = part.dropna(how="all", subset=value_cols)
-        frames.append(part)
-    if not frames:
-        return empty_frame(spark, ["raw_file_name"])
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    for head, paths in sorted(first_records(spark, files, 2).items()) if files else []:
+        if len(head) < 2:
+            continue
+        names = flatten_two_row_header(*itertools.zip_longest(*itertools.zip_longest(*head)))
+        raw = _read_strings(spark, paths, [f"_c{i}" for i in range(len(names))], False, multi_line)
+        first = raw.where("src_block = 0").groupBy("src_file").agg(F.min("src_row").alias("_first"))
+        data = raw.join(first, "src_file").where((F.col("src_block") > 0) | (F.col("src_row") - F.col("_first") >= 3))
+        named = [(i, n) for i, n in enumerate(names) if n]
+        part = data.select(*[F.col(f"_c{i}").alias(n) for i, n in named], "raw_file_name", *SOURCE_ORDER)
+        frames.append(part.dropna(how="all", subset=[n for _, n in named]))
+    return _union(frames) if frames else empty_frame(spark, ["raw_file_name"])
 
 
 # ------------------------------------------------------------------ S4 three-table source
 def read_investigation_files(spark: SparkSession, folder: str):
-    """(events, aircraft, injury, raw_file_name) from the three fixed file names; None if absent."""
-    names = D.INVESTIGATION_FILES
-    present = {}
-    for n in names:
-        path = os.path.join(folder, n)
+    """(events, aircraft, injury, raw_file_name) from the three fixed file names; None if absent.
+
+    A name may be one file or a folder of part files; each table has the ``SOURCE_ORDER`` columns.
+    """
+    def table_of(name: str) -> DataFrame | None:
+        path = os.path.join(folder, name)
         fs, p = _fs(spark, path)
-        present[n] = path if fs.exists(p) else None
-    if present[names[0]] is None:
-        return None, None, None, ""
-    def rd(n):
-        if present[n] is None:
+        if not fs.exists(p):
             return None
-        return snake_case_columns(read_csv_folder_file(spark, present[n]))
-    lineage = "|".join(n for n in names if present[n] is not None)
-    return rd(names[0]), rd(names[1]), rd(names[2]), lineage
-
+        files = [path] if fs.getFileStatus(p).isFile() else list_csv_files(spark, path)
+        frames = [_read_strings(spark, paths, head[0], True, False) for head, paths in sorted(first_records(spark, files, 1).items()) if head]
+        return snake_case_columns(_union(frames).drop("raw_file_name")) if frames else None
 
-def read_csv_folder_file(spark: SparkSession, path: str) -> DataFrame:
-    header = _header_names(_first_line(spark, path))
-    schema = T.StructType([T.StructField(h, T.StringType(), True) for h in header])
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("escape", '"').option("nullValue", None).csv(path))
-    return _nulls(df).withColumn("src_row", F.monotonically_increasing_id())
+    tables = [table_of(n) for n in D.INVESTIGATION_FILES]
+    if tables[0] is None:
+        return None, None, None, ""
+    return *tables, "|".join(n for n, t in zip(D.INVESTIGATION_FILES, tables) if t is not None)
 
 
 # ------------------------------------------------------------------ S6 curated layer
@@ -191,7 +183,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).option("emptyValue", "").csv(path)
+        w.options(header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     else:
         w.format(fmt).save(path)
 

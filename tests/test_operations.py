@@ -5,9 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import write_csv
 from riskmart.operators import marts
-from riskmart.operators.quality import source_order_columns
 from riskmart.plans.trusted import trusted_operations
-from riskmart.sources.files import read_csv_folder
+from riskmart.sources.files import SOURCE_ORDER, read_csv_folder
 
 HEADER = ["FlightDate", "Reporting_Airline", "Flight_Number_Reporting_Airline", "Origin", "Dest",
           "DepDelay", "ArrDelay", "Cancelled", "Diverted", "Tail_Number"]
@@ -22,7 +21,7 @@ SAMPLE = [
 
 
 def _trusted(spark, folder):
-    raw, order = source_order_columns(read_csv_folder(spark, folder, lineage=True))
+    raw, order = read_csv_folder(spark, folder, lineage=True, order=True), SOURCE_ORDER
     return trusted_operations(raw, order)
 
 
@@ -65,7 +64,7 @@ def test_write_with_observed_counters(spark, tmp):
     from riskmart.plans.trusted import write_trusted_operations
     rows = SAMPLE + [["bad", "DL", "7", "ATL", "JFK", 1, 1, 0, 0, "x"], ["2025-01-09", "DL", "8", "ATL", "JFK", 1, 1, None, 0, "y"]]
     write_csv(os.path.join(tmp, "ops"), "a.csv", HEADER, rows)
-    raw, order = source_order_columns(read_csv_folder(spark, os.path.join(tmp, "ops"), lineage=True))
+    raw, order = read_csv_folder(spark, os.path.join(tmp, "ops"), lineage=True, order=True), SOURCE_ORDER
     counters = dict((k, v) for _, k, v in write_trusted_operations(raw, order, os.path.join(tmp, "trusted")))
     assert counters == {"loaded": 8, "deduplicated": 7, "required_present": 6, "written": 5}
     back = spark.read.parquet(os.path.join(tmp, "trusted"))

@@ -1,6 +1,7 @@
 """S1/S2/P7 CSV folders, S7/S8 sinks, S9 extract, M3/M4 preprocessing."""
 import json
 import os
+import statistics
 
 from pyspark.sql import functions as F
 
@@ -44,7 +45,28 @@ def test_impute_and_one_hot(spark):
     df = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (3.0, "b"), (4.0, "a"), (None, None)], "x double, c string")
     out = MD.impute(df, ["x"], ["c"]).collect()
     assert out[-1].x == 2.5 and out[-1].c == "a"  # exact median; most frequent, smallest on ties
-    pipe = MD.one_hot_pipeline(["c"], ["x"]).fit(MD.impute(df, ["x"], ["c"]))
-    unseen = spark.createDataFrame([(1.0, "zzz")], "x double, c string")
-    v = pipe.transform(unseen).first()["features"].toArray().tolist()
-    assert v == [1.0, 0.0, 0.0]  # unseen category -> all-zero block
+    index = MD.category_index(MD.impute(df, ["x"], ["c"]), ["c"])
+    assert sorted((r.value, r["index"]) for r in index.collect()) in ([("a", 0), ("b", 1)], [("a", 1), ("b", 0)])
+    unseen = spark.createDataFrame([(1, 1.0, "zzz"), (2, 2.0, "b"), (3, 0.0, None)], "k int, x double, c string")
+    rows = {r.k: [tuple(e) for e in r.entries] for r in MD.one_hot(unseen, "k", ["x"], ["c"], index).collect()}
+    b = {r.value: r["index"] for r in index.collect()}["b"] + 1
+    assert rows == {1: [(0, 1.0)], 2: [(0, 2.0), (b, 1.0)], 3: []}  # unseen category -> all-zero block
+
+
+def test_medians_and_modes_of_many_values(spark):
+    for values in ([3.0, 1.0, 2.0], [4.0, 1.0, 2.0, 9.0], [5.0] * 9 + [1.0], [float(i * i % 97) for i in range(501)]):
+        df = spark.createDataFrame([(v, None if i % 3 else "x") for i, v in enumerate(values)] + [(None, "y")], "x double, c string")
+        got = MD.impute(df, ["x"], ["c"]).where("c is not null").collect()
+        assert {r.x for r in got if r.x not in values} <= {statistics.median(values)}
+        assert MD._exact_median(df, "x") == statistics.median(values)
+    assert MD._most_frequent(spark.createDataFrame([("b",), ("a",), (None,), (None,)], "c string"), "c") == "a"
+    assert MD._exact_median(spark.createDataFrame([], "x double"), "x") is None
+
+
+def test_drifting_headers_keep_source_order(spark, tmp):
+    from riskmart.operators.quality import keep_first
+    from riskmart.sources.files import SOURCE_ORDER
+    write_csv(tmp, "b.csv", ["v", "k"], [["late", "1"], ["only", "2"]])
+    write_csv(tmp, "a.csv", ["k", "w"], [["1", "early"], ["1", "later"]])
+    rows = {r.k: r for r in keep_first(read_csv_folder(spark, tmp, order=True), ["k"], SOURCE_ORDER).collect()}
+    assert rows["1"].w == "early" and rows["1"].v is None and rows["2"].v == "only"
