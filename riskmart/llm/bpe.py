@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.llm.common import fresh, ship, table, texts
+from riskmart.llm.common import fresh, ship, slices, table, texts
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PART_CHARS = 32_768
@@ -91,7 +91,7 @@ def bpe_round_trip(df: DataFrame, rank_path: str, pattern: str, text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = load_encoding(rank_path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             n, digest, back, all_ids, all_text = [], [], [], [], []
             for t in texts(batch.column(batch.num_columns - 1)):
                 ids = encode(encoding, t)

@@ -84,6 +84,17 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most ``rows`` rows, so that a task holds few texts at a time.
+
+    Memory that Arrow keeps for later goes back to the system when the task ends.
+    """
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def texts(column: pa.ChunkedArray | pa.Array) -> list[str]:
     """Python strings of an Arrow column, null as the empty text."""
     return [t or "" for t in column.to_pylist()]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import fresh, materialize, ship, table
+from riskmart.llm.common import fresh, materialize, ship, slices, table
 
 # Element kinds.
 DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|title|button)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
@@ -335,7 +335,7 @@ def induce_wrappers(df: DataFrame, host: Column, html_col: str, group: int = 256
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, tuple[int, dict]] = {}
         part = 0
-        for batch in batches:
+        for batch in slices(batches):
             part = batch.column(2)[0].as_py() if batch.num_rows else part
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 tree = wrapper_of(parse(page or "")[0])
@@ -392,7 +392,7 @@ def extract_text(df: DataFrame, url_col: str = "url", html_col: str = "html", br
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, dict] = {}
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for wrapper, html in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 if wrapper is not None and wrapper not in known:

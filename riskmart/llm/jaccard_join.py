@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import broadcast_below, components, fresh, materialize, runs, ship, table, texts
+from riskmart.llm.common import broadcast_below, components, fresh, materialize, runs, ship, slices, table, texts
 
 N, PERCENT, BLOCK_ROWS, CHECK_ROWS = 4, 85, 16_384, 512
 _U = np.uint64
@@ -41,7 +41,7 @@ class _WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
-        if len(self) > 1_000_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -218,7 +218,7 @@ def shingle_sets(df: DataFrame, text_col: str, keep: list[str], n: int = N, perc
     lows = bands(percent, 1 << 40)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             size, key, signature = [], [], []
             for t in texts(batch.column(batch.num_columns - 1)):
                 s = shingles(t, n)
@@ -314,7 +314,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     chosen = materialize(candidates.join(distinct.select("key", "id"), "key"), "jac-chosen")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [shingles(t, n) for t in texts(batch["body"])]
             yield pa.RecordBatch.from_pydict({
                 "set_key": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() for s in found], pa.string()),

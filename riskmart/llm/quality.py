@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskmart.llm.common import fresh, materialize, ship, table, texts
+from riskmart.llm.common import fresh, materialize, ship, slices, table, texts
 
 MAX_LABELLED, PAIRS_EACH, CUT_SCORE = 20_000, 12, 0.3
 
@@ -66,7 +66,7 @@ def features(df: DataFrame, text_col: str, keep: list[str], out: str = "features
     schema = df.select(*keep).schema.add(out, T.ArrayType(T.DoubleType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [text_features(t) for t in texts(batch.column(batch.num_columns - 1))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, pa.list_(pa.float64()))], names=schema.names)
 
@@ -173,7 +173,7 @@ def score_quality(docs: DataFrame, ranking: Ranking, id_col: str = "doc_id", tex
     schema = docs.select(*kept).schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = np.array([text_features(t) for t in texts(batch.column(batch.num_columns - 1))]).reshape(-1, N_FEATURES)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ranking.score(rows), pa.float64())], names=schema.names)
 

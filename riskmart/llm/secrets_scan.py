@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import fresh, ship, table, texts
+from riskmart.llm.common import fresh, ship, slices, table, texts
 
 # Fixed values of the base kinds: pattern and least length (of group 2 for assign, else of the match).
 KINDS = ("assign", "access", "hex", "entropy")
@@ -139,7 +139,7 @@ def scan_secrets(df: DataFrame, text_col: str = "text", mask: str | None = None)
         schema = schema.add(text_col, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             column = batch.column(batch.num_columns - 1)
             rows, clean = [], []
             for t in texts(column):

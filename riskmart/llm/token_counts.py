@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import fresh, ship, table, texts
+from riskmart.llm.common import fresh, ship, slices, table, texts
 
 MODEL = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
@@ -121,7 +121,7 @@ def frequent_pretokens(df: DataFrame, text_col: str, max_entries: int, per_task:
     """(token, n): the leaders of every task's bounded pre-token summary, merged."""
     def leaders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for t in texts(batch.column(0)):
                 seen.update(pretokens(t))
                 if len(seen) > 20 * per_task:  # lossy counting: the rare half goes
@@ -168,7 +168,7 @@ def token_counts(df: DataFrame, model_path: str, text_col: str = "text", over: i
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = lengths()
-        for batch in batches:
+        for batch in slices(batches):
             ts = texts(batch.column(batch.num_columns - 1))
             arrays = batch.columns[:-1] + [pa.array([len(t.encode()) for t in ts], pa.int64()),
                                            pa.array([count_tokens(known, t) for t in ts], pa.int64())]
