@@ -29,9 +29,12 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once for each application."""
+    """Make this package importable in the Python workers of a local session, once for each application.
+
+    On a cluster the package is installed or submitted with ``--py-files``, as any other.
+    """
     context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
+    if not context.master.startswith("local") or context.master.startswith("local-cluster") or context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[2]
     with tempfile.TemporaryDirectory() as folder:
@@ -50,7 +53,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     folder = "file://" + tempfile.mkdtemp(prefix="riskmart-shared-")
     spark.conf.set("spark.checkpoint.dir", folder)

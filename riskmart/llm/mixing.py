@@ -7,9 +7,10 @@ grows with the root of its size, its random number is a hash, and documents rank
 
     odds(random) / odds(inclusion),
 
-the Pareto order.  The sample is the shortest run of that order whose words come nearest to
-the remainder, so its size in words is fixed but for half a document, and a rerun gives
-the same mix.
+the Pareto order.  The sample is the longest run of that order whose words fit into the
+remainder, and one document more, of those after the run the one whose size is nearest to
+what is still missing (none if that would not bring the words nearer).  So the sample's size
+in words is fixed but for a few words, and a rerun gives the same mix.
 
 Only DataFrame functions are used.  A source may hold most of the rows: its order is cut into
 buckets of the rank variable, words are summed by bucket, and only documents of the one
@@ -114,16 +115,24 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
         broadcast_below(ends, 1_000_000), F.col(src).eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("e_bucket")))
     order = Window.partitionBy("e_source", "e_bucket").orderBy(q, u, "size").rowsBetween(Window.unboundedPreceding, 0)
     edge = edge.withColumn("c_after", F.col("b_before") + F.sum("size").over(order))
-    # a document stays if the words after it are nearer to the remainder than those before it
-    last = edge.where(F.col("c_after") - F.col("size") / 2.0 <= F.col("b_rest")).groupBy(F.col(src).alias("l_source")).agg(
-        F.max(F.struct(q, u, "size")).alias("l_last"))
+    last = edge.where(F.col("c_after") <= F.col("b_rest")).groupBy(F.col(src).alias("l_source")).agg(
+        F.max(F.struct(q, u, "size")).alias("l_last"), F.max("c_after").alias("l_words"))
     cuts = ends.join(last, F.col("e_source").eqNullSafe(F.col("l_source")), "left").select(
-        F.col("e_source").alias("c_source"), F.col("e_bucket").alias("c_bucket"), F.col("l_last").alias("c_last"))
+        F.col("e_source").alias("c_source"), F.col("e_bucket").alias("c_bucket"), F.col("l_last").alias("c_last"),
+        (F.col("b_rest") - F.coalesce("l_words", "b_before")).alias("c_gap"))
     cuts = materialize(cuts, "mix-cuts")
+    place = F.struct(q, u, "size")
+    in_run = F.col("c_bucket").isNull() | (F.col(b) < F.col("c_bucket")) | (
+        (F.col(b) == F.col("c_bucket")) & F.coalesce(place <= F.col("c_last"), F.lit(False)))
+    missed = F.abs(F.col("c_gap") - F.col("size"))
+    closing = live.join(broadcast_below(cuts, 1_000_000), F.col("t_source").eqNullSafe(F.col("c_source"))).where(
+        ~in_run & (missed < F.col("c_gap"))).groupBy(F.col("c_source").alias("d_source")).agg(
+        F.min(F.struct(missed.alias("missed"), q, u, "size")).alias("d_best"))
+    cuts = cuts.join(closing, F.col("c_source").eqNullSafe(F.col("d_source")), "left").select(
+        "c_source", "c_bucket", "c_last", F.struct(F.col(f"d_best.{q}"), F.col(f"d_best.{u}"), F.col("d_best.size")).alias("c_closing"))
+    cuts = materialize(cuts, "mix-closed")
     out = ranked.join(broadcast_below(cuts, 1_000_000), F.col("t_source").eqNullSafe(F.col("c_source")), "left")
-    sampled = F.when((F.col("size") <= 0) | (F.col("t_rest") <= 0), False).when(
-        F.col("c_bucket").isNull() | (F.col(b) < F.col("c_bucket")), True).when(F.col(b) > F.col("c_bucket"), False).otherwise(
-        F.coalesce(F.struct(q, u, "size") <= F.col("c_last"), F.lit(False)))
+    sampled = (F.col("size") > 0) & (F.col("t_rest") > 0) & (in_run | F.coalesce(place == F.col("c_closing"), F.lit(False)))
     copies = F.when(F.col("size") > 0, F.col("t_whole") + sampled.cast("long")).otherwise(F.lit(0)).cast("long")
     return out.select(*kept, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
@@ -164,8 +173,14 @@ q AS (SELECT *, (u / (1 - u)) * ((1 - inclusion) / inclusion) AS q FROM i),
 c AS (
   SELECT *, CASE WHEN size > 0 AND rest > 0 THEN sum(CASE WHEN size > 0 AND rest > 0 THEN size ELSE 0 END) OVER (
          PARTITION BY source ORDER BY q, u, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS after
-  FROM q)
+  FROM q),
+g AS (SELECT source, max(rest) - coalesce(max(after) FILTER (WHERE after <= rest), 0) AS gap FROM c WHERE size > 0 AND rest > 0 GROUP BY source),
+best AS (
+  SELECT c.source, arg_min({'q': q, 'u': u, 'size': size}, (abs(gap - size), q, u, size)) AS closing
+  FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source
+  WHERE size > 0 AND rest > 0 AND after > rest AND abs(gap - size) < gap GROUP BY c.source)
 SELECT doc_id, size, source_size, target,
-       (CASE WHEN size > 0 THEN whole + CASE WHEN after - size / 2.0 <= rest THEN 1 ELSE 0 END ELSE 0 END)::BIGINT * size AS taken
-FROM c
+       (CASE WHEN size > 0 THEN whole + CASE WHEN after <= rest OR coalesce({'q': q, 'u': u, 'size': size} = closing, FALSE) THEN 1 ELSE 0 END
+             ELSE 0 END)::BIGINT * size AS taken
+FROM c LEFT JOIN best ON c.source IS NOT DISTINCT FROM best.source
 """
