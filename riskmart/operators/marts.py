@@ -118,6 +118,7 @@ def safety_promotion_summary(promo: DataFrame, states: Lookup | None = None) ->
 
 # ------------------------------------------------------------------ A5 (+A8, J3, O1)
 OVERVIEW_KEYS = ["report_month", "airport", "region"]
+# FIXED VALUES: columns of the overview, in the extract's order.
 OVERVIEW_MEASURES = [
     ("operational_flight_legs", "long"),
     ("cancelled_flights", "long"),

@@ -22,6 +22,7 @@ from riskmart.operators.quality import (
     drop_required_nulls, keep_first, validate_no_duplicates, validate_null_threshold,
     validate_required_columns,
 )
+from riskmart.session import written
 
 
 def rename_if_absent(df: DataFrame, aliases: dict[str, str]) -> DataFrame:
@@ -292,3 +293,13 @@ def write_trusted_operations(raw: DataFrame, order: Sequence[str], path: str, wi
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return [("operations", k, int(o.get["rows"])) for k, o in obs.items()]
+
+
+def write_trusted_culture(raw: DataFrame, order: Sequence[str], path: str,
+                          null_threshold: float | None = D.NULL_RATIO_THRESHOLD) -> None:
+    """E1.4 as a write job: the rows are built once, V2 and V3 read the copy, and only a table that passes is written."""
+    built = written(trusted_culture(raw, order, check=False), "trusted-culture")
+    if null_threshold is not None:
+        validate_null_threshold(built, null_threshold)
+    validate_no_duplicates(built, D.CULTURE_KEYS)
+    built.write.mode("overwrite").parquet(path)

@@ -32,3 +32,42 @@ def test_checks_raise(spark):
     with pytest.raises(DataQualityError):
         validate_label(df.withColumn("y", F.lit("x")), "y")
     assert validate_label(df.withColumn("y", F.lit("1.0")), "y").first()["y"] == 1
+
+
+def test_checks_of_the_write_jobs(spark, tmp):
+    from riskmart.operators.text_rules import write_narrative_features
+    from riskmart.plans.trusted import write_trusted_culture
+    from riskmart.functions import dictionaries as D
+    columns = list(D.CULTURE_REQUIRED)
+    rows = [tuple(f"{c}{i}" for c in columns) for i in (1, 1, 2)]
+    raw = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], [*columns, "src_row"])
+    write_trusted_culture(raw, ["src_row"], f"{tmp}/c")
+    assert spark.read.parquet(f"{tmp}/c").count() == 2
+    with pytest.raises(DataQualityError):
+        write_trusted_culture(raw.withColumn(columns[-1], F.lit(None).cast("string")), ["src_row"], f"{tmp}/d")
+    nlp = spark.createDataFrame([("r1", "2025-01-01", "i was tired.", "1"), ("r2", "2025-01-01", "", "x")],
+                                "report_id string, event_date string, narrative_clean string, weak_fatigue_label string")
+    with pytest.raises(DataQualityError):
+        write_narrative_features(nlp, f"{tmp}/f")
+    write_narrative_features(nlp.where("report_id = 'r1'"), f"{tmp}/f")
+    assert spark.read.parquet(f"{tmp}/f").first().weak_fatigue_label == 1
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    from riskmart.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())
