@@ -45,6 +45,8 @@ BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dia
 BOILER_WORDS = frozenset("nav navbar navigation menu menus ad ads advert adverts advertisement sponsor sponsored banner cookie cookies consent notice notices "
                          "alert sidebar footer header masthead comment comments reply replies respond share sharing social promo related breadcrumb breadcrumbs "
                          "newsletter subscribe subscription popup modal overlay widget pagination pager login signup search toolbar copyright".split())
+BOILER_PREFIXES = ("advert", "sponsor", "cookie", "comment", "breadcrumb", "newsletter", "sidebar", "footer", "navbar", "navigation")
+TITLE_WORDS = frozenset(["header", "masthead"])  # inside an article these hold its title
 SPLIT_WORDS = re.compile(r"[^a-z0-9]+")
 #: Misra-Gries counters a node, nodes a wrapper, pages a host needs, and the shares that make template.
 COUNTERS, MAX_NODES, LEAST_PAGES, SLOT_SHARE, TEXT_SHARE, LINK_SHARE = 8, 2000, 4, 0.6, 0.8, 0.6
@@ -61,24 +63,25 @@ class Node:
         self.texts: list[str] = []
 
 
-_LABELS: dict[tuple[str, str], tuple[str, bool]] = {}
+_LABELS: dict[tuple[str, str, bool], tuple[str, bool]] = {}
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """(label, is boilerplate by itself) of a start tag."""
+def _label(tag: str, attributes: str, article: bool) -> tuple[str, bool]:
+    """(label, is boilerplate by itself) of a start tag, inside an article or not."""
     if not attributes.strip():
         return tag, tag in BOILER_TAGS
-    found = _LABELS.get((tag, attributes))
+    found = _LABELS.get((tag, attributes, article))
     if found is None:
         values = {m[0].lower(): " ".join((m[1] or m[2] or m[3]).lower().split()) for m in ATTRIBUTE.findall(attributes)}
         words = set(SPLIT_WORDS.split(f"{values.get('class', '')} {values.get('id', '')}"))
-        boiler = tag in BOILER_TAGS or bool(words & BOILER_WORDS) or bool(set(values.get("role", "").split()) & BOILER_ROLES)
+        marks = {w for w in words if w in BOILER_WORDS or w.startswith(BOILER_PREFIXES)} - (TITLE_WORDS if article else frozenset())
+        boiler = tag in BOILER_TAGS or bool(marks) or bool(set(values.get("role", "").split()) & BOILER_ROLES)
         name = values.get("class") or values.get("id") or ""
         found = (f"{tag}.{re.sub('[0-9]+', '#', name)}" if name else tag, boiler and tag not in ("html", "body", "article", "main"))
         if len(_LABELS) > 10_000:
             _LABELS.clear()
         if len(attributes) < 200:
-            _LABELS[tag, attributes] = found
+            _LABELS[tag, attributes, article] = found
     return found
 
 
@@ -137,7 +140,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, bool]]]:
                     del stack[at:], tags[at:]
                     break
         parent = stack[-1]
-        label, boiler = _label(tag, attributes)
+        label, boiler = _label(tag, attributes, parent.article)
         if tag == "header":  # a page's header, not an article's
             boiler = not parent.article
         last = parent.children[-1] if parent.children else None

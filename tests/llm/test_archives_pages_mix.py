@@ -14,8 +14,8 @@ def page(i, layout, paragraphs=3):
     if layout == "plain":  # nothing but the wrapper tells what is article
         return (f"<html><head><title>T{i}</title><script>var a='<p>no</p>';</script></head><body><div>Welcome to our site</div><div><a href='/'>Home</a> <a href='/x'>All</a></div>"
                 f"<div id=body{i}><h1>Title {i}</h1>{body}</div><div>All rights reserved</div><form>Search <input></form></body></html>"), [f"Title {i}"] + want
-    return (f"<HTML><BODY><NAV><ul><li><a href=/>n{i}</a></ul></NAV><!-- <p>x</p> --><div class='ad top'>Buy {i}</div><article><header><h1>Title {i}</h1></header>{body}"
-            f"<aside>side {i}</aside></article><section id=comments><p>reader {i}</section><footer>&copy; {i}</footer>"), [f"Title {i}"] + want
+    return (f"<HTML><BODY><NAV><ul><li><a href=/>n{i}</a></ul></NAV><!-- <p>x</p> --><div class='ad top'>Buy {i}</div><article><div class='entry-header'><h1>Title {i}</h1></div>{body}"
+            f"<aside>side {i}</aside></article><div class='sidebar1'>side</div><section id=comments><p>reader {i}</section><footer>&copy; {i}</footer>"), [f"Title {i}"] + want
 
 
 def test_pages_with_and_without_marks(spark):
