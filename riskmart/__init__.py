@@ -14,7 +14,7 @@ operators/  data-quality kit, keep-first de-duplication, marts, text rules,
             narrative features, evaluation curves and model tables
 plans/      trusted-layer adapters, role views over the driver tables, SQL views,
             dashboard queries and the oracle SQL used by the correctness gate
-streaming/  incremental (file-by-file) trusted ingestion with Structured Streaming
+llm/        operators for preparing training data; nothing else imports them
 """
 
 from riskmart.session import get_spark, checkpoint_dir  # noqa: F401

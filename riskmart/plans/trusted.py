@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from riskmart.functions import dictionaries as D
 from riskmart.functions.scalars import (
     blank_or_null, blank_to_null, code_norm, indicator, in_window, lenient_double, lenient_double_of, map_lookup,
-    null_safe_sum, parse_timestamp, py_strip, py_title, snake_case_columns, to_timestamp_col,
+    null_safe_sum, py_strip, py_title, snake_case_columns, to_timestamp_col,
 )
 from riskmart.operators.quality import (
     drop_required_nulls, keep_first, validate_no_duplicates, validate_null_threshold,
