@@ -30,9 +30,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from riskmart.llm.common import broadcast_below, fresh, materialize, shared_folder, ship, table
+from riskmart.llm.common import broadcast_below, materialize, shared_folder, ship, table
 
 VERSION, DATE = "WARC/1.1", "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
