@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from riskmart.llm.common import broadcast_below, components, fresh, materialize, runs, ship, slices, table, texts
 
 N, PERCENT, BLOCK_ROWS, CHECK_ROWS = 4, 85, 16_384, 512
+#: Bytes of bitmaps in a block and of sets in a block of the exact comparison; large sets make smaller blocks.
+BLOCK_BYTES, CHECK_BYTES = 64 << 20, 32 << 20
 _U = np.uint64
 _MULT = _U(0x9E3779B97F4A7C15)
 
@@ -234,7 +236,8 @@ def shingle_sets(df: DataFrame, text_col: str, keep: list[str], n: int = N, perc
 
 def _candidates(sets: DataFrame, percent: int, block_rows: int) -> DataFrame:
     """(a, b): a spanning forest of candidate pairs for each tile of ``sets`` (key, n, signature, band)."""
-    counts = {r.band: math.ceil(r["count"] / block_rows) for r in sets.groupBy("band").count().collect()}  # a row a band
+    sizes = sets.groupBy("band").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("signature")).alias("bytes")).collect()  # a row a band
+    counts = {r.band: max(math.ceil(r.rows / block_rows), math.ceil(r.bytes / BLOCK_BYTES)) for r in sizes}
     blocks = F.create_map(*[F.lit(x) for b, c in counts.items() for x in (b, c)]) if counts else F.create_map().cast("map<int,int>")
     of = lambda b: F.coalesce(F.try_element_at(blocks, b), F.lit(0))
     own, after, before = of(F.col("band")), of(F.col("band") + 1), of(F.col("band") - 1)
@@ -269,7 +272,8 @@ def _candidates(sets: DataFrame, percent: int, block_rows: int) -> DataFrame:
 
 def _verified(arrays: DataFrame, percent: int, check_rows: int) -> DataFrame:
     """(a, b): true links of ``arrays`` (component, key, hashes), a spanning forest for each tile."""
-    sizes = arrays.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / check_rows).alias("blocks")).where("blocks > 1")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / check_rows), F.ceil(F.sum(F.octet_length("hashes")) / CHECK_BYTES))
+    sizes = arrays.groupBy("component").agg(blocks.alias("blocks")).where("blocks > 1")
     rows = arrays.join(broadcast_below(materialize(sizes, "jac-blocks"), 1_000_000), "component", "left").withColumn(
         "blocks", F.coalesce("blocks", F.lit(1)))
     block = F.pmod(F.xxhash64("key"), F.col("blocks"))
