@@ -3,10 +3,10 @@
 Three fixed kinds are found by pattern: ``assign``, ``access`` and ``hex``.  The method adds
 a fourth, ``entropy``: in every candidate string (a long run of key characters) each window
 of fixed width is scored by the Shannon entropy of its characters, separately for each
-character class the run can belong to.  Counts are updated by one character in and one out
+character class, in the longest runs of that class within the string.  Counts are updated by one character in and one out
 per step, and ``sum(c log c)`` with them, so a run costs one step a character.  Windows
-above the class threshold that hold letters and digits mixed are joined to spans, unless
-the allow-list names the run.
+above the class threshold that hold letters and digits mixed are joined to spans, over all
+classes, unless the allow-list names the run.
 """
 
 from __future__ import annotations
@@ -44,6 +44,12 @@ ALLOW = tuple(re.compile(p) for p in (
     r"[A-Za-z/_=+-]*",
     r"[0-9/_=+-]*",
 ))
+#: The longest runs of each class that have room for a window.
+CLASS_RUNS = tuple(re.compile(f"[{re.escape(''.join(sorted(allowed)))}]{{{width},}}") for _, allowed, width, _ in CLASSES)
+
+
+def allowed_run(run: str) -> bool:
+    return any(p.fullmatch(run) for p in ALLOW)
 
 
 def high_entropy_windows(run: str, width: int, threshold: float) -> list[tuple[int, int]]:
@@ -82,17 +88,26 @@ def high_entropy_windows(run: str, width: int, threshold: float) -> list[tuple[i
 
 
 def entropy_spans(text: str) -> list[tuple[int, int]]:
-    """Spans the method adds to the fixed kinds, by the narrowest class of each candidate."""
-    found = []
+    """Spans the method adds to the fixed kinds: windows of each candidate's longest runs in every class, joined.
+
+    A run of a class that a narrower class holds whole is not scanned again: the narrower class asks for less.
+    """
+    found: list[tuple[int, int]] = []
     for m in CANDIDATE.finditer(text):
-        run = m.group()
-        if any(p.fullmatch(run) for p in ALLOW):
+        if allowed_run(m.group()):
             continue
-        characters = set(run)
-        for _, allowed, width, threshold in CLASSES:
-            if characters <= allowed:
-                found += [(m.start() + a, m.start() + b) for a, b in high_entropy_windows(run, width, threshold)]
-                break
+        spans = []
+        for at, (_, _, width, threshold) in enumerate(CLASSES):
+            for part in CLASS_RUNS[at].finditer(m.group()):
+                run = part.group()
+                if not (at and CLASS_RUNS[at - 1].fullmatch(run)) and not allowed_run(run):
+                    spans += [(m.start() + part.start() + a, m.start() + part.start() + b) for a, b in high_entropy_windows(run, width, threshold)]
+        first = len(found)
+        for a, b in sorted(spans):
+            if len(found) > first and a <= found[-1][1]:
+                found[-1] = (found[-1][0], max(b, found[-1][1]))
+            else:
+                found.append((a, b))
     return found
 
 
