@@ -32,7 +32,10 @@ from pyspark.sql import functions as F
 from riskmart.llm.common import fresh, materialize, ship, slices, table
 
 # Element kinds.
-DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select|title|button)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
+# Only comments, scripts, styles and textareas run to the end of the page; the others are dropped with an end tag of their own, innermost first.
+DROPPED = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style|textarea)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"""
+                     r"""|<(noscript|template|svg|iframe|select|title|button)(?=[\s/>])(?:[^<>"']|"[^"]*"|'[^']*')*+(?<!/)>"""
+                     r"""[^<]*+(?:<(?!/?\2[\s/>])[^<]*+)*+</\2\s*>""", re.I | re.S)
 TOKEN = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|([^<]+|<(?![a-zA-Z/!?]))|<[^>]*>?""")
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 BLOCKS = frozenset("html head body header footer nav main article section aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
@@ -44,10 +47,16 @@ BOILER_TAGS = frozenset("head nav footer aside form fieldset dialog menu".split(
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form".split())
 BOILER_WORDS = frozenset("nav navbar navigation menu menus ad ads advert adverts advertisement sponsor sponsored banner cookie cookies consent notice notices "
                          "alert sidebar footer header masthead comment comments reply replies respond share sharing social promo related breadcrumb breadcrumbs "
-                         "newsletter subscribe subscription popup modal overlay widget pagination pager login signup search toolbar copyright".split())
-BOILER_PREFIXES = ("advert", "sponsor", "cookie", "comment", "breadcrumb", "newsletter", "sidebar", "footer", "navbar", "navigation")
+                         "advertising sponsors newsletter subscribe subscription popup modal overlay widget pagination pager login signup search toolbar copyright".split())
+# What a compound name may have before and after such a word: 'site-footer', 'comment-list', but not 'has-sidebar' or 'entry-header'.
+BEFORE_WORDS = ("site", "page", "main", "global", "top", "bottom", "left", "right", "primary", "secondary", "social", "widget", "user", "cookie", "ad", "block", "wp", "js")
+AFTER_WORDS = ("left", "right", "top", "bottom", "list", "area", "wrapper", "wrap", "container", "box", "bar", "block", "section", "inner", "links", "link", "buttons", "items", "item",
+               "posts", "articles", "content", "text", "body", "form", "menu", "widget", "banner", "notice", "primary", "secondary", "slot", "unit", "space")
 TITLE_WORDS = frozenset(["header", "masthead"])  # inside an article these hold its title
-SPLIT_WORDS = re.compile(r"[^a-z0-9]+")
+BOILER_NAME = re.compile(r"(?:(?:{0}|{1})[-_]+)*({1})(?:{2})?(?:[-_]+(?:{1}|{2}))*[-_]*[0-9]*".format(
+    *("|".join(sorted(w, key=lambda x: (-len(x), x))) for w in (BEFORE_WORDS, BOILER_WORDS, AFTER_WORDS))))
+#: Elements that are boilerplate even if they hold most of a page.
+SURE_TAGS = BOILER_TAGS - {"form", "fieldset"}
 #: Misra-Gries counters a node, nodes a wrapper, pages a host needs, and the shares that make template.
 COUNTERS, MAX_NODES, LEAST_PAGES, SLOT_SHARE, TEXT_SHARE, LINK_SHARE = 8, 2000, 4, 0.6, 0.8, 0.6
 
@@ -55,10 +64,11 @@ COUNTERS, MAX_NODES, LEAST_PAGES, SLOT_SHARE, TEXT_SHARE, LINK_SHARE = 8, 2000,
 class Node:
     """A block element of a page; consecutive list items, paragraphs and the like are one node."""
 
-    __slots__ = ("label", "children", "texts", "boiler", "article")
+    __slots__ = ("label", "children", "texts", "boiler", "article", "main", "prose")
 
-    def __init__(self, label: str, boiler: bool, article: bool):
-        self.label, self.boiler, self.article = label, boiler, article
+    def __init__(self, label: str, boiler: bool, article: bool, main: bool = False):
+        self.label, self.boiler, self.article, self.main = label, boiler, article, main
+        self.prose = 0  # characters outside links, here and below
         self.children: list[Node] = []
         self.texts: list[str] = []
 
@@ -73,8 +83,8 @@ def _label(tag: str, attributes: str, article: bool) -> tuple[str, bool]:
     found = _LABELS.get((tag, attributes, article))
     if found is None:
         values = {m[0].lower(): " ".join((m[1] or m[2] or m[3]).lower().split()) for m in ATTRIBUTE.findall(attributes)}
-        words = set(SPLIT_WORDS.split(f"{values.get('class', '')} {values.get('id', '')}"))
-        marks = {w for w in words if w in BOILER_WORDS or w.startswith(BOILER_PREFIXES)} - (TITLE_WORDS if article else frozenset())
+        names = map(BOILER_NAME.fullmatch, f"{values.get('class', '')} {values.get('id', '')}".split())
+        marks = {m[1] for m in names if m} - (TITLE_WORDS if article else frozenset())
         boiler = tag in BOILER_TAGS or bool(marks) or bool(set(values.get("role", "").split()) & BOILER_ROLES)
         name = values.get("class") or values.get("id") or ""
         found = (f"{tag}.{re.sub('[0-9]+', '#', name)}" if name else tag, boiler and tag not in ("html", "body", "article", "main"))
@@ -85,6 +95,34 @@ def _label(tag: str, attributes: str, article: bool) -> tuple[str, bool]:
     return found
 
 
+def _settle(root: Node) -> None:
+    """Boilerplate marks of a tree, from each block's own to inherited ones.
+
+    A name or form around most of a page's text outside links marks nothing, unless the page has
+    an article or main element elsewhere.  If every article of the page lies in marked blocks,
+    it ends their marks.
+    """
+    order = [root]
+    for node in order:
+        order += node.children
+    for node in reversed(order):
+        node.prose += sum(c.prose for c in node.children)
+    articles = {id(root): 0}  # characters in the outermost article and main elements at and below a node
+    for node in reversed(order):
+        articles[id(node)] = node.prose if node.main else sum(articles[id(c)] for c in node.children)
+    for node in order:
+        if node.boiler and node.label.split(".")[0] not in SURE_TAGS and 2 * node.prose > root.prose and (node.article or articles[id(node)] == articles[id(root)]):
+            node.boiler = False
+
+    unmarked = [root]
+    for node in unmarked:
+        unmarked += [c for c in node.children if not c.boiler]
+    through = any(node.main and node.prose for node in unmarked)
+    for node in order:
+        for c in node.children:
+            c.boiler = c.boiler or (node.boiler and (through or not c.main))
+
+
 def parse(page: str) -> tuple[Node, list[tuple[Node, str, bool]]]:
     """Tree of block elements, and the text blocks in page order: (node, text, is mostly links)."""
     root = Node("", False, False)
@@ -100,12 +138,17 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, bool]]]:
             text = " ".join((entities.unescape(raw) if "&" in raw else raw).split())
             if text:
                 node = stack[-1]
+                links = linked >= LINK_SHARE * max(1, len(raw))
                 node.texts.append(text)
-                blocks.append((node, text, linked >= LINK_SHARE * max(1, len(raw))))
+                node.prose += 0 if links else len(text)
+                blocks.append((node, text, links))
             held.clear()
         linked = 0
 
-    for close, tag, attributes, text in TOKEN.findall(DROPPED.sub(" ", page)):
+    dropped = 1
+    while dropped:
+        page, dropped = DROPPED.subn(" ", page)
+    for close, tag, attributes, text in TOKEN.findall(page):
         if text:
             held.append(text)
             if anchors:
@@ -144,15 +187,16 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, bool]]]:
         if tag == "header":  # a page's header, not an article's
             boiler = not parent.article
         last = parent.children[-1] if parent.children else None
-        if last is not None and tag in FOLDED and last.label == label:
+        if last is not None and tag in FOLDED and last.label == label and last.boiler == boiler:
             node = last
         else:
-            node = Node(label, parent.boiler or boiler, parent.article or tag in ("article", "main"))
+            node = Node(label, boiler, parent.article or tag in ("article", "main"), tag in ("article", "main"))
             parent.children.append(node)
         if tag not in VOID:
             stack.append(node)
             tags.append(tag)
     flush()
+    _settle(root)
     return root, blocks
 
 
