@@ -2,19 +2,19 @@
 
 Pages of a host share a template.  Each page becomes a tree of its block elements; trees of a
 host are aligned by simple tree matching (the largest order-preserving match of nodes with
-equal labels) and merged to one wrapper tree, in which every node knows how many pages have
-it and which texts stood there most often.  A node whose text is the same on most pages is
-template, a node whose text varies is a slot of content.
+equal labels) and merged to one wrapper tree.  Then every page is aligned with its host's
+tree, and every text at every node is counted: exactly, by sums that combine map-side.  A text
+that stands at a node on most of the pages that have the node is template; a page loses the
+blocks whose own text is template, never what differs from it.
 
-A page's text is that of its slots, without those in containers that are never article text
+A page's text is what is left, without blocks in containers that are never article text
 (navigation, forms, asides, adverts, comments and the like, by element, role or class) and
 without blocks that are mostly links.  Inside an ``article`` or ``main`` element nothing is
 template, so copies of one article on a host stay whole.
 
-The most frequent texts of a node are kept by Misra-Gries counters, which hold every text of a
-large share in bounded memory and can be merged.  So wrappers are merged like any sum: in the
-task that parses the pages, then by host in groups of tasks, then by host.  A host with a third
-of all pages is just more partial wrappers of a few kilobytes.
+Trees are merged like any sum: in the task that parses the pages, then by host in groups of
+tasks, then by host.  A host with a third of all pages is just more partial trees of a few
+kilobytes.
 """
 
 from __future__ import annotations
@@ -57,8 +57,8 @@ BOILER_NAME = re.compile(r"(?:(?:{0}|{1})[-_]+)*({1})(?:{2})?(?:[-_]+(?:{1}|{2})
     *("|".join(sorted(w, key=lambda x: (-len(x), x))) for w in (BEFORE_WORDS, BOILER_WORDS, AFTER_WORDS))))
 #: Elements that are boilerplate even if they hold most of a page.
 SURE_TAGS = BOILER_TAGS - {"form", "fieldset"}
-#: Misra-Gries counters a node, nodes a wrapper, pages a host needs, and the shares that make template.
-COUNTERS, MAX_NODES, LEAST_PAGES, SLOT_SHARE, TEXT_SHARE, LINK_SHARE = 8, 2000, 4, 0.6, 0.8, 0.6
+#: Nodes a wrapper, pages a host needs, and the shares that make template.
+MAX_NODES, LEAST_PAGES, SLOT_SHARE, TEXT_SHARE, LINK_SHARE = 2000, 4, 0.6, 0.8, 0.6
 
 
 class Node:
@@ -200,20 +200,17 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, bool]]]:
     return root, blocks
 
 
-def _mark(text: str) -> str:
-    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=6).hexdigest()
+def _mark(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
 def wrapper_of(node: Node) -> dict:
-    """The wrapper of one page: label l, pages n, most frequent slot texts s and single texts t, children c."""
-    marks = [_mark(t) for t in node.texts]
-    return {"l": node.label, "n": 1, "s": {_mark("\n".join(node.texts)): 1} if marks else {}, "m": int(bool(marks)),
-            "t": dict.fromkeys(marks[:COUNTERS], 1) if node.label.split(".")[0] in FOLDED else {},
-            "c": [wrapper_of(c) for c in node.children if not c.boiler]}
+    """The wrapper of one page: label l, pages n, children c."""
+    return {"l": node.label, "n": 1, "c": [wrapper_of(c) for c in node.children if not c.boiler]}
 
 
 def _merge_counts(a: dict[str, int], b: dict[str, int], room: int) -> dict[str, int]:
-    """Misra-Gries merge: sums, less the count of the first that has no room."""
+    """Misra-Gries merge: sums, less the count of the first that has no room.  Wrappers count exactly and do without it."""
     out = dict(a)
     for k, v in b.items():
         out[k] = out.get(k, 0) + v
@@ -279,8 +276,7 @@ def merge(a: dict, b: dict) -> dict:
         children += a["c"][i:x] + b["c"][j:y] + [merge(a["c"][x], b["c"][y])]
         i, j = x + 1, y + 1
     children += a["c"][i:] + b["c"][j:]
-    return {"l": a["l"], "n": a["n"] + b["n"], "m": a["m"] + b["m"], "s": _merge_counts(a["s"], b["s"], COUNTERS),
-            "t": _merge_counts(a["t"], b["t"], 2 * COUNTERS), "c": children}
+    return {"l": a["l"], "n": a["n"] + b["n"], "c": children}
 
 
 def pruned(tree: dict, most: int = MAX_NODES) -> dict:
@@ -293,40 +289,34 @@ def pruned(tree: dict, most: int = MAX_NODES) -> dict:
     return tree
 
 
-def compiled(tree: dict, pages: int) -> dict | None:
-    """What extraction needs: label l, slot is template x, template texts t, children c; None if nothing is template."""
+def numbered(tree: dict, texts: dict[int, list[int]] | None = None) -> dict:
+    """The wrapper's nodes as label l, number i in page order and children c; with template texts t, if given."""
+    count = -1
+
     def visit(node: dict) -> dict:
-        below = [visit(c) for c in node["c"]]
-        constant = node["m"] >= LEAST_PAGES and max(node["s"].values(), default=0) >= SLOT_SHARE * node["m"]
-        common = [k for k, v in node["t"].items() if node["m"] >= 2 * LEAST_PAGES and v >= TEXT_SHARE * node["m"]]
-        out = {"l": node["l"], "x": int(constant), "t": sorted(common), "c": below}
-        return {k: v for k, v in out.items() if v}
+        nonlocal count
+        count += 1
+        out = {"l": node["l"], "i": count}
+        if texts and count in texts:
+            out["t"] = sorted(texts[count])
+        return out | {"c": [visit(c) for c in node["c"]]}
+
+    return visit(tree)
 
-    def any_template(v: dict) -> bool:
-        return bool(v.get("x") or v.get("t") or any(map(any_template, v.get("c", ()))))
 
-    if pages < LEAST_PAGES:
-        return None
-    out = visit(tree)
-    return out if any_template(out) else None
+def aligned(root: Node, tree: dict) -> list[tuple[Node, dict]]:
+    """A page's blocks with their nodes of the wrapper."""
+    out = [(root, tree)]
+    for node, at in out:
+        children = _children(node)
+        out += [(children[j], at["c"][i]) for i, j, _ in pairs(at["c"], children)]
+    return out
 
 
 def article_text(page: str, wrapper: dict | None) -> str:
     """Text of a page: its blocks that are neither boilerplate nor template nor menus."""
     root, blocks = parse(page)
-    template: dict[int, set[str] | None] = {}
-
-    def align(node: Node, tree: dict) -> None:
-        if tree.get("x"):
-            template[id(node)] = None
-        elif tree.get("t"):
-            template[id(node)] = set(tree["t"])
-        children = _children(node)
-        for i, j, _ in pairs([_Labelled(c) for c in tree.get("c", ())], children):
-            align(children[j], tree["c"][i])
-
-    if wrapper:
-        align(root, wrapper)
+    template = {id(node): set(at["t"]) for node, at in aligned(root, wrapper) if "t" in at} if wrapper else {}
     kept = []
     for node, text, links in blocks:
         if node.boiler:
@@ -334,17 +324,20 @@ def article_text(page: str, wrapper: dict | None) -> str:
         if not node.article:
             if links:
                 continue
-            if id(node) in template and (template[id(node)] is None or _mark(text) in template[id(node)]):
+            if id(node) in template and _mark(text) in template[id(node)]:
                 continue
         kept.append(text)
     return "\n".join(kept)
 
 
-class _Labelled(dict):
-    """A compiled wrapper node with defaults, for ``pairs``."""
-
-    def __init__(self, node: dict):
-        super().__init__(l=node["l"], c=[_Labelled(c) for c in node.get("c", ())])
+def page_texts(page: str, tree: dict) -> list[tuple[int, bool, int | None]]:
+    """(node, is folded, text) once for every text at every node of the wrapper, and for every node with texts itself (null)."""
+    out = []
+    for node, at in aligned(parse(page)[0], tree):
+        if node.texts and not node.boiler and not node.article:
+            folded = node.label.split(".")[0] in FOLDED
+            out += [(at["i"], folded, mark) for mark in (None, *sorted({_mark(t) for t in node.texts}))]
+    return out
 
 
 def host_of(url: Column) -> Column:
@@ -368,10 +361,8 @@ def _merged(wrappers: Iterator[tuple[str, int, str]]) -> dict[str, tuple[int, di
 WRAPPERS = "host string, part int, pages long, wrapper string"
 
 
-def induce_wrappers(df: DataFrame, host: Column, html_col: str, group: int = 256) -> DataFrame:
-    """(host, pages, wrapper): the merged wrapper of every host with its template, if it has one."""
-    ship(df.sparkSession)
-
+def merged_trees(df: DataFrame, host: Column, html_col: str, group: int) -> DataFrame:
+    """(wrapper_host, wrapper): the merged tree of every host with enough rows."""
     def rows(found: dict, part: int) -> pa.RecordBatch:
         hosts = sorted(found)
         return pa.RecordBatch.from_pydict({
@@ -408,15 +399,71 @@ def induce_wrappers(df: DataFrame, host: Column, html_col: str, group: int = 256
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(r["host"], r["pages"], compiled(json.loads(r["wrapper"]), r["pages"])) for r in batch.to_pylist()]
-            out = [r for r in out if r[2]]
-            yield pa.RecordBatch.from_pydict({"wrapper_host": pa.array([h for h, _, _ in out], pa.string()),
-                                              "wrapper": pa.array([json.dumps(w, separators=(",", ":")) for _, _, w in out], pa.string())})
+            out = [(r["host"], numbered(json.loads(r["wrapper"]))) for r in batch.to_pylist() if r["pages"] >= LEAST_PAGES]
+            yield pa.RecordBatch.from_pydict({"wrapper_host": pa.array([h for h, _ in out], pa.string()),
+                                              "wrapper": pa.array([json.dumps(w, separators=(",", ":")) for _, w in out], pa.string())})
 
     partial = df.select(host, html_col, (F.spark_partition_id() / group).cast("int").alias("part")).mapInArrow(learn, WRAPPERS)
     partial = partial.repartition("host", "part").sortWithinPartitions("host", "part", "pages", "wrapper").mapInArrow(gather, WRAPPERS)
     whole = partial.repartition("host").sortWithinPartitions("host", "pages", "wrapper").mapInArrow(gather, WRAPPERS)
-    return materialize(whole.mapInArrow(finish, "wrapper_host string, wrapper string"), "html-wrappers")
+    return materialize(whole.mapInArrow(finish, "wrapper_host string, wrapper string"), "html-trees")
+
+
+def small(wrappers: DataFrame, most: int) -> DataFrame:
+    """A broadcast hint for wrappers of at most ``most`` bytes, some kilobytes a host; beyond the bound hosts meet by shuffle."""
+    total = wrappers.agg(F.coalesce(F.sum(F.length("wrapper") + F.length("wrapper_host")), F.lit(0))).first()[0]
+    return F.broadcast(wrappers) if total <= most else wrappers
+
+
+def _wrappers_of(column: pa.Array, known: dict[str, dict]) -> list[dict | None]:
+    """Wrappers of a batch, parsed once; ``known`` holds those of the batches before."""
+    out = []
+    for wrapper in column.to_pylist():
+        if wrapper is not None and wrapper not in known:
+            if len(known) > 2000:
+                known.clear()
+            known[wrapper] = json.loads(wrapper)
+        out.append(known.get(wrapper))
+    return out
+
+
+def induce_wrappers(df: DataFrame, host: Column, html_col: str, group: int = 256, broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """(wrapper_host, wrapper): the merged tree of every host with its template texts, if it has any."""
+    ship(df.sparkSession)
+    trees = merged_trees(df, host, html_col, group)
+
+    def see(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, dict] = {}
+        for batch in slices(batches):
+            out = []
+            for h, page, tree in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _wrappers_of(batch.column(2), known)):
+                out += [(h, *row) for row in page_texts(page or "", tree)]
+            cols = list(zip(*out)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.bool_(), pa.int64()))],
+                                             names=["host", "node", "folded", "mark"])
+
+    seen = df.select(host.alias("host"), F.col(html_col).alias("html")).join(small(trees, broadcast_bytes), F.col("host") == F.col("wrapper_host")).select(
+        "host", "html", "wrapper").mapInArrow(see, "host string, node int, folded boolean, mark long")
+    counts = materialize(seen.groupBy("host", "node", "folded", "mark").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= LEAST_PAGES), "html-counts")
+    nodes = counts.where("mark is null").select("host", "node", F.col("pages").alias("all_pages"))
+    least = F.when(F.col("folded"), 2 * LEAST_PAGES).otherwise(LEAST_PAGES)
+    share = F.when(F.col("folded"), TEXT_SHARE).otherwise(SLOT_SHARE)
+    template = counts.where("mark is not null").join(nodes, ["host", "node"]).where(
+        (F.col("all_pages") >= least) & (F.col("pages") >= share * F.col("all_pages"))).groupBy("host").agg(
+        F.collect_list(F.struct("node", "mark")).alias("template"))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for host, tree, template in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                texts: dict[int, list[int]] = {}
+                for t in template:
+                    texts.setdefault(t["node"], []).append(t["mark"])
+                out.append((host, json.dumps(numbered(json.loads(tree), texts), separators=(",", ":"))))
+            yield pa.RecordBatch.from_pydict({"wrapper_host": pa.array([h for h, _ in out], pa.string()), "wrapper": pa.array([w for _, w in out], pa.string())})
+
+    found = trees.join(template, F.col("wrapper_host") == F.col("host")).select("wrapper_host", "wrapper", "template")
+    return materialize(found.mapInArrow(finish, "wrapper_host string, wrapper string"), "html-wrappers")
 
 
 def extract_text(df: DataFrame, url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 64 << 20) -> DataFrame:
@@ -427,11 +474,8 @@ def extract_text(df: DataFrame, url_col: str = "url", html_col: str = "html", br
     names are replaced.
     """
     source = df.drop("text", "n_chars")
-    wrappers = induce_wrappers(source, host_of(F.col(url_col)), html_col)
-    total = wrappers.agg(F.coalesce(F.sum(F.length("wrapper") + F.length("wrapper_host")), F.lit(0))).first()[0]
+    wrappers = small(induce_wrappers(source, host_of(F.col(url_col)), html_col, broadcast_bytes=broadcast_bytes), broadcast_bytes)
     host, page = fresh(source, "page_host", "page_html")
-    if total <= broadcast_bytes:  # some hundred bytes a host; beyond the bound hosts meet by shuffle
-        wrappers = F.broadcast(wrappers)
     kept = [c for c in source.columns if c != html_col]
     joined = source.withColumn(host, host_of(F.col(url_col))).join(wrappers, F.col(host) == F.col("wrapper_host"), "left").select(
         *kept, F.col("wrapper").alias(fresh(source, "page_wrapper")[0]), F.col(html_col).alias(page))
@@ -440,13 +484,8 @@ def extract_text(df: DataFrame, url_col: str = "url", html_col: str = "html", br
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, dict] = {}
         for batch in slices(batches):
-            out = []
-            for wrapper, html in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                if wrapper is not None and wrapper not in known:
-                    if len(known) > 2000:
-                        known.clear()
-                    known[wrapper] = json.loads(wrapper)
-                out.append(article_text(html or "", known.get(wrapper)))
+            wrappers = _wrappers_of(batch.column(batch.num_columns - 2), known)
+            out = [article_text(html or "", wrapper) for wrapper, html in zip(wrappers, batch.column(batch.num_columns - 1).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                                              names=schema.names)
 

@@ -49,3 +49,17 @@ def test_names_and_unclosed_elements_do_not_empty_pages():
                 "<section id=comments><article><p>" + "reader " * 60 + "</article></section>", "<aside><article>teaser</article></aside>"):
         assert article_text(f"<html><body><article>{body}</article>{out}</body></html>", None) == want, out
     assert article_text("<svg>" * 3000 + "end" + "<button>" * 3000, None) == "end"
+
+
+def texts_of(spark, pages):
+    from riskmart.llm.html_extract import extract_text
+    rows = [(i, f"http://{host}/{i}", html) for i, (host, html) in enumerate(pages)]
+    got = extract_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    return [r.text for r in sorted(got.collect(), key=lambda r: r.page_id)]
+
+
+def test_template_paragraphs_after_many_others(spark):
+    for own in (1, 6, 30):
+        mine = [[f"own {k} of page {i}" for k in range(own)] for i in range(40)]
+        pages = [("a", "<body><div class=text>" + "".join(f"<p>{t}</p>" for t in texts) + "<p>read our terms</p></div></body>") for texts in mine]
+        assert texts_of(spark, pages) == ["\n".join(texts) for texts in mine]
