@@ -3,9 +3,11 @@
 Pages of a host share a template.  Each page becomes a tree of its block elements; trees of a
 host are aligned by simple tree matching (the largest order-preserving match of nodes with
 equal labels) and merged to one wrapper tree.  Then every page is aligned with its host's
-tree, and every text at every node is counted: exactly, by sums that combine map-side.  A text
-that stands at a node on most of the pages that have the node is template; a page loses the
-blocks whose own text is template, never what differs from it.
+tree, and every text at every node is counted: exactly, by sums that combine map-side.  Pages
+count once however often they are repeated: they are told apart by a digest of their texts
+outside such containers as below.  A text that stands at a node on most of the distinct pages
+that have text there is template; a page loses the blocks whose own text is template, never
+what differs from it.
 
 A page's text is what is left, without blocks in containers that are never article text
 (navigation, forms, asides, adverts, comments and the like, by element, role or class) and
@@ -330,14 +332,15 @@ def article_text(page: str, wrapper: dict | None) -> str:
     return "\n".join(kept)
 
 
-def page_texts(page: str, tree: dict) -> list[tuple[int, bool, int | None]]:
-    """(node, is folded, text) once for every text at every node of the wrapper, and for every node with texts itself (null)."""
+def page_texts(page: str, tree: dict) -> tuple[int, list[tuple[int, bool, int | None]]]:
+    """Digest of a page's texts, and (node, is folded, text) once for every text at every node of the wrapper and for every node with texts itself (null)."""
+    root, blocks = parse(page)
     out = []
-    for node, at in aligned(parse(page)[0], tree):
+    for node, at in aligned(root, tree):
         if node.texts and not node.boiler and not node.article:
             folded = node.label.split(".")[0] in FOLDED
             out += [(at["i"], folded, mark) for mark in (None, *sorted({_mark(t) for t in node.texts}))]
-    return out
+    return _mark("\n".join(text for node, text, _ in blocks if not node.boiler)), out
 
 
 def host_of(url: Column) -> Column:
@@ -437,14 +440,15 @@ def induce_wrappers(df: DataFrame, host: Column, html_col: str, group: int = 256
         for batch in slices(batches):
             out = []
             for h, page, tree in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _wrappers_of(batch.column(2), known)):
-                out += [(h, *row) for row in page_texts(page or "", tree)]
-            cols = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.bool_(), pa.int64()))],
-                                             names=["host", "node", "folded", "mark"])
+                digest, found = page_texts(page or "", tree)
+                out += [(h, *row, digest) for row in found]
+            cols = list(zip(*out)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()))],
+                                             names=["host", "node", "folded", "mark", "page"])
 
     seen = df.select(host.alias("host"), F.col(html_col).alias("html")).join(small(trees, broadcast_bytes), F.col("host") == F.col("wrapper_host")).select(
-        "host", "html", "wrapper").mapInArrow(see, "host string, node int, folded boolean, mark long")
-    counts = materialize(seen.groupBy("host", "node", "folded", "mark").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= LEAST_PAGES), "html-counts")
+        "host", "html", "wrapper").mapInArrow(see, "host string, node int, folded boolean, mark long, page long")
+    counts = materialize(seen.distinct().groupBy("host", "node", "folded", "mark").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= LEAST_PAGES), "html-counts")
     nodes = counts.where("mark is null").select("host", "node", F.col("pages").alias("all_pages"))
     least = F.when(F.col("folded"), 2 * LEAST_PAGES).otherwise(LEAST_PAGES)
     share = F.when(F.col("folded"), TEXT_SHARE).otherwise(SLOT_SHARE)
@@ -469,8 +473,8 @@ def induce_wrappers(df: DataFrame, host: Column, html_col: str, group: int = 256
 def extract_text(df: DataFrame, url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 64 << 20) -> DataFrame:
     """``df`` with text (main text, empty if none) and n_chars; the html column goes.
 
-    A null page is empty, a null url is a host of its own kind.  Repeated pages and pages of a
-    host with fewer than four pages are extracted without template.  Columns of the two new
+    A null page is empty, a null url is a host of its own kind.  Repeated pages count as one
+    for the template; pages of a host with fewer than four distinct ones are extracted without template.  Columns of the two new
     names are replaced.
     """
     source = df.drop("text", "n_chars")

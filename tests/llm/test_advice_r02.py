@@ -63,3 +63,12 @@ def test_template_paragraphs_after_many_others(spark):
         mine = [[f"own {k} of page {i}" for k in range(own)] for i in range(40)]
         pages = [("a", "<body><div class=text>" + "".join(f"<p>{t}</p>" for t in texts) + "<p>read our terms</p></div></body>") for texts in mine]
         assert texts_of(spark, pages) == ["\n".join(texts) for texts in mine]
+
+
+def test_copies_are_one_page_and_differing_texts_stay(spark):
+    def html(text, notice="All rights"):
+        return f"<body><div class=lead>{text}</div><div class=end>{notice}</div></body>"
+    assert texts_of(spark, [("copies", html("One text"))] * 6) == ["One text\nAll rights"] * 6
+    own = [f"Story {i}" for i in range(12)]
+    pages = [("hot", html("Copied"))] * 18 + [("hot", html(t)) for t in own] + [("hot", html("Late", "Other end"))]
+    assert texts_of(spark, pages) == ["Copied"] * 18 + own + ["Late\nOther end"]
