@@ -11,8 +11,9 @@ what differs from it.
 
 A page's text is what is left, without blocks in containers that are never article text
 (navigation, forms, asides, adverts, comments and the like, by element, role or class) and
-without blocks that are mostly links.  Inside an ``article`` or ``main`` element nothing is
-template, so copies of one article on a host stay whole.
+without blocks that are mostly links.  Inside an ``article`` or ``main`` element, and among
+paragraphs, list items and the like, template asks for more pages and a larger share; blocks of
+links stay there, unless they are template, and so does an article that is nothing but template.
 
 Trees are merged like any sum: in the task that parses the pages, then by host in groups of
 tasks, then by host.  A host with a third of all pages is just more partial trees of a few
@@ -319,27 +320,20 @@ def article_text(page: str, wrapper: dict | None) -> str:
     """Text of a page: its blocks that are neither boilerplate nor template nor menus."""
     root, blocks = parse(page)
     template = {id(node): set(at["t"]) for node, at in aligned(root, wrapper) if "t" in at} if wrapper else {}
-    kept = []
-    for node, text, links in blocks:
-        if node.boiler:
-            continue
-        if not node.article:
-            if links:
-                continue
-            if id(node) in template and _mark(text) in template[id(node)]:
-                continue
-        kept.append(text)
-    return "\n".join(kept)
+    blocks = [(node, text, id(node) in template and _mark(text) in template[id(node)]) for node, text, links in blocks
+              if not node.boiler and (node.article or not links)]
+    whole = all(common for node, _, common in blocks if node.article)  # nothing else in it: the article itself
+    return "\n".join(text for node, text, common in blocks if not common or (node.article and whole))
 
 
 def page_texts(page: str, tree: dict) -> tuple[int, list[tuple[int, bool, int | None]]]:
-    """Digest of a page's texts, and (node, is folded, text) once for every text at every node of the wrapper and for every node with texts itself (null)."""
+    """Digest of a page's texts, and (node, is strict, text) once for every text at every node of the wrapper and for every node with texts itself (null)."""
     root, blocks = parse(page)
     out = []
     for node, at in aligned(root, tree):
-        if node.texts and not node.boiler and not node.article:
-            folded = node.label.split(".")[0] in FOLDED
-            out += [(at["i"], folded, mark) for mark in (None, *sorted({_mark(t) for t in node.texts}))]
+        if node.texts and not node.boiler:
+            strict = node.article or node.label.split(".")[0] in FOLDED
+            out += [(at["i"], strict, mark) for mark in (None, *sorted({_mark(t) for t in node.texts}))]
     return _mark("\n".join(text for node, text, _ in blocks if not node.boiler)), out
 
 
@@ -444,14 +438,14 @@ def induce_wrappers(df: DataFrame, host: Column, html_col: str, group: int = 256
                 out += [(h, *row, digest) for row in found]
             cols = list(zip(*out)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()))],
-                                             names=["host", "node", "folded", "mark", "page"])
+                                             names=["host", "node", "strict", "mark", "page"])
 
     seen = df.select(host.alias("host"), F.col(html_col).alias("html")).join(small(trees, broadcast_bytes), F.col("host") == F.col("wrapper_host")).select(
-        "host", "html", "wrapper").mapInArrow(see, "host string, node int, folded boolean, mark long, page long")
-    counts = materialize(seen.distinct().groupBy("host", "node", "folded", "mark").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= LEAST_PAGES), "html-counts")
+        "host", "html", "wrapper").mapInArrow(see, "host string, node int, strict boolean, mark long, page long")
+    counts = materialize(seen.distinct().groupBy("host", "node", "strict", "mark").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= LEAST_PAGES), "html-counts")
     nodes = counts.where("mark is null").select("host", "node", F.col("pages").alias("all_pages"))
-    least = F.when(F.col("folded"), 2 * LEAST_PAGES).otherwise(LEAST_PAGES)
-    share = F.when(F.col("folded"), TEXT_SHARE).otherwise(SLOT_SHARE)
+    least = F.when(F.col("strict"), 2 * LEAST_PAGES).otherwise(LEAST_PAGES)
+    share = F.when(F.col("strict"), TEXT_SHARE).otherwise(SLOT_SHARE)
     template = counts.where("mark is not null").join(nodes, ["host", "node"]).where(
         (F.col("all_pages") >= least) & (F.col("pages") >= share * F.col("all_pages"))).groupBy("host").agg(
         F.collect_list(F.struct("node", "mark")).alias("template"))

@@ -72,3 +72,16 @@ def test_copies_are_one_page_and_differing_texts_stay(spark):
     own = [f"Story {i}" for i in range(12)]
     pages = [("hot", html("Copied"))] * 18 + [("hot", html(t)) for t in own] + [("hot", html("Late", "Other end"))]
     assert texts_of(spark, pages) == ["Copied"] * 18 + own + ["Late\nOther end"]
+
+
+def test_template_inside_articles(spark):
+    def html(i, tag):
+        return (f"<body><{tag}><h1>Title {i}</h1><div>Published by us</div><p>Story {i} begins.</p><p>Story {i} ends.</p><p>Get our letter</p>"
+                f"<ul><li><a href=/1>Read this</a></li><li><a href=/2>Read that</a></li></ul><p>By <a href=/{i}>Author number {i}</a></p></{tag}></body>")
+    n = 20
+    pages = [(tag, html(i, tag)) for tag in ("article", "main") for i in range(n)] + [("few", html(i, "article")) for i in range(3)]
+    pages += [("near", f"<body><div>Seen {i}</div><article><h1>One</h1><p>The same story</p></article></body>") for i in range(n)]
+    got = texts_of(spark, pages)
+    assert got[:2 * n] == [f"Title {i}\nStory {i} begins.\nStory {i} ends.\nBy Author number {i}" for i in range(n)] * 2
+    assert all("Get our letter" in t and "Published by us" in t for t in got[2 * n:2 * n + 3])
+    assert got[2 * n + 3:] == [f"Seen {i}\nOne\nThe same story" for i in range(n)]
