@@ -67,7 +67,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: every document as often as its source's target takes it (0, 1 or 2 times)."""
     def mix(d: DataFrame) -> DataFrame:
-        return mix_sources(d).where("copies > 0").withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        return mix_sources(d, fill=True).where("copies > 0").withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
 
     return _around(docs, ("size", "source_size", "target", "copies", "taken"), mix)
 

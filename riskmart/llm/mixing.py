@@ -10,7 +10,10 @@ grows with the root of its size, its random number is a hash, and documents rank
 the Pareto order.  The sample is the longest run of that order whose words fit into the
 remainder, and one document more, of those after the run the one whose size is nearest to
 what is still missing (none if that would not bring the words nearer).  So the sample's size
-in words is fixed but for a few words, and a rerun gives the same mix.
+in words is fixed but for a few words, and a rerun gives the same mix.  With ``fill``, as in the
+pipeline, further runs follow after each document that does not fit, on what is left and without
+the documents that are larger, until none fits, and the sample is that of as many runs as come
+nearest to the target; op5 is held to its SQL, which has one run.
 
 Only DataFrame functions are used.  A source may hold most of the rows: its order is cut into
 buckets of the rank variable, words are summed by bucket, and only documents of the one
@@ -20,7 +23,8 @@ as buckets grow in number with the rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,15 +71,45 @@ def source_targets(sizes: DataFrame, source_col: str, size_col: str, weights: Se
                          F.least(F.col("most").cast("double"), level * F.col("weight")).alias("target"))
 
 
+def filled_up(cuts: DataFrame, live: DataFrame, run_of: Callable, upto: Callable) -> tuple[DataFrame, int, Callable]:
+    """``cuts`` with c_more, the later runs of each source in order; their most; and whether a document is in such a run.
+
+    A run ends at a document that does not fit.  The next one starts after it, on the words that
+    are left and without the documents that are larger, until no document fits.
+    """
+    at, runs = cuts, []
+    while True:
+        rest = live.join(broadcast_below(at, 1_000_000), F.col("t_source").eqNullSafe(F.col("c_source"))).where(
+            (F.col("size") <= F.col("c_gap")) & ~upto(F.col("c_bucket"), F.col("c_last"))).drop("c_source")
+        found = run_of(rest.drop("c_bucket", "c_last"), "c_gap")
+        if found.isEmpty():
+            break
+        start = at.select(F.col("c_source").alias("p_source"), F.struct(
+            F.col("c_bucket").alias("from_bucket"), F.col("c_last").alias("from_last"), F.col("c_gap").alias("most")).alias("p_from"))
+        runs.append(found.join(start, F.col("c_source").eqNullSafe(F.col("p_source"))).select(
+            F.col("c_source").alias("r_source"), F.struct(F.lit(len(runs)).alias("run"), "p_from.*", F.col("c_bucket").alias("to_bucket"), F.col("c_last").alias("to_last"), F.col("c_gap").alias("left")).alias("r_run")))
+        at = found.where("c_bucket is not null")
+    if runs:
+        more = reduce(DataFrame.unionByName, runs).groupBy(F.col("r_source").alias("m_source")).agg(F.sort_array(F.collect_list(F.struct("r_run.run", "r_run"))).alias("c_more"))
+        more = more.withColumn("c_more", F.transform("c_more", lambda r: r["r_run"]))
+        cuts = materialize(cuts.join(more, F.col("c_source").eqNullSafe(F.col("m_source")), "left").drop("m_source"), "mix-filled")
+
+    def within(run: Column) -> Column:
+        return (F.col("size") <= run["most"]) & ~upto(run["from_bucket"], run["from_last"]) & (run["to_bucket"].isNull() | upto(run["to_bucket"], run["to_last"]))
+
+    return cuts, len(runs), within
+
+
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES,
-                seed: str = SEED, keep: Sequence[str] | None = None) -> DataFrame:
+                seed: str = SEED, keep: Sequence[str] | None = None, fill: bool = False) -> DataFrame:
     """``df`` with size, source_size, target, copies and taken.
 
     ``taken`` is ``copies`` times the document's words.  A null text has size 0, as has an
     empty one, and takes nothing; a null source is a source of its own.  Equal ids with equal
     sizes rank together and are told apart by their rows' order of text digest; repeated rows
-    are interchangeable.  ``keep`` lists the columns that stay (all by default).
+    are interchangeable.  ``keep`` lists the columns that stay (all by default).  ``fill`` goes on
+    past documents that do not fit, where that brings the words nearer to the target.
     """
     new = ("size", "source_size", "target", "copies", "taken")
     kept = [c for c in (keep if keep is not None else df.columns) if c not in new]
@@ -104,35 +138,58 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     ranked = ranking(base)
     live = ranking(narrow).where("size > 0 and t_rest > 0")
-    sums = live.groupBy("t_source", b).agg(F.sum("size").alias("b_words"), F.max("t_rest").alias("b_rest"))
-    before = Window.partitionBy("t_source").orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("b_before", F.coalesce(F.sum("b_words").over(before), F.lit(0)))
-    # the bucket in which the remainder ends
-    ends = sums.where("b_before < b_rest and b_before + b_words >= b_rest").select(
-        F.col("t_source").alias("e_source"), F.col(b).alias("e_bucket"), "b_before", "b_rest")
-    ends = materialize(ends, "mix-ends")
-    edge = live.select(src, q, u, "size", F.col(b).alias("bucket")).join(
-        broadcast_below(ends, 1_000_000), F.col(src).eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("e_bucket")))
-    order = Window.partitionBy("e_source", "e_bucket").orderBy(q, u, "size").rowsBetween(Window.unboundedPreceding, 0)
-    edge = edge.withColumn("c_after", F.col("b_before") + F.sum("size").over(order))
-    last = edge.where(F.col("c_after") <= F.col("b_rest")).groupBy(F.col(src).alias("l_source")).agg(
-        F.max(F.struct(q, u, "size")).alias("l_last"), F.max("c_after").alias("l_words"))
-    cuts = ends.join(last, F.col("e_source").eqNullSafe(F.col("l_source")), "left").select(
-        F.col("e_source").alias("c_source"), F.col("e_bucket").alias("c_bucket"), F.col("l_last").alias("c_last"),
-        (F.col("b_rest") - F.coalesce("l_words", "b_before")).alias("c_gap"))
-    cuts = materialize(cuts, "mix-cuts")
     place = F.struct(q, u, "size")
-    in_run = F.col("c_bucket").isNull() | (F.col(b) < F.col("c_bucket")) | (
-        (F.col(b) == F.col("c_bucket")) & F.coalesce(place <= F.col("c_last"), F.lit(False)))
-    missed = F.abs(F.col("c_gap") - F.col("size"))
-    closing = live.join(broadcast_below(cuts, 1_000_000), F.col("t_source").eqNullSafe(F.col("c_source"))).where(
-        ~in_run & (missed < F.col("c_gap"))).groupBy(F.col("c_source").alias("d_source")).agg(
-        F.min(F.struct(missed.alias("missed"), q, u, "size")).alias("d_best"))
-    cuts = cuts.join(closing, F.col("c_source").eqNullSafe(F.col("d_source")), "left").select(
-        "c_source", "c_bucket", "c_last", F.struct(F.col(f"d_best.{q}"), F.col(f"d_best.{u}"), F.col("d_best.size")).alias("c_closing"))
+    order = Window.partitionBy("e_source", "e_bucket").orderBy(q, u, "size").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("t_source").orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+
+    def upto(bucket: Column, last: Column) -> Column:
+        """Whether a document ranks at most at ``last`` of ``bucket`` (before that bucket if null)."""
+        return (F.col(b) < bucket) | ((F.col(b) == bucket) & F.coalesce(place <= last, F.lit(False)))
+
+    def run_of(rows: DataFrame, rest: str) -> DataFrame:
+        """(c_source, c_bucket, c_last, c_gap): where the longest run that fits into ``rest`` ends, and the words that it leaves.
+
+        With bucket and last null, all rows fit.
+        """
+        sums = rows.groupBy("t_source", b).agg(F.sum("size").alias("b_words"), F.max(rest).alias("b_rest"))
+        sums = materialize(sums.withColumn("b_before", F.coalesce(F.sum("b_words").over(before), F.lit(0))), "mix-sums")
+        # the bucket in which the remainder ends
+        ends = sums.where("b_before < b_rest and b_before + b_words >= b_rest").select(
+            F.col("t_source").alias("e_source"), F.col(b).alias("e_bucket"), "b_before", "b_rest")
+        ends = materialize(ends, "mix-ends")
+        edge = rows.select(src, q, u, "size", F.col(b).alias("bucket")).join(
+            broadcast_below(ends, 1_000_000), F.col(src).eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("e_bucket")))
+        edge = edge.withColumn("c_after", F.col("b_before") + F.sum("size").over(order))
+        last = edge.where(F.col("c_after") <= F.col("b_rest")).groupBy(F.col(src).alias("l_source")).agg(
+            F.max(F.struct(q, u, "size")).alias("l_last"), F.max("c_after").alias("l_words"))
+        whole = sums.groupBy(F.col("t_source").alias("c_source")).agg((F.max("b_rest") - F.sum("b_words")).alias("w_gap"))
+        ended = ends.join(last, F.col("e_source").eqNullSafe(F.col("l_source")), "left")
+        return materialize(whole.join(ended, F.col("c_source").eqNullSafe(F.col("e_source")), "left").select(
+            "c_source", F.col("e_bucket").alias("c_bucket"), F.col("l_last").alias("c_last"),
+            F.when(F.col("e_bucket").isNull(), F.col("w_gap")).otherwise(F.col("b_rest") - F.coalesce("l_words", "b_before")).alias("c_gap")), "mix-cuts")
+
+    cuts = run_of(live, "t_rest").where("c_bucket is not null")
+    in_run = F.col("c_bucket").isNull() | upto(F.col("c_bucket"), F.col("c_last"))
+    more = 0
+    if fill:
+        cuts, more, within = filled_up(cuts, live, run_of, upto)
+
+    def sample(upto_run: Column | int) -> Column:
+        return in_run | F.coalesce(F.exists(F.slice("c_more", 1, upto_run), within), F.lit(False)) if more else in_run
+
+    # the closing document after each number of runs, and the number that leaves the fewest words
+    gaps = [F.col("c_gap"), *[F.get("c_more", F.lit(k))["left"] for k in range(more)]]
+    closing = live.join(broadcast_below(cuts, 1_000_000), F.col("t_source").eqNullSafe(F.col("c_source"))).groupBy(F.col("c_source").alias("d_source")).agg(*[
+        F.min(F.when(~sample(k) & (F.abs(gap - F.col("size")) < gap), F.struct(F.abs(gap - F.col("size")).alias("missed"), q, u, "size"))).alias(f"d_{k}")
+        for k, gap in enumerate(gaps)])
+    best = F.array_min(F.array(*[F.when(gap.isNotNull(), F.struct(
+        F.coalesce(F.col(f"d_{k}.missed"), gap).alias("missed"), F.lit(k).alias("runs"), F.struct(F.col(f"d_{k}.{q}"), F.col(f"d_{k}.{u}"), F.col(f"d_{k}.size")).alias("closing")))
+        for k, gap in enumerate(gaps)]))
+    cuts = cuts.join(closing, F.col("c_source").eqNullSafe(F.col("d_source")), "left").withColumn("c_best", best).select(
+        "c_source", "c_bucket", "c_last", F.col("c_best.closing").alias("c_closing"), *([F.slice("c_more", 1, F.col("c_best.runs")).alias("c_more")] if more else []))
     cuts = materialize(cuts, "mix-closed")
     out = ranked.join(broadcast_below(cuts, 1_000_000), F.col("t_source").eqNullSafe(F.col("c_source")), "left")
-    sampled = (F.col("size") > 0) & (F.col("t_rest") > 0) & (in_run | F.coalesce(place == F.col("c_closing"), F.lit(False)))
+    sampled = (F.col("size") > 0) & (F.col("t_rest") > 0) & (sample(more) | F.coalesce(place == F.col("c_closing"), F.lit(False)))
     copies = F.when(F.col("size") > 0, F.col("t_whole") + sampled.cast("long")).otherwise(F.lit(0)).cast("long")
     return out.select(*kept, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 

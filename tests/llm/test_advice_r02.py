@@ -85,3 +85,20 @@ def test_template_inside_articles(spark):
     assert got[:2 * n] == [f"Title {i}\nStory {i} begins.\nStory {i} ends.\nBy Author number {i}" for i in range(n)] * 2
     assert all("Get our letter" in t and "Published by us" in t for t in got[2 * n:2 * n + 3])
     assert got[2 * n + 3:] == [f"Seen {i}\nOne\nThe same story" for i in range(n)]
+
+
+def test_mixing_goes_on_past_documents_that_do_not_fit(spark):
+    from riskmart.llm.mixing import mix_sources
+    rng = random.Random(5)
+    rows = [(i, "w " * 100, "long") for i in range(1000)] + [(5000, "w " * 100_000, "long")]
+    rows += [(10_000 + i, "w " * rng.choice([1, 2, 5, 40, 300, 4000]), rng.choice(["a", "b", "c"])) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = mix_sources(df, keep=["doc_id", "source"], weights=(4, 2, 1, 3), fill=True).collect()
+    assert len(got) == len(rows)
+    for source in ("a", "b", "c", "long"):
+        mine = [r for r in got if r.source == source]
+        gap = mine[0].target - sum(r.taken for r in mine)
+        assert abs(gap) <= 1 if source != "long" else abs(gap) <= 50
+    assert sorted(map(str, got)) == sorted(map(str, mix_sources(df.repartition(7), keep=["doc_id", "source"], weights=(4, 2, 1, 3), fill=True).collect()))
+    one = mix_sources(df.where("doc_id < 3"), fill=True)
+    assert one.count() == 3
