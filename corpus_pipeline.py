@@ -41,12 +41,14 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest doc_id.
 
-    Documents without words are no duplicates and stay, as do those without an id.  Of
+    Documents without words are no duplicates and stay, as do those without an id.  If an id
+    occurs with several texts, only those that are near-duplicates go.  Of
     repeated rows (equal id and text) one stays.
     """
-    groups = materialize(jaccard_components(docs), "pipeline-groups")
-    out = groups.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("out_id")).distinct()
-    kept = docs.join(broadcast_below(out, 5_000_000), F.col("doc_id") == F.col("out_id"), "left_anti")
+    groups = materialize(jaccard_components(docs, with_digest=True), "pipeline-groups")
+    out = groups.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("out_id"), F.col("text_digest").alias("out_digest")).distinct()
+    removed = (F.col("doc_id") == F.col("out_id")) & (F.md5(F.col("text").cast("binary")) == F.col("out_digest"))
+    kept = docs.join(broadcast_below(out, 5_000_000), removed, "left_anti")
     again = materialize(groups.where("doc_id is not null and n_shingles > 0").groupBy(F.col("doc_id").alias("again_id")).count().where("count > 1").select("again_id"), "pipeline-again")
     if again.isEmpty():
         return kept

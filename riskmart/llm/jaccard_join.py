@@ -296,16 +296,18 @@ def _verified(arrays: DataFrame, percent: int, check_rows: int) -> DataFrame:
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT,
-                       block_rows: int = BLOCK_ROWS, check_rows: int = CHECK_ROWS) -> DataFrame:
+                       block_rows: int = BLOCK_ROWS, check_rows: int = CHECK_ROWS, with_digest: bool = False) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id linked, itself included).
 
     Documents link when percent% of the union of their shingle sets is shared.  A null or
     wordless text has an empty set and links with nothing; equal sets link.  Null ids take
     part in links but not in the minimum; alone they have a null component.  Other columns
-    are not read.
+    are not read.  ``with_digest`` adds text_digest, which tells rows of one id apart.
     """
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
-    sets = materialize(shingle_sets(docs, "body", ["id"], n, percent), "jac-sets")
+    digest = ["text_digest"] if with_digest else []
+    told = docs.withColumn("text_digest", F.md5(F.col("body").cast("binary"))) if with_digest else docs
+    sets = materialize(shingle_sets(told, "body", ["id", *digest], n, percent), "jac-sets")
     distinct = materialize(sets.where("set_key is not null").groupBy(F.col("set_key").alias("key")).agg(
         F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"),
         F.first("band").alias("band")), "jac-distinct")
@@ -333,9 +335,9 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     nodes = distinct.select("key", "id").join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = nodes.groupBy("root").agg(F.min("id").alias("component_id"))
     per_key = nodes.join(smallest, "root").select(F.col("key").alias("set_key"), "component_id")
-    return sets.select("id", "n_shingles", "set_key").join(per_key, "set_key", "left").select(
+    return sets.select("id", "n_shingles", "set_key", *digest).join(per_key, "set_key", "left").select(
         F.col("id").alias(id_col), "n_shingles",
-        F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), *digest)
 
 
 def op4_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

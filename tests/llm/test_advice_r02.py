@@ -102,3 +102,10 @@ def test_mixing_goes_on_past_documents_that_do_not_fit(spark):
     assert sorted(map(str, got)) == sorted(map(str, mix_sources(df.repartition(7), keep=["doc_id", "source"], weights=(4, 2, 1, 3), fill=True).collect()))
     one = mix_sources(df.where("doc_id < 3"), fill=True)
     assert one.count() == 3
+
+
+def test_only_the_copied_text_of_an_id_goes(spark):
+    from corpus_pipeline import ngram_jaccard_join
+    text, other = (" ".join(f"{w}{i}" for i in range(30)) for w in "ab")
+    df = spark.createDataFrame([(1, text, "x"), (2, text, "x"), (2, other, "x"), (2, other, "x"), (3, other, "x"), (4, None, "x")], "doc_id long, text string, source string")
+    assert sorted((r.doc_id, r.text) for r in ngram_jaccard_join(spark, df, "").where("text is not null").collect()) == [(1, text), (2, other)]
