@@ -13,12 +13,14 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,20 +62,44 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def new_path(spark: SparkSession, tag: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/riskmart-{tag}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage, survives executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/riskmart-{tag}-{uuid.uuid4().hex}"
+    path = path or new_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_below(df: DataFrame, max_rows: int) -> DataFrame:
-    """A broadcast hint if the (materialised, narrow) table has at most ``max_rows`` rows.
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of the shared folder that a later one has replaced."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+#: A table is broadcast up to so many bytes of its values.
+BROADCAST_BYTES = 16 << 20
+
+
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row's values: 8 a number, the length of a string, that of the JSON of anything nested."""
+    flat = sum(16 for f in df.schema if not isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType)))
+    texts = [F.octet_length(F.col(f"`{f.name}`")) for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = [F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))) for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
+    return reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0)) + 16 for c in texts + nested], F.lit(flat))
+
+
+def broadcast_below(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint if the values of the (materialised, narrow) table take at most ``max_bytes``.
 
     Above that the planner joins by shuffle with AQE's skew splitting; results are equal.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    taken = df.agg(F.sum(_width(df).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if taken <= max_bytes else df
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -103,10 +129,6 @@ def texts(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-def uint64_bytes(a: np.ndarray) -> bytes:
-    return np.ascontiguousarray(a, dtype="<u8").tobytes()
-
-
 def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
     """One table per run of equal ``keys`` in a stream of batches sorted by them.
 

@@ -141,7 +141,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
     # Pivots: for groups of over tile_rows vectors, about one for each tile, by a hash.
     sizes = distinct.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile_rows)
-    big = broadcast_below(materialize(sizes, "emb-sizes"), 1_000_000)
+    big = broadcast_below(materialize(sizes, "emb-sizes"))
     share = F.least(F.ceil(F.col("n") / tile_rows), F.lit(max_pivots)) / F.col("n")
     drawn = distinct.join(big, ["label", "dim"]).where(
         F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / float(1 << 32) < share).select("label", "dim", "vector").collect()
@@ -153,7 +153,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     placed = materialize(_cells(distinct.select("key", "copies", "label", "dim", "vector"), pivots, math.acos(threshold)), "emb-cells")
     blocks = placed.groupBy("label", "dim", "cell").agg(
         F.ceil(F.sum(F.col("home").cast("long")) / tile_rows).alias("home_blocks"), F.ceil(F.count(F.lit(1)) / tile_rows).alias("member_blocks"))
-    placed = placed.join(broadcast_below(materialize(blocks, "emb-blocks"), 1_000_000), ["label", "dim", "cell"])
+    placed = placed.join(broadcast_below(materialize(blocks, "emb-blocks")), ["label", "dim", "cell"])
     block = lambda n: F.pmod(F.xxhash64("key"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     as_home = placed.where("home").select("label", "dim", "cell", block("home_blocks").alias("i"), every("member_blocks").alias("j"),

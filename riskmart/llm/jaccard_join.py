@@ -274,7 +274,7 @@ def _verified(arrays: DataFrame, percent: int, check_rows: int) -> DataFrame:
     """(a, b): true links of ``arrays`` (component, key, hashes), a spanning forest for each tile."""
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / check_rows), F.ceil(F.sum(F.octet_length("hashes")) / CHECK_BYTES))
     sizes = arrays.groupBy("component").agg(blocks.alias("blocks")).where("blocks > 1")
-    rows = arrays.join(broadcast_below(materialize(sizes, "jac-blocks"), 1_000_000), "component", "left").withColumn(
+    rows = arrays.join(broadcast_below(materialize(sizes, "jac-blocks")), "component", "left").withColumn(
         "blocks", F.coalesce("blocks", F.lit(1)))
     block = F.pmod(F.xxhash64("key"), F.col("blocks"))
     tiles = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: F.struct(
@@ -327,9 +327,9 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 "hashes": pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())})
 
     ids = chosen.select(F.col("id").alias("chosen_id")).distinct()
-    read = docs.join(broadcast_below(ids, 5_000_000), F.col("id").eqNullSafe(F.col("chosen_id")), "left_semi")
+    read = docs.join(broadcast_below(ids), F.col("id").eqNullSafe(F.col("chosen_id")), "left_semi")
     arrays = read.mapInArrow(cut, "set_key string, hashes binary").join(
-        broadcast_below(chosen.select(F.col("key"), "component"), 2_000_000), F.col("set_key") == F.col("key"))
+        broadcast_below(chosen.select(F.col("key"), "component")), F.col("set_key") == F.col("key"))
     arrays = materialize(arrays.groupBy("key").agg(F.first("component").alias("component"), F.first("hashes").alias("hashes")), "jac-arrays")
     linked = components(_verified(arrays, percent, check_rows), "a", "b", "jac")
     nodes = distinct.select("key", "id").join(linked.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))

@@ -79,7 +79,7 @@ def filled_up(cuts: DataFrame, live: DataFrame, run_of: Callable, upto: Callable
     """
     at, runs = cuts, []
     while True:
-        rest = live.join(broadcast_below(at, 1_000_000), F.col("t_source").eqNullSafe(F.col("c_source"))).where(
+        rest = live.join(broadcast_below(at), F.col("t_source").eqNullSafe(F.col("c_source"))).where(
             (F.col("size") <= F.col("c_gap")) & ~upto(F.col("c_bucket"), F.col("c_last"))).drop("c_source")
         found = run_of(rest.drop("c_bucket", "c_last"), "c_gap")
         if found.isEmpty():
@@ -130,7 +130,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
            .withColumn("t_buckets", F.ceil(F.col("n_docs") / BUCKET_ROWS) * 16))
 
     def ranking(rows: DataFrame) -> DataFrame:
-        joined = rows.join(broadcast_below(per, 1_000_000), F.col(src).eqNullSafe(F.col("t_source")))
+        joined = rows.join(broadcast_below(per), F.col(src).eqNullSafe(F.col("t_source")))
         inclusion = F.least(F.lit(0.98), F.greatest(F.lit(0.02), F.col("t_part") * F.sqrt(F.coalesce(F.try_divide(F.col("size"), F.col("t_mean")), F.lit(1.0)))))
         pareto = (F.col(u) / (1 - F.col(u))) * ((1 - inclusion) / inclusion)
         return joined.withColumn(q, pareto).withColumn(
@@ -158,7 +158,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
             F.col("t_source").alias("e_source"), F.col(b).alias("e_bucket"), "b_before", "b_rest")
         ends = materialize(ends, "mix-ends")
         edge = rows.select(src, q, u, "size", F.col(b).alias("bucket")).join(
-            broadcast_below(ends, 1_000_000), F.col(src).eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("e_bucket")))
+            broadcast_below(ends), F.col(src).eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("e_bucket")))
         edge = edge.withColumn("c_after", F.col("b_before") + F.sum("size").over(order))
         last = edge.where(F.col("c_after") <= F.col("b_rest")).groupBy(F.col(src).alias("l_source")).agg(
             F.max(F.struct(q, u, "size")).alias("l_last"), F.max("c_after").alias("l_words"))
@@ -179,7 +179,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     # the closing document after each number of runs, and the number that leaves the fewest words
     gaps = [F.col("c_gap"), *[F.get("c_more", F.lit(k))["left"] for k in range(more)]]
-    closing = live.join(broadcast_below(cuts, 1_000_000), F.col("t_source").eqNullSafe(F.col("c_source"))).groupBy(F.col("c_source").alias("d_source")).agg(*[
+    closing = live.join(broadcast_below(cuts), F.col("t_source").eqNullSafe(F.col("c_source"))).groupBy(F.col("c_source").alias("d_source")).agg(*[
         F.min(F.when(~sample(k) & (F.abs(gap - F.col("size")) < gap), F.struct(F.abs(gap - F.col("size")).alias("missed"), q, u, "size"))).alias(f"d_{k}")
         for k, gap in enumerate(gaps)])
     best = F.array_min(F.array(*[F.when(gap.isNotNull(), F.struct(
@@ -188,7 +188,7 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     cuts = cuts.join(closing, F.col("c_source").eqNullSafe(F.col("d_source")), "left").withColumn("c_best", best).select(
         "c_source", "c_bucket", "c_last", F.col("c_best.closing").alias("c_closing"), *([F.slice("c_more", 1, F.col("c_best.runs")).alias("c_more")] if more else []))
     cuts = materialize(cuts, "mix-closed")
-    out = ranked.join(broadcast_below(cuts, 1_000_000), F.col("t_source").eqNullSafe(F.col("c_source")), "left")
+    out = ranked.join(broadcast_below(cuts), F.col("t_source").eqNullSafe(F.col("c_source")), "left")
     sampled = (F.col("size") > 0) & (F.col("t_rest") > 0) & (sample(more) | F.coalesce(place == F.col("c_closing"), F.lit(False)))
     copies = F.when(F.col("size") > 0, F.col("t_whole") + sampled.cast("long")).otherwise(F.lit(0)).cast("long")
     return out.select(*kept, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))

@@ -65,7 +65,7 @@ def with_revisits(df: DataFrame, id_col: str, payload: Column, least_bytes: int,
     rows = df.withColumn(digest, payload_digest(payload)).withColumn(size, F.octet_length(payload).cast("long"))
     groups = materialize(rows.where(F.col(size) >= least_bytes).groupBy(F.col(digest).alias("g_digest"), F.col(size).alias("g_size")).agg(
         F.min(id_col).alias("g_first"), F.count(F.lit(1)).alias("g_rows")).where("g_rows > 1 and g_first is not null"), "warc-groups")
-    joined = rows.join(broadcast_below(groups, 1_000_000), (F.col(digest) == F.col("g_digest")) & (F.col(size) == F.col("g_size")), "left")
+    joined = rows.join(broadcast_below(groups), (F.col(digest) == F.col("g_digest")) & (F.col(size) == F.col("g_size")), "left")
     other = F.col("g_first").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("g_first"))
     return joined.withColumn(refers, F.when(other, F.col("g_first"))).drop("g_digest", "g_size", "g_first", "g_rows")
 
