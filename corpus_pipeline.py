@@ -48,7 +48,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     groups = materialize(jaccard_components(docs, with_digest=True), "pipeline-groups")
     out = groups.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("out_id"), F.col("text_digest").alias("out_digest")).distinct()
     removed = (F.col("doc_id") == F.col("out_id")) & (F.md5(F.col("text").cast("binary")) == F.col("out_digest"))
-    kept = docs.join(broadcast_below(out, 5_000_000), removed, "left_anti")
+    kept = docs.join(broadcast_below(out), removed, "left_anti")
     again = materialize(groups.where("doc_id is not null and n_shingles > 0").groupBy(F.col("doc_id").alias("again_id")).count().where("count > 1").select("again_id"), "pipeline-again")
     if again.isEmpty():
         return kept
