@@ -17,7 +17,7 @@ entry, taken exactly,
 
 so ties, and whatever the bounds leave uncertain, are settled by integers.  b starts at
 ``START_BOUNDS`` and after every round falls to the number of bounds that 99% of the parts of
-the position that used their list needed; bounds that go lower the outer bound.
+the position that used their list needed, by half at most; bounds that go lower the outer bound.
 
 The state is a column of the written table (a round's table replaces the one before), so a
 round is one narrow pass and a lost executor repeats only its own tasks.  Tasks add up their
@@ -246,13 +246,13 @@ def _adder(parts: int, bounds: dict):
 
 
 def adapted(used: dict[int, int], b: int) -> int:
-    """The b that serves 99% of the parts which used their list, no larger than before."""
+    """The b that serves 99% of the parts which used their list: no larger than before, no smaller than half."""
     listed = {n: count for n, count in used.items() if 0 < n < _ALL}
     total, so_far = sum(listed.values()), 0
     for n in sorted(listed):
         so_far += listed[n]
         if so_far >= SERVED * total:
-            return min(b, max(n, LEAST_BOUNDS))
+            return min(b, max(n, b // 2, LEAST_BOUNDS))
     return b
 
 

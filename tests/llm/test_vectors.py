@@ -275,8 +275,8 @@ def test_bounds_hold_and_save_work():
         used = dict(zip(*np.unique(state["needed"], return_counts=True)))
         c, b = new, V.adapted({int(n): int(v) for n, v in used.items()}, b)
         state = V.next_state(p, c, drift, state, b)
-    assert full[0] == 1 and full[-1] < 0.3 and full[-1] < full[1] and b <= 8, (full, b)
-    assert V.adapted({0: 50, 1: 98, 3: 1, 6: 1, 255: 40}, 8) == 3 and V.adapted({1: 100}, 8) == 2 and V.adapted({0: 9, 255: 1}, 8) == 8
+    assert full[0] == 1 and max(full[1:]) < 0.4 and b < 8, (full, b)
+    assert V.adapted({0: 50, 1: 98, 3: 1, 6: 1, 255: 40}, 8) == 4 and V.adapted({1: 94, 5: 6}, 8) == 5 and V.adapted({1: 100}, 4) == 2 and V.adapted({0: 9, 255: 1}, 8) == 8
 
 
 def test_codes_odd_tables(spark):
