@@ -7,31 +7,33 @@ grows with the root of its size, its random number is a hash, and documents rank
 
     odds(random) / odds(inclusion),
 
-the Pareto order.  The sample is the longest run of that order whose words fit into the
-remainder, and one document more, of those after the run the one whose size is nearest to
-what is still missing (none if that would not bring the words nearer).  So the sample's size
-in words is fixed but for a few words, and a rerun gives the same mix.  With ``fill``, as in the
-pipeline, further runs follow after each document that does not fit, on what is left and without
-the documents that are larger, until none fits, and the sample is that of as many runs as come
-nearest to the target; op5 is held to its SQL, which has one run.
+the Pareto order.  The sample goes down that order and takes every document that still fits.
+It does so in runs: a run is the longest piece of the order whose words fit into what is left; the
+next one starts after the document that did not fit and passes over all that are larger than what
+is left by then.  Runs end when no document fits or a source is within ``TOLERANCE`` of its
+target; a large source needs one run.  After each run there is one closing document, the one whose
+size is nearest to what is missing then (none if that would not bring the words nearer), and
+the sample is that of as many runs, with their closing document, as come nearest to the target.
 
 Only DataFrame functions are used.  A source may hold most of the rows: its order is cut into
 buckets of the rank variable, words are summed by bucket, and only documents of the one
-bucket where the remainder ends are ordered row by row.  Their number is that of one bucket,
-as buckets grow in number with the rows.
+bucket where a run ends are ordered row by row.  Their number is that of one bucket,
+as buckets grow in number with the rows.  A round is one query over the documents that still
+fit, written anew for each round, and leaves one row a source: where its run begins and ends.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import broadcast_below, fresh, materialize, table, word_count
+from riskmart.llm.common import fresh, materialize, table, word_count
 
 WEIGHTS, SHARE, MOST_COPIES, SEED = (3, 1, 2), 1.5, 2, "mix"
+#: A source is full when the words that it misses are at most so large a share of its target.
+TOLERANCE = 0.0005
 #: About so many documents of a source share a bucket of its rank variable.
 BUCKET_ROWS = 20_000
 
@@ -71,127 +73,129 @@ def source_targets(sizes: DataFrame, source_col: str, size_col: str, weights: Se
                          F.least(F.col("most").cast("double"), level * F.col("weight")).alias("target"))
 
 
-def filled_up(cuts: DataFrame, live: DataFrame, run_of: Callable, upto: Callable) -> tuple[DataFrame, int, Callable]:
-    """``cuts`` with c_more, the later runs of each source in order; their most; and whether a document is in such a run.
+def _run_ends(rest: DataFrame) -> DataFrame:
+    """(source, to_bucket, to_place, left): where the longest run that fits into ``words`` ends, and the words it leaves.
 
-    A run ends at a document that does not fit.  The next one starts after it, on the words that
-    are left and without the documents that are larger, until no document fits.
+    ``rest`` has (source, bucket, place, size, words).  A run stops before ``to_place``, the first
+    document that does not fit; with both null it holds all documents.
     """
-    at, runs = cuts, []
+    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rest.groupBy("source", "bucket").agg(F.sum("size").alias("held"), F.max("words").alias("words"))
+    sums = sums.withColumn("before", F.coalesce(F.sum("held").over(before), F.lit(0)))
+    whole = sums.groupBy("source").agg((F.max("words") - F.sum("held")).alias("over"))
+    # the bucket in which the words end, and in it the first document that they do not reach
+    ends = sums.where("before <= words and before + held > words").select(
+        F.col("source").alias("e_source"), F.col("bucket").alias("e_bucket"), "before", F.col("words").alias("e_words"))
+    edge = rest.join(ends, F.col("source").eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("e_bucket")))
+    so_far = F.col("before") + F.sum("size").over(Window.partitionBy("e_source").orderBy("place"))  # equal places together
+    edge = edge.select("e_source", "e_bucket", "place", "before", "e_words", so_far.alias("so_far"))
+    fits = F.col("so_far") <= F.col("e_words")
+    stop = edge.groupBy("e_source", "e_bucket").agg(
+        F.min(F.when(~fits, F.col("place"))).alias("to_place"),
+        (F.max("e_words") - F.coalesce(F.max(F.when(fits, F.col("so_far"))), F.max("before"))).alias("gap"))
+    return whole.join(stop, F.col("source").eqNullSafe(F.col("e_source")), "left").select(
+        "source", F.col("e_bucket").alias("to_bucket"), "to_place", F.coalesce("gap", "over").alias("left"))
+
+
+def _beyond(bucket: Column, place: Column) -> Column:
+    """Whether a document comes after ``place`` in the order; every one does after a null."""
+    return bucket.isNull() | (F.col("bucket") > bucket) | ((F.col("bucket") == bucket) & (F.col("place") > place))
+
+
+def _short_of(bucket: Column, place: Column) -> Column:
+    """Whether a document comes before ``place`` in the order; every one does before a null."""
+    return bucket.isNull() | (F.col("bucket") < bucket) | ((F.col("bucket") == bucket) & (F.col("place") < place))
+
+
+def sample_runs(live: DataFrame, tolerance: float) -> DataFrame:
+    """(source, run, left, runs): for each number of runs the runs and the words that they leave.
+
+    ``live`` has (source, bucket, place, size, words, target).  A run is (from_bucket, from_place,
+    most, to_bucket, to_place): the documents after from and before to of at most ``most`` words.
+    """
+    rest, done = live, None
+    nothing = live.select(F.col("bucket").alias("from_bucket"), F.col("place").alias("from_place")).schema
+    start = live.groupBy("source").agg(F.max("words").alias("most"), F.max("target").alias("target")).select(
+        "source", "target", "most", *[F.lit(None).cast(f.dataType).alias(f.name) for f in nothing])
+    number = 0
     while True:
-        rest = live.join(broadcast_below(at), F.col("t_source").eqNullSafe(F.col("c_source"))).where(
-            (F.col("size") <= F.col("c_gap")) & ~upto(F.col("c_bucket"), F.col("c_last"))).drop("c_source")
-        found = run_of(rest.drop("c_bucket", "c_last"), "c_gap")
-        if found.isEmpty():
+        ends = _run_ends(rest).withColumnRenamed("source", "ended")
+        run = materialize(start.join(ends, F.col("source").eqNullSafe(F.col("ended"))).drop("ended").withColumn("run", F.lit(number)), "mix-run")
+        done = run if done is None else materialize(done.unionByName(run), "mix-runs")
+        start = run.where((F.col("to_bucket").isNotNull()) & (F.col("left") > tolerance * F.col("target"))).select(
+            "source", "target", F.col("left").alias("most"), F.col("to_bucket").alias("from_bucket"), F.col("to_place").alias("from_place"))
+        at = start.select(F.col("source").alias("s_source"), F.col("most").alias("s_most"), "from_bucket", "from_place")
+        rest = rest.join(at, F.col("source").eqNullSafe(F.col("s_source"))).where(
+            (F.col("size") <= F.col("s_most")) & _beyond(F.col("from_bucket"), F.col("from_place"))).withColumn("words", F.col("s_most"))
+        rest = materialize(rest.select(*live.columns), "mix-rest")
+        if rest.isEmpty():
             break
-        start = at.select(F.col("c_source").alias("p_source"), F.struct(
-            F.col("c_bucket").alias("from_bucket"), F.col("c_last").alias("from_last"), F.col("c_gap").alias("most")).alias("p_from"))
-        runs.append(found.join(start, F.col("c_source").eqNullSafe(F.col("p_source"))).select(
-            F.col("c_source").alias("r_source"), F.struct(F.lit(len(runs)).alias("run"), "p_from.*", F.col("c_bucket").alias("to_bucket"), F.col("c_last").alias("to_last"), F.col("c_gap").alias("left")).alias("r_run")))
-        at = found.where("c_bucket is not null")
-    if runs:
-        more = reduce(DataFrame.unionByName, runs).groupBy(F.col("r_source").alias("m_source")).agg(F.sort_array(F.collect_list(F.struct("r_run.run", "r_run"))).alias("c_more"))
-        more = more.withColumn("c_more", F.transform("c_more", lambda r: r["r_run"]))
-        cuts = materialize(cuts.join(more, F.col("c_source").eqNullSafe(F.col("m_source")), "left").drop("m_source"), "mix-filled")
+        number += 1
+    entry = F.struct("run", "left", "from_bucket", "from_place", "most", "to_bucket", "to_place")
+    every = done.groupBy("source").agg(F.sort_array(F.collect_list(entry)).alias("every"))
+    each = every.select("source", "every", F.explode("every").alias("last"))
+    return each.select("source", F.col("last.run").alias("run"), F.col("last.left").alias("left"),
+                       F.filter("every", lambda r: r["run"] <= F.col("last.run")).alias("runs"))
 
-    def within(run: Column) -> Column:
-        return (F.col("size") <= run["most"]) & ~upto(run["from_bucket"], run["from_last"]) & (run["to_bucket"].isNull() | upto(run["to_bucket"], run["to_last"]))
 
-    return cuts, len(runs), within
+def in_runs() -> Column:
+    """Whether a document (bucket, place, size) is in one of ``runs``."""
+    def within(run: Column) -> Column:
+        return (F.col("size") <= run["most"]) & _beyond(run["from_bucket"], run["from_place"]) & _short_of(run["to_bucket"], run["to_place"])
+    return F.coalesce(F.exists("runs", within), F.lit(False))
 
 
 def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: Sequence[int] = WEIGHTS, share: float = SHARE, most: int = MOST_COPIES,
-                seed: str = SEED, keep: Sequence[str] | None = None, fill: bool = False) -> DataFrame:
+                seed: str = SEED, keep: Sequence[str] | None = None, tolerance: float = TOLERANCE) -> DataFrame:
     """``df`` with size, source_size, target, copies and taken.
 
     ``taken`` is ``copies`` times the document's words.  A null text has size 0, as has an
-    empty one, and takes nothing; a null source is a source of its own.  Equal ids with equal
-    sizes rank together and are told apart by their rows' order of text digest; repeated rows
-    are interchangeable.  ``keep`` lists the columns that stay (all by default).  ``fill`` goes on
-    past documents that do not fit, where that brings the words nearer to the target.
+    empty one, and takes nothing; a null source is a source of its own.  Rows of equal id and size
+    have one place in the order (with null ids: of equal text) and come or stay away together.
+    ``keep`` lists the columns that stay (all by default).  Columns that ``df`` has under
+    the five names give way.
     """
     new = ("size", "source_size", "target", "copies", "taken")
     kept = [c for c in (keep if keep is not None else df.columns) if c not in new]
-    u, q, b, src = fresh(df.select(*kept), "mix_u", "mix_rank", "mix_bucket", "mix_source")
+    fact, = fresh(df.select(*kept), "mix_fact")
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
                       F.when(F.col(id_col).isNull(), F.md5(F.col(text_col).cast("binary"))).otherwise(""))
-    facts = [F.col(source_col).alias(src), word_count(F.col(text_col)).alias("size"), uniform(key, seed).alias(u)]
-    if text_col in kept:  # wide rows are read again at the end
-        base, narrow = df.select(*kept, *facts), materialize(df.select(*facts), "mix-sizes")
+    facts = F.struct(F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), uniform(key, seed).alias("u"))
+    narrow = materialize(df.select(facts.alias("f")).select("f.*"), "mix-sizes")
+    per = materialize(source_targets(narrow, "source", "size", weights, share, most).withColumn(
+        "ratio", F.col("target") / F.greatest(F.col("source_size"), F.lit(1))), "mix-targets")
+    whole = F.floor("ratio")
+    per = per.select(F.col("source").alias("t_source"), "source_size", "target", whole.alias("whole"), (F.col("ratio") - whole).alias("part"),
+                     (F.col("target") - whole * F.col("source_size")).alias("words"), (F.col("source_size") / F.col("n_docs")).alias("mean"),
+                     (F.ceil(F.col("n_docs") / BUCKET_ROWS) * 16).alias("buckets"))
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        """``rows`` with their source's figures, place and bucket."""
+        joined = rows.join(per, F.col("source").eqNullSafe(F.col("t_source")))
+        inclusion = F.least(F.lit(0.98), F.greatest(F.lit(0.02), F.col("part") * F.sqrt(F.coalesce(F.try_divide(F.col("size"), F.col("mean")), F.lit(1.0)))))
+        pareto = (F.col("u") / (1 - F.col("u"))) * ((1 - inclusion) / inclusion)
+        return joined.withColumn("q", pareto).withColumn("place", F.struct("q", "u", "size")).withColumn(
+            "bucket", F.least(F.col("buckets") - 1, F.floor(F.col("q") / (1 + F.col("q")) * F.col("buckets"))))
+
+    live = materialize(ranked(narrow).where("size > 0 and words > 0").select("source", "bucket", "place", "size", "words", "target"), "mix-live")
+    runs = materialize(sample_runs(live, tolerance).withColumnRenamed("source", "r_source"), "mix-sampled")
+    missed = F.abs(F.col("left") - F.col("size"))
+    closing = live.join(runs, F.col("source").eqNullSafe(F.col("r_source"))).where((missed < F.col("left")) & ~in_runs()).groupBy(
+        F.col("source").alias("c_source"), F.col("run").alias("c_run")).agg(F.min(F.struct(missed.alias("missed"), "place")).alias("closing"))
+    closed = runs.join(closing, F.col("r_source").eqNullSafe(F.col("c_source")) & (F.col("run") == F.col("c_run")), "left")
+    choice = F.struct(F.coalesce("closing.missed", "left").alias("missed"), "run", "runs", F.col("closing.place").alias("closing"))
+    runs = materialize(closed.groupBy("r_source").agg(F.min_by(choice, F.struct(choice["missed"], choice["run"])).alias("best")).select("r_source", "best.runs", "best.closing"), "mix-closed")
+
+    if text_col in kept:  # wide rows are read again; their columns travel under one name
+        base = df.select(F.struct(*kept).alias(fact), facts.alias("f")).select(fact, "f.*")
     else:
-        base = narrow = materialize(df.select(*kept, *facts), "mix-sizes")
-    targets = materialize(source_targets(narrow, src, "size", weights, share, most), "mix-targets")
-    per = targets.select(F.col("source").alias("t_source"), "source_size", "n_docs", "target",
-                         (F.col("target") / F.greatest(F.col("source_size"), F.lit(1))).alias("t_ratio"))
-    per = (per.withColumn("t_whole", F.floor("t_ratio")).withColumn("t_part", F.col("t_ratio") - F.col("t_whole"))
-           .withColumn("t_rest", F.col("target") - F.col("t_whole") * F.col("source_size"))
-           .withColumn("t_mean", F.col("source_size") / F.col("n_docs"))
-           .withColumn("t_buckets", F.ceil(F.col("n_docs") / BUCKET_ROWS) * 16))
-
-    def ranking(rows: DataFrame) -> DataFrame:
-        joined = rows.join(broadcast_below(per), F.col(src).eqNullSafe(F.col("t_source")))
-        inclusion = F.least(F.lit(0.98), F.greatest(F.lit(0.02), F.col("t_part") * F.sqrt(F.coalesce(F.try_divide(F.col("size"), F.col("t_mean")), F.lit(1.0)))))
-        pareto = (F.col(u) / (1 - F.col(u))) * ((1 - inclusion) / inclusion)
-        return joined.withColumn(q, pareto).withColumn(
-            b, F.least(F.col("t_buckets") - 1, F.floor(F.col(q) / (1 + F.col(q)) * F.col("t_buckets"))))
-
-    ranked = ranking(base)
-    live = ranking(narrow).where("size > 0 and t_rest > 0")
-    place = F.struct(q, u, "size")
-    order = Window.partitionBy("e_source", "e_bucket").orderBy(q, u, "size").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy("t_source").orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-
-    def upto(bucket: Column, last: Column) -> Column:
-        """Whether a document ranks at most at ``last`` of ``bucket`` (before that bucket if null)."""
-        return (F.col(b) < bucket) | ((F.col(b) == bucket) & F.coalesce(place <= last, F.lit(False)))
-
-    def run_of(rows: DataFrame, rest: str) -> DataFrame:
-        """(c_source, c_bucket, c_last, c_gap): where the longest run that fits into ``rest`` ends, and the words that it leaves.
-
-        With bucket and last null, all rows fit.
-        """
-        sums = rows.groupBy("t_source", b).agg(F.sum("size").alias("b_words"), F.max(rest).alias("b_rest"))
-        sums = materialize(sums.withColumn("b_before", F.coalesce(F.sum("b_words").over(before), F.lit(0))), "mix-sums")
-        # the bucket in which the remainder ends
-        ends = sums.where("b_before < b_rest and b_before + b_words >= b_rest").select(
-            F.col("t_source").alias("e_source"), F.col(b).alias("e_bucket"), "b_before", "b_rest")
-        ends = materialize(ends, "mix-ends")
-        edge = rows.select(src, q, u, "size", F.col(b).alias("bucket")).join(
-            broadcast_below(ends), F.col(src).eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("e_bucket")))
-        edge = edge.withColumn("c_after", F.col("b_before") + F.sum("size").over(order))
-        last = edge.where(F.col("c_after") <= F.col("b_rest")).groupBy(F.col(src).alias("l_source")).agg(
-            F.max(F.struct(q, u, "size")).alias("l_last"), F.max("c_after").alias("l_words"))
-        whole = sums.groupBy(F.col("t_source").alias("c_source")).agg((F.max("b_rest") - F.sum("b_words")).alias("w_gap"))
-        ended = ends.join(last, F.col("e_source").eqNullSafe(F.col("l_source")), "left")
-        return materialize(whole.join(ended, F.col("c_source").eqNullSafe(F.col("e_source")), "left").select(
-            "c_source", F.col("e_bucket").alias("c_bucket"), F.col("l_last").alias("c_last"),
-            F.when(F.col("e_bucket").isNull(), F.col("w_gap")).otherwise(F.col("b_rest") - F.coalesce("l_words", "b_before")).alias("c_gap")), "mix-cuts")
-
-    cuts = run_of(live, "t_rest").where("c_bucket is not null")
-    in_run = F.col("c_bucket").isNull() | upto(F.col("c_bucket"), F.col("c_last"))
-    more = 0
-    if fill:
-        cuts, more, within = filled_up(cuts, live, run_of, upto)
-
-    def sample(upto_run: Column | int) -> Column:
-        return in_run | F.coalesce(F.exists(F.slice("c_more", 1, upto_run), within), F.lit(False)) if more else in_run
-
-    # the closing document after each number of runs, and the number that leaves the fewest words
-    gaps = [F.col("c_gap"), *[F.get("c_more", F.lit(k))["left"] for k in range(more)]]
-    closing = live.join(broadcast_below(cuts), F.col("t_source").eqNullSafe(F.col("c_source"))).groupBy(F.col("c_source").alias("d_source")).agg(*[
-        F.min(F.when(~sample(k) & (F.abs(gap - F.col("size")) < gap), F.struct(F.abs(gap - F.col("size")).alias("missed"), q, u, "size"))).alias(f"d_{k}")
-        for k, gap in enumerate(gaps)])
-    best = F.array_min(F.array(*[F.when(gap.isNotNull(), F.struct(
-        F.coalesce(F.col(f"d_{k}.missed"), gap).alias("missed"), F.lit(k).alias("runs"), F.struct(F.col(f"d_{k}.{q}"), F.col(f"d_{k}.{u}"), F.col(f"d_{k}.size")).alias("closing")))
-        for k, gap in enumerate(gaps)]))
-    cuts = cuts.join(closing, F.col("c_source").eqNullSafe(F.col("d_source")), "left").withColumn("c_best", best).select(
-        "c_source", "c_bucket", "c_last", F.col("c_best.closing").alias("c_closing"), *([F.slice("c_more", 1, F.col("c_best.runs")).alias("c_more")] if more else []))
-    cuts = materialize(cuts, "mix-closed")
-    out = ranked.join(broadcast_below(cuts), F.col("t_source").eqNullSafe(F.col("c_source")), "left")
-    sampled = (F.col("size") > 0) & (F.col("t_rest") > 0) & (sample(more) | F.coalesce(place == F.col("c_closing"), F.lit(False)))
-    copies = F.when(F.col("size") > 0, F.col("t_whole") + sampled.cast("long")).otherwise(F.lit(0)).cast("long")
-    return out.select(*kept, "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+        base = materialize(df.select(F.struct(*kept).alias(fact), facts.alias("f")).select(fact, "f.*"), "mix-rows")
+    out = ranked(base).join(runs, F.col("source").eqNullSafe(F.col("r_source")), "left")
+    sampled = in_runs() | F.coalesce(F.col("place") == F.col("closing"), F.lit(False))
+    copies = F.when((F.col("size") > 0) & (F.col("words") > 0), F.col("whole") + sampled.cast("long")).when(
+        F.col("size") > 0, F.col("whole")).otherwise(F.lit(0)).cast("long")
+    return out.select(f"{fact}.*", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def op5_mix_sources(spark, sf_dir: str) -> DataFrame:
@@ -201,7 +205,7 @@ def op5_mix_sources(spark, sf_dir: str) -> DataFrame:
 
 
 OP5_SQL = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
          (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || CASE WHEN doc_id IS NULL THEN coalesce(md5(text), '') ELSE '' END), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
   FROM documents),
@@ -227,17 +231,31 @@ r AS (
   FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
 i AS (SELECT *, least(0.98, greatest(0.02, part * sqrt(size / mean))) AS inclusion FROM r),
 q AS (SELECT *, (u / (1 - u)) * ((1 - inclusion) / inclusion) AS q FROM i),
-c AS (
-  SELECT *, CASE WHEN size > 0 AND rest > 0 THEN sum(CASE WHEN size > 0 AND rest > 0 THEN size ELSE 0 END) OVER (
-         PARTITION BY source ORDER BY q, u, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS after
-  FROM q),
-g AS (SELECT source, max(rest) - coalesce(max(after) FILTER (WHERE after <= rest), 0) AS gap FROM c WHERE size > 0 AND rest > 0 GROUP BY source),
+c AS MATERIALIZED (SELECT *, {'q': q, 'u': u, 'size': size} AS place, size > 0 AND rest > 0 AS live FROM q),
+run AS (
+  SELECT source, -1 AS n, NULL::STRUCT(q DOUBLE, u DOUBLE, size BIGINT) AS start, max(rest) AS most,
+         NULL::STRUCT(q DOUBLE, u DOUBLE, size BIGINT) AS stop, max(rest) AS gap, max(target) AS target
+  FROM c WHERE live GROUP BY source
+  UNION ALL
+  SELECT any_value(source), any_value(n) + 1, any_value(stop), any_value(gap), min(place) FILTER (WHERE words > gap),
+         any_value(gap) - coalesce(max(words) FILTER (WHERE words <= gap), 0), any_value(target)
+  FROM (SELECT r.*, c.place, sum(c.size) OVER (PARTITION BY r.source ORDER BY c.place) AS words
+        FROM run r JOIN c ON c.source IS NOT DISTINCT FROM r.source AND c.live AND c.size <= r.gap AND (r.n = -1 OR c.place > r.stop)
+        WHERE r.n = -1 OR (r.stop IS NOT NULL AND r.gap > 0.0005 * r.target))
+  GROUP BY coalesce(source, ''), source IS NULL),
+placed AS (
+  SELECT c.*, r.n AS in_run FROM c LEFT JOIN run r
+    ON r.n >= 0 AND c.live AND c.source IS NOT DISTINCT FROM r.source AND c.size <= r.most
+       AND (r.start IS NULL OR c.place > r.start) AND (r.stop IS NULL OR c.place < r.stop)),
+closing AS (
+  SELECT r.source, r.n, min({'missed': abs(r.gap - p.size), 'place': p.place}) AS closing
+  FROM run r JOIN placed p ON p.source IS NOT DISTINCT FROM r.source AND p.live AND r.n >= 0 AND (p.in_run IS NULL OR p.in_run > r.n) AND abs(r.gap - p.size) < r.gap
+  GROUP BY r.source, r.n),
 best AS (
-  SELECT c.source, arg_min({'q': q, 'u': u, 'size': size}, (abs(gap - size), q, u, size)) AS closing
-  FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source
-  WHERE size > 0 AND rest > 0 AND after > rest AND abs(gap - size) < gap GROUP BY c.source)
+  SELECT r.source, min({'missed': coalesce(d.closing.missed, r.gap), 'n': r.n, 'closing': d.closing.place}) AS best
+  FROM run r LEFT JOIN closing d ON d.source IS NOT DISTINCT FROM r.source AND d.n = r.n WHERE r.n >= 0 GROUP BY r.source)
 SELECT doc_id, size, source_size, target,
-       (CASE WHEN size > 0 THEN whole + CASE WHEN after <= rest OR coalesce({'q': q, 'u': u, 'size': size} = closing, FALSE) THEN 1 ELSE 0 END
+       (CASE WHEN size > 0 THEN whole + CASE WHEN p.live AND (coalesce(p.in_run <= b.best.n, FALSE) OR coalesce(p.place = b.best.closing, FALSE)) THEN 1 ELSE 0 END
              ELSE 0 END)::BIGINT * size AS taken
-FROM c LEFT JOIN best ON c.source IS NOT DISTINCT FROM best.source
+FROM placed p LEFT JOIN best b ON p.source IS NOT DISTINCT FROM b.source
 """
