@@ -1,7 +1,6 @@
 """op3 on made pages, op5 against brute force, op10 round trips, and the pipeline."""
 import base64
 import hashlib
-import math
 import os
 import random
 
@@ -72,57 +71,6 @@ def test_tree_matching_and_counters():
     assert counts["hot"] >= 60 - 100 / 9
 
 
-def mix_brute(rows, weights=(3, 1, 2), share=1.5, most=2):
-    from fractions import Fraction
-    size = {}
-    for _, t, s in rows:
-        size[s] = size.get(s, 0) + len((t or "").split())
-    order = sorted(size, key=lambda s: (s is None, s))
-    weight = {s: weights[i % 3] for i, s in enumerate(order)}
-    target, left, open_ = {}, Fraction(share) * sum(size.values()), set(order)
-    while open_:  # excess goes round by weight until no source is above its limit
-        total = sum(weight[s] for s in open_)
-        over = {s for s in open_ if left * weight[s] / total > most * size[s]}
-        if not over:
-            target |= {s: left * weight[s] / total for s in open_}
-            break
-        for s in over:
-            target[s] = Fraction(most * size[s])
-        left -= sum(target[s] for s in over)
-        open_ -= over
-    return size, {s: float(t) for s, t in target.items()}
-
-
-def test_mixing_meets_targets_and_repeats(spark):
-    from riskmart.llm.mixing import mix_sources
-    rng = random.Random(6)
-    rows = [(i, "w " * rng.choice([0, 1, 3, 20, 50]), rng.choice(["hot"] * 6 + ["a", "b", None, "é", "Z"])) for i in range(900)]
-    rows += [(None, "x y", "a"), (None, "x y", "a"), (None, "p q r", "a"), (7, None, "b"), (8, "tie tie", "b"), (8, "tie tie", "b"), (9, "w " * 30_000, "long"), (10, "", "empty")]
-    df = spark.createDataFrame([(i, t, s, "x") for i, t, s in rows], "doc_id long, text string, source string, size string").repartition(4)
-    got = mix_sources(df, keep=["doc_id", "source"])
-    first = sorted(map(str, got.collect()))
-    assert first == sorted(map(str, mix_sources(df.repartition(7), keep=["doc_id", "source"]).collect())) and len(first) == len(rows)
-    size, target = mix_brute(rows)
-    taken = {}
-    for r in got.collect():
-        assert r.source_size == size[r.source] and math.isclose(r.target, target[r.source], rel_tol=1e-12, abs_tol=1e-9)
-        assert 0 <= r.taken <= 2 * r.size and r.taken == r.copies * r.size
-        taken[r.source] = taken.get(r.source, 0) + r.taken
-    for s, t in target.items():
-        assert abs(taken[s] - t) <= (1 if s != "long" else 15_000)
-    wide = mix_sources(df)
-    assert wide.columns == ["doc_id", "text", "source", "size", "source_size", "target", "copies", "taken"]
-    assert sorted(map(str, wide.select(*got.columns).collect())) == first
-    assert mix_sources(df.limit(0)).count() == 0
-
-
-def test_mixing_needs_no_python(spark):
-    from riskmart.llm.mixing import mix_sources
-    df = spark.createDataFrame([(1, "a b", "s")], "doc_id long, text string, source string")
-    plan = mix_sources(df)._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian"))
-
-
 FAKE = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: {}\r\n\r\n"
 PAYLOADS = ["", None, FAKE.format(5) + "abcde\r\n\r\n", "x" * 5000 + "\r\n\r\n" + FAKE.format(50) + "é" * 3000, "WARC/1.1\r\nWARC-Type: ", FAKE.format(10**9), "line\nfeeds\r\n", "same", "same"]
 
@@ -169,44 +117,6 @@ def test_least_payload_for_revisits(spark, tmp):
     assert got == {0: "response", 1: "response", 2: "revisit", 3: "response", 4: "revisit", 5: "response"}
 
 
-def test_pipeline_stages_against_brute_force(spark):
-    import corpus_pipeline as C
-    import public_tokenizers
-
-    from riskmart.llm.bpe import RANKS, load_encoding
-    sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
-    good = C.quality_classifier(spark, docs, sf)
-    assert good.columns == docs.columns
-    kept = {r.doc_id: r for r in good.collect()}
-    assert sum((i in kept) == bool(q) for i, q in labels.items()) >= 0.95 * len(labels)
-
-    from test_joins import jaccard_brute
-    rows = sorted(kept)
-    _, root = jaccard_brute([kept[i].text for i in rows])
-    single = {r.doc_id: r for r in C.ngram_jaccard_join(spark, good, sf).collect()}
-    assert set(single) == {rows[i] for i in root if root[i] == i}
-
-    extra = docs.limit(40).selectExpr("*", "'s' AS score", "1 AS size", "'sp' AS spans", "2 AS copies", "'h' AS held_out")
-    odd = spark.createDataFrame([(None, None, None, None, None), (90001, "", "en", "src0", 0), (90002, "password=abcdef99", "en", "src0", 17), (90002, "password=abcdef99", "en", "src0", 17)], docs.schema)
-    odd = odd.selectExpr("*", "'s' AS score", "1 AS size", "'sp' AS spans", "2 AS copies", "'h' AS held_out")
-    at = extra.unionByName(odd)
-    for _, stage in C.STAGES[:-1]:
-        assert stage(spark, at, sf).columns == at.columns
-        assert stage(spark, at.limit(0), sf).count() == 0
-    assert C.ngram_jaccard_join(spark, at, sf).where("doc_id = 90002").count() == 1
-    clean = {r.doc_id: r for r in C.secret_scans(spark, at, sf).collect()}
-    assert clean[90002].text == C.SECRET_MASK and clean[90002].n_chars == len(C.SECRET_MASK) and clean[None].text is None
-    mixed = C.source_mixing(spark, docs, sf).groupBy("doc_id").count().collect()
-    assert max(r["count"] for r in mixed) <= 2
-    enc = load_encoding(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    text = {r.doc_id: r.text for r in docs.limit(20).collect()}
-    for r in C.bpe_encoding(spark, docs.limit(20), sf).collect():
-        assert list(r.ids) == enc.encode_ordinary(text[r.doc_id])
-    assert C.run(spark, sf).count() > 100
-
-
 def test_registered_queries():
     from riskmart.llm.queries import ORACLE_SQL, QUERIES
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
