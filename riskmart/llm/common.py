@@ -58,8 +58,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     folder = "file://" + tempfile.mkdtemp(prefix="riskmart-shared-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(folder)
+    return spark.sparkContext.getCheckpointDir() or folder
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
