@@ -47,9 +47,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
-def written(df: DataFrame, tag: str, schema: StructType | None = None) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again (lineage ends there)."""
-    spark = df.sparkSession
+def written(df: DataFrame, tag: str, schema: StructType | None = None, session: SparkSession | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again, by ``session`` if given (lineage ends there)."""
+    spark = session or df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/riskmart-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)
@@ -65,6 +65,5 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="riskmart-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local

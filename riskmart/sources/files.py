@@ -1,8 +1,8 @@
 """File sources and sinks.
 
 All raw extracts are headered UTF-8 CSV read as strings (no inference); the CSV null-token
-list becomes SQL NULL once per source.  The driver lists files; tasks read their headers and
-Spark reads the rows.
+list becomes SQL NULL once per source.  The driver lists files; headers and rows are read by
+Spark's own readers, on any file system that Spark can read.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from riskmart.functions import dictionaries as D
 from riskmart.functions.scalars import na_to_null, snake_case_columns
+from riskmart.session import written
 
 
 # ------------------------------------------------------------------ listing and headers
@@ -42,29 +43,52 @@ def list_csv_files(spark: SparkSession, folder: str | Sequence[str]) -> list[str
     return sorted(found)
 
 
+#: As openCostInBytes and maxPartitionBytes: a file is never split, and no two files share a task.
+_FILE_A_TASK = str(1 << 40)
+
+
 def first_records(spark: SparkSession, files: Sequence[str], records: int) -> dict[tuple, list[str]]:
-    """Files by the cells of their first ``records`` records; tasks open the files, not the driver."""
-    def sniff(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files by the cells of their first ``records`` records.
+
+    Spark's text reader reads them, a file a task, and a task ends as soon as it has its records:
+    after one batch of lines, whatever the file's size.  The driver receives a row for each
+    distinct head and one (path, head number) for each file, as it does from the listing.
+    """
+    if not files:
+        return {}
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import csv
-        import io
         import itertools
 
         import pyarrow as pa
-        from pyarrow import fs
-        for batch in batches:
-            paths, heads = batch.column(0).to_pylist(), []
-            for path in paths:
-                system, name = fs.FileSystem.from_uri(path)
-                with system.open_input_stream(name) as raw:
-                    text = io.TextIOWrapper(raw, "utf-8-sig", newline="")
-                    heads.append([row for row in itertools.islice(csv.reader(text), records)])
-            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(heads, pa.list_(pa.list_(pa.string())))], names=["path", "head"])
-
-    listed = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, min(len(files), 1000)))
+        path: list[str] = []
+
+        def lines() -> Iterator[str]:
+            for batch in batches:
+                if batch.num_rows and not path:
+                    path.append(batch["path"][0].as_py())
+                for line in batch["value"].to_pylist():
+                    yield line + "\n"
+
+        rows = ([cell.removeprefix("\ufeff") for cell in row] for row in csv.reader(lines()) if row)  # blank lines are no records
+        head = list(itertools.islice(rows, records))
+        if path:
+            yield pa.RecordBatch.from_arrays([pa.array(path, pa.string()), pa.array([head], pa.list_(pa.list_(pa.string())))], names=["path", "head"])
+
+    alone = spark.newSession()
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        alone.conf.set(f"spark.sql.files.{name}", _FILE_A_TASK)
+    text = alone.read.text(list(files)).select("value", F.col("_metadata.file_path").alias("path"))
+    found = written(text.mapInArrow(heads, "path string, head array<array<string>>").withColumn("id", F.xxhash64("head")), "heads", session=spark)
+    distinct = {r.id: tuple(tuple(row) for row in r.head) for r in found.groupBy("id").agg(F.first("head").alias("head")).collect()}
+    names, path_of = {}, spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for f in files:  # the reader gives qualified URIs
+        fs, at = _fs(spark, f)
+        names[str(path_of(fs.makeQualified(at).toString()).toUri().toString())] = f
     groups: dict[tuple, list[str]] = {}
-    for r in listed.mapInArrow(sniff, "path string, head array<array<string>>").groupBy("head").agg(
-            F.sort_array(F.collect_list("path")).alias("paths")).collect():  # a row for each distinct head
-        groups[tuple(tuple(row) for row in r.head)] = list(r.paths)
+    for r in found.select("path", "id").orderBy("path").collect():
+        groups.setdefault(distinct[r.id], []).append(names[r.path])
     return groups
 
 
@@ -124,22 +148,49 @@ def flatten_two_row_header(top: Sequence[str | None], bottom: Sequence[str | Non
     return ["_".join(filter(None, column)) for column in zip(*rows)]
 
 
+def _without_first(raw: DataFrame, records: int) -> DataFrame:
+    """``raw`` without the first ``records`` records of every file.
+
+    The rows of a file's first block reach one task in the order of the file, so their place
+    is counted as they pass: one scan, no shuffle, and nothing that depends on how blocks are
+    dealt to tasks.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import pyarrow as pa
+        path, passed = None, 0  # the file that the task is in and its records so far
+        for batch in batches:
+            at = np.flatnonzero(batch["src_block"].to_numpy() == 0)
+            if path is not None and passed >= records and batch.num_rows and batch["src_file"][0].as_py() == batch["src_file"][-1].as_py() == path:
+                yield batch
+                continue
+            keep = np.ones(batch.num_rows, bool)
+            files = batch["src_file"].to_pylist()
+            for i in at.tolist():
+                if files[i] != path:
+                    path, passed = files[i], 0
+                keep[i] = passed >= records
+                passed += 1
+            yield batch.filter(pa.array(keep))
+
+    return raw.mapInArrow(run, raw.schema)
+
+
 def read_two_row_header_exports(spark: SparkSession, folder: str | Sequence[str], multi_line: bool = True) -> DataFrame:
     """Exports whose rows 1-2 are a split header and row 3 a separator; data from row 4.
 
-    Files are grouped by their two header rows.  A file's first three records are those with
-    its three smallest row ids in its first block.  All-NULL rows are dropped.  The
+    Files are grouped by their two header rows and read once; their first three records are left
+    out by their place in the file.  All-NULL rows are dropped.  The
     ``SOURCE_ORDER`` columns are returned for keep-first de-duplication.
     """
     files = list_csv_files(spark, folder)
     frames = []
-    for head, paths in sorted(first_records(spark, files, 2).items()) if files else []:
+    for head, paths in sorted(first_records(spark, files, 2).items()):
         if len(head) < 2:
             continue
         names = flatten_two_row_header(*itertools.zip_longest(*itertools.zip_longest(*head)))
         raw = _read_strings(spark, paths, [f"_c{i}" for i in range(len(names))], False, multi_line)
-        first = raw.where("src_block = 0").groupBy("src_file").agg(F.min("src_row").alias("_first"))
-        data = raw.join(first, "src_file").where((F.col("src_block") > 0) | (F.col("src_row") - F.col("_first") >= 3))
+        data = _without_first(raw, 3)
         named = [(i, n) for i, n in enumerate(names) if n]
         part = data.select(*[F.col(f"_c{i}").alias(n) for i, n in named], "raw_file_name", *SOURCE_ORDER)
         frames.append(part.dropna(how="all", subset=[n for _, n in named]))

@@ -70,3 +70,43 @@ def test_drifting_headers_keep_source_order(spark, tmp):
     write_csv(tmp, "a.csv", ["k", "w"], [["1", "early"], ["1", "later"]])
     rows = {r.k: r for r in keep_first(read_csv_folder(spark, tmp, order=True), ["k"], SOURCE_ORDER).collect()}
     assert rows["1"].w == "early" and rows["1"].v is None and rows["2"].v == "only"
+
+
+def test_first_records_of_any_file(spark, tmp):
+    from riskmart.sources.files import first_records, list_csv_files
+    folder = os.path.join(tmp, "raw é%20 #1")
+    os.makedirs(folder)
+    files = {"a b.csv": "k,v\n1,2\n", "c%41.csv": "﻿k,v\r\n3,4\r\n", "é#1.csv": '"k\n1","v, ""w"""\n5,6\n', "empty.csv": "", "blank.csv": "\n\nk,v\n7,8\n"}
+    for name, text in files.items():
+        open(os.path.join(folder, name), "w", encoding="utf-8", newline="").write(text)
+    with open(os.path.join(folder, "long.csv"), "w") as fh:  # several splits and batches
+        fh.write("k,v\n" + "".join(f"{i},{'x' * 50}\n" for i in range(60_000)))
+    listed = list_csv_files(spark, folder)
+    assert len(listed) == 6
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    groups = first_records(spark, listed, 1)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == kept
+    name = {head: sorted(os.path.basename(p) for p in paths) for head, paths in groups.items()}
+    assert name == {(("k", "v"),): ["a b.csv", "blank.csv", "c%41.csv", "long.csv"], (("k\n1", 'v, "w"'),): ["é#1.csv"]}
+    assert read_csv_folder(spark, [folder]).where("k is not null").count() == 60_003
+    assert first_records(spark, [], 1) == {}
+
+
+def test_two_row_headers_in_one_scan(spark, tmp):
+    from riskmart.sources.files import read_two_row_header_exports
+    for n in range(12):  # many files a task; the second header row and the separator also occur as data
+        rows = [["Place", "Date"], [",", "----"], [f"id{n}", "x"], ["Place", "Date"]] + [[f"row{n}-{i}", "y"] for i in range(n * 400)]
+        write_csv(os.path.join(tmp, "r"), f"f{n:02d}.csv", ["A", "B"], rows)
+    write_csv(os.path.join(tmp, "r"), "short.csv", ["A", "B"], [["Place", "Date"]])
+    for lines in (True, False):
+        kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")  # a file in many blocks where lines are read
+        try:
+            df = read_two_row_header_exports(spark, os.path.join(tmp, "r"), multi_line=lines)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            got = sorted((r.raw_file_name, r["A_Place"]) for r in df.collect())
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+        want = sorted([(f"f{n:02d}.csv", v) for n in range(12) for v in [f"id{n}", "Place"] + [f"row{n}-{i}" for i in range(n * 400)]])
+        assert got == want
+        assert plan.count("FileScan") == 1 and "Exchange" not in plan
