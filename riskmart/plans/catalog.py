@@ -287,6 +287,11 @@ def q_bench_design(spark, d):
     return BM.benchmark_design(nlp_table(spark, d))
 
 
+@register("fatigue_benchmark_columns")
+def q_benchmark_columns(spark, d):
+    return BM.benchmark_columns(nlp_table(spark, d))
+
+
 @register("fatigue_benchmark_predictions")
 def q_bench_preds(spark, d):
     return BM.benchmark_predictions(nlp_table(spark, d))

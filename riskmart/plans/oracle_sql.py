@@ -768,6 +768,21 @@ SELECT CAST(tr.fold AS INTEGER) AS fold, tr.n AS train_rows, tr.p AS train_posit
 FROM tr JOIN voc ON tr.fold = voc.fold
 """)
 
+# columns of a fit: terms with equal lists of (report, tf) over its training rows share one
+ORACLE["fatigue_benchmark_columns"] = with_ctes(_BENCH, """
+, toks AS (SELECT report_id, oof_fold, regexp_extract_all(strip_accents(lower(coalesce(narrative_clean, ''))),
+                                                        '[\\pL\\pN_]{2,}') AS t FROM bench_rows),
+grams AS (SELECT report_id, oof_fold, term, count(*) AS tf
+          FROM (SELECT report_id, oof_fold, unnest(t || list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS term FROM toks)
+          GROUP BY ALL),
+k AS (SELECT unnest([0, 1, 2, 3]) AS fold),
+tr AS (SELECT k.fold, count(*) AS n FROM k JOIN bench_rows b ON b.oof_fold <> k.fold GROUP BY k.fold),
+lists AS (SELECT k.fold, term, count(*) AS df, md5(string_agg(report_id || ':' || tf, ',' ORDER BY report_id)) AS list
+          FROM k JOIN grams g ON g.oof_fold <> k.fold GROUP BY k.fold, term)
+SELECT CAST(tr.fold AS INTEGER) AS fold, count(*) AS vocabulary_size, count(DISTINCT list) AS merged_columns
+FROM lists JOIN tr ON lists.fold = tr.fold WHERE df >= 2 AND df <= 0.95 * tr.n GROUP BY tr.fold
+""")
+
 # M1-M3: target, low-variance screen and imputation (exact median, most frequent with smallest on ties)
 ORACLE["imputed_features"] = with_ctes(["cul_raw", "trusted_culture"], """
 , f AS (SELECT *, CAST(coalesce(severity_score, 0) > 0 AS INTEGER) AS elevated_risk_flag FROM trusted_culture),
