@@ -25,9 +25,10 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -209,24 +210,22 @@ def _mark(text: str) -> int:
 
 def wrapper_of(node: Node) -> dict:
     """The wrapper of one page: label l, pages n, children c."""
-    return {"l": node.label, "n": 1, "c": [wrapper_of(c) for c in node.children if not c.boiler]}
-
-
-def _merge_counts(a: dict[str, int], b: dict[str, int], room: int) -> dict[str, int]:
-    """Misra-Gries merge: sums, less the count of the first that has no room.  Wrappers count exactly and do without it."""
-    out = dict(a)
-    for k, v in b.items():
-        out[k] = out.get(k, 0) + v
-    if len(out) > room:
-        ranked = sorted(out.items(), key=lambda kv: (-kv[1], kv[0]))
-        less = ranked[room][1]
-        out = {k: v - less for k, v in ranked[:room] if v > less}
-    return out
-
-
-def _size(tree) -> int:
-    children = tree.children if isinstance(tree, Node) else tree["c"]
-    return 1 + sum(map(_size, children))
+    top = {"l": node.label, "n": 1, "c": []}
+    todo = [(node, top)]
+    while todo:  # pages may be nested deeper than Python calls
+        at, made = todo.pop()
+        for child in at.children:
+            if not child.boiler:
+                made["c"].append({"l": child.label, "n": 1, "c": []})
+                todo.append((child, made["c"][-1]))
+    return top
+
+
+def _size(tree: dict) -> int:
+    order = [tree]
+    for node in order:
+        order += node["c"]
+    return len(order)
 
 
 def _label_of(tree) -> str:
@@ -237,15 +236,98 @@ def _children(tree) -> list:
     return [c for c in tree.children if not c.boiler] if isinstance(tree, Node) else tree["c"]
 
 
+class Shapes:
+    """Numbers of equal subtrees, and how many nodes of two of them match, for one alignment.
+
+    Subtrees of equal labels throughout have one number, so that a match is computed once for each
+    pair of unequal shapes, whatever the number of their copies.  Nodes must outlive the object.
+    """
+
+    def __init__(self) -> None:
+        self._of: dict[int, int] = {}
+        self._number: dict[tuple, int] = {}
+        self._parts: list[tuple[str, tuple[int, ...]]] = []
+        self._sizes: list[int] = []
+        self._matched: dict[tuple[int, int], int] = {}
+
+    def of(self, tree) -> int:
+        todo = [] if id(tree) in self._of else [(tree, _children(tree))]
+        while todo:
+            node, children = todo[-1]
+            open_ = [c for c in children if id(c) not in self._of]
+            if open_:
+                todo += [(c, _children(c)) for c in open_]
+                continue
+            todo.pop()
+            parts = (_label_of(node), tuple(self._of[id(c)] for c in children))
+            if parts not in self._number:
+                self._number[parts] = len(self._parts)
+                self._parts.append(parts)
+                self._sizes.append(1 + sum(self._sizes[c] for c in parts[1]))
+            self._of[id(node)] = self._number[parts]
+        return self._of[id(tree)]
+
+    def matched(self, a: int, b: int) -> int:
+        """Nodes in the largest match of two shapes; 0 if their roots differ."""
+        todo = [(a, b)]
+        while todo:
+            x, y = todo[-1]
+            if (x, y) in self._matched:
+                todo.pop()
+                continue
+            (label, left), (other, right) = self._parts[x], self._parts[y]
+            if x == y or label != other:
+                self._matched[x, y] = self._sizes[x] if x == y else 0
+                continue
+            by_label: dict[str, set[int]] = {}
+            for c in right:
+                by_label.setdefault(self._parts[c][0], set()).add(c)
+            open_ = [(c, d) for c in set(left) for d in by_label.get(self._parts[c][0], ()) if c != d and (c, d) not in self._matched]
+            if open_:
+                todo += open_
+                continue
+            self._matched[x, y] = 1 + sum(w for _, _, w in self.aligned(left, right))
+        return self._matched[a, b]
+
+    def aligned(self, a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int, int]]:
+        """The best order-preserving match of two lists of shapes: (i, j, matched nodes)."""
+        head = 0
+        while head < min(len(a), len(b)) and a[head] == b[head]:  # equal firsts are in a best match
+            head += 1
+        out = [(i, i, self._sizes[a[i]]) for i in range(head)]
+        a, b = a[head:], b[head:]
+        if not a or not b:
+            return out
+        kinds, where = np.unique(np.array(b), return_inverse=True)
+        rows: dict[int, np.ndarray] = {}
+        for x in set(a):
+            label = self._parts[x][0]
+            rows[x] = np.array([self.matched(x, int(k)) if self._parts[k][0] == label else 0 for k in kinds], np.int32)[where]
+        best = np.zeros((len(a) + 1, len(b) + 1), np.int32)
+        for i in range(len(a) - 1, -1, -1):
+            weight = rows[a[i]]
+            reach = np.maximum(best[i + 1, :-1], np.where(weight > 0, best[i + 1, 1:] + weight, 0))
+            best[i, :-1] = np.maximum.accumulate(reach[::-1])[::-1]
+        i = j = 0
+        while i < len(a) and j < len(b):
+            w = int(rows[a[i]][j])
+            if w and best[i, j] == best[i + 1, j + 1] + w:
+                out.append((head + i, head + j, w))
+                i, j = i + 1, j + 1
+            elif best[i, j] == best[i + 1, j]:
+                i += 1
+            else:
+                j += 1
+        return out
+
+
 def matching(a, b) -> int:
     """Simple tree matching: nodes in the largest match of two trees with equal root labels."""
-    if _label_of(a) != _label_of(b):
-        return 0
-    x, y = _children(a), _children(b)
-    return 1 + sum(w or matching(x[i], y[j]) for i, j, w in pairs(x, y))
+    shapes = Shapes()
+    return shapes.matched(shapes.of(a), shapes.of(b))
 
 
-def pairs(a: list, b: list) -> list[tuple[int, int, int]]:
+def pairs(a: list, b: list, shapes: Shapes | None = None) -> list[tuple[int, int, int]]:
     """Aligned children (i, j, matched nodes) of the best order-preserving match of two lists.
 
     Nodes are not counted (0) where labels alone settle the match."""
@@ -253,66 +335,85 @@ def pairs(a: list, b: list) -> list[tuple[int, int, int]]:
         labels = [_label_of(x) for x in a]
         if len(set(labels)) == len(labels):
             return [(i, i, 0) for i in range(len(a))]
-    n, m = len(a), len(b)
-    weight = [[matching(x, y) for y in b] for x in a]
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            w = weight[i][j]
-            best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + w if w else 0)
-    out, i, j = [], 0, 0
-    while i < n and j < m:
-        if weight[i][j] and best[i][j] == best[i + 1][j + 1] + weight[i][j]:
-            out.append((i, j, weight[i][j]))
-            i, j = i + 1, j + 1
-        elif best[i][j] == best[i + 1][j]:
-            i += 1
-        else:
-            j += 1
-    return out
+    shapes = shapes or Shapes()
+    return shapes.aligned([shapes.of(x) for x in a], [shapes.of(y) for y in b])
 
 
 def merge(a: dict, b: dict) -> dict:
     """One wrapper of two with equal root labels; children of either that match none stay, in order."""
-    children, i, j = [], 0, 0
-    for x, y, _ in pairs(a["c"], b["c"]):
-        children += a["c"][i:x] + b["c"][j:y] + [merge(a["c"][x], b["c"][y])]
-        i, j = x + 1, y + 1
-    children += a["c"][i:] + b["c"][j:]
-    return {"l": a["l"], "n": a["n"] + b["n"], "c": children}
+    shapes, top = Shapes(), {"l": a["l"], "n": a["n"] + b["n"], "c": []}
+    todo = [(a, b, top["c"])]
+    while todo:
+        left, right, children = todo.pop()
+        x, y, i, j = left["c"], right["c"], 0, 0
+        for p, q, _ in pairs(x, y, shapes):
+            children += x[i:p] + y[j:q] + [{"l": x[p]["l"], "n": x[p]["n"] + y[q]["n"], "c": []}]
+            todo.append((x[p], y[q], children[-1]["c"]))
+            i, j = p + 1, q + 1
+        children += x[i:] + y[j:]
+    return top
 
 
 def pruned(tree: dict, most: int = MAX_NODES) -> dict:
     """The wrapper without its rarest nodes, if it has over ``most``; what is not in it counts as varying."""
     least = 2
     while _size(tree) > most:
-        def keep(node: dict) -> dict:
-            return node | {"c": [keep(c) for c in node["c"] if c["n"] >= least]}
-        tree, least = keep(tree), least * 2
+        top = tree | {"c": []}
+        todo = [(tree, top["c"])]
+        while todo:
+            node, children = todo.pop()
+            for c in node["c"]:
+                if c["n"] >= least:
+                    children.append(c | {"c": []})
+                    todo.append((c, children[-1]["c"]))
+        tree, least = top, least * 2
     return tree
 
 
 def numbered(tree: dict, texts: dict[int, list[int]] | None = None) -> dict:
     """The wrapper's nodes as label l, number i in page order and children c; with template texts t, if given."""
-    count = -1
-
-    def visit(node: dict) -> dict:
-        nonlocal count
-        count += 1
+    count, tops = 0, []
+    todo = [(tree, tops)]
+    while todo:
+        node, siblings = todo.pop()
         out = {"l": node["l"], "i": count}
         if texts and count in texts:
             out["t"] = sorted(texts[count])
-        return out | {"c": [visit(c) for c in node["c"]]}
+        out["c"] = []
+        count += 1
+        siblings.append(out)
+        todo += [(c, out["c"]) for c in reversed(node["c"])]
+    return tops[0]
+
+
+def packed(tree: dict) -> str:
+    """A wrapper as JSON that is flat however deep the tree: each node with the number of its children, in page order."""
+    out, todo = [], [tree]
+    while todo:
+        node = todo.pop()
+        out.append([{k: v for k, v in node.items() if k != "c"}, len(node["c"])])
+        todo += reversed(node["c"])
+    return json.dumps(out, separators=(",", ":"))
+
 
-    return visit(tree)
+def unpacked(text: str) -> dict:
+    top: list[dict] = []
+    open_: list[tuple[list, int]] = [(top, 1)]  # lists of children and how many they will have
+    for node, children in json.loads(text):
+        while len(open_[-1][0]) == open_[-1][1]:
+            open_.pop()
+        node["c"] = []
+        open_[-1][0].append(node)
+        open_.append((node["c"], children))
+    return top[0]
 
 
 def aligned(root: Node, tree: dict) -> list[tuple[Node, dict]]:
     """A page's blocks with their nodes of the wrapper."""
-    out = [(root, tree)]
+    out, shapes = [(root, tree)], Shapes()
     for node, at in out:
         children = _children(node)
-        out += [(children[j], at["c"][i]) for i, j, _ in pairs(at["c"], children)]
+        out += [(children[j], at["c"][i]) for i, j, _ in pairs(at["c"], children, shapes)]
     return out
 
 
@@ -343,13 +444,13 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(rest, r"^(?:[^/?#]*@)?([^/?#]*)", 1))
 
 
-def _merged(wrappers: Iterator[tuple[str, int, str]]) -> dict[str, tuple[int, dict]]:
+def _merged(wrappers: Iterator[tuple[str, int, str]], max_nodes: int) -> dict[str, tuple[int, dict]]:
     found: dict[str, tuple[int, dict]] = {}
     for host, pages, tree in wrappers:
-        tree = json.loads(tree) if isinstance(tree, str) else tree
+        tree = unpacked(tree) if isinstance(tree, str) else tree
         if host in found:
             n, old = found[host]
-            found[host] = (n + pages, pruned(merge(old, tree)))
+            found[host] = (n + pages, pruned(merge(old, tree), max_nodes))
         else:
             found[host] = (pages, tree)
     return found
@@ -358,14 +459,14 @@ def _merged(wrappers: Iterator[tuple[str, int, str]]) -> dict[str, tuple[int, di
 WRAPPERS = "host string, part int, pages long, wrapper string"
 
 
-def merged_trees(df: DataFrame, host: Column, html_col: str, group: int) -> DataFrame:
+def merged_trees(df: DataFrame, host: Column, html_col: str, group: int, max_nodes: int = MAX_NODES) -> DataFrame:
     """(wrapper_host, wrapper): the merged tree of every host with enough rows."""
     def rows(found: dict, part: int) -> pa.RecordBatch:
         hosts = sorted(found)
         return pa.RecordBatch.from_pydict({
             "host": pa.array(hosts, pa.string()), "part": pa.array([part] * len(hosts), pa.int32()),
             "pages": pa.array([found[h][0] for h in hosts], pa.int64()),
-            "wrapper": pa.array([json.dumps(found[h][1], separators=(",", ":")) for h in hosts], pa.string())})
+            "wrapper": pa.array([packed(found[h][1]) for h in hosts], pa.string())})
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, tuple[int, dict]] = {}
@@ -376,7 +477,7 @@ def merged_trees(df: DataFrame, host: Column, html_col: str, group: int) -> Data
                 tree = wrapper_of(parse(page or "")[0])
                 if host in found:
                     n, old = found[host]
-                    found[host] = (n + 1, pruned(merge(old, tree)))
+                    found[host] = (n + 1, pruned(merge(old, tree), max_nodes))
                 else:
                     found[host] = (1, tree)
             if len(found) > 5000:  # many hosts in a task: hand over, start anew
@@ -391,14 +492,14 @@ def merged_trees(df: DataFrame, host: Column, html_col: str, group: int) -> Data
                 if held and r["host"] not in held:
                     yield rows(held, r["part"])
                     held = {}
-                held = _merged([*((h, n, t) for h, (n, t) in held.items()), (r["host"], r["pages"], r["wrapper"])])
+                held = _merged([*((h, n, t) for h, (n, t) in held.items()), (r["host"], r["pages"], r["wrapper"])], max_nodes)
         yield rows(held, 0)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(r["host"], numbered(json.loads(r["wrapper"]))) for r in batch.to_pylist() if r["pages"] >= LEAST_PAGES]
+            out = [(r["host"], numbered(unpacked(r["wrapper"]))) for r in batch.to_pylist() if r["pages"] >= LEAST_PAGES]
             yield pa.RecordBatch.from_pydict({"wrapper_host": pa.array([h for h, _ in out], pa.string()),
-                                              "wrapper": pa.array([json.dumps(w, separators=(",", ":")) for _, w in out], pa.string())})
+                                              "wrapper": pa.array([packed(w) for _, w in out], pa.string())})
 
     partial = df.select(host, html_col, (F.spark_partition_id() / group).cast("int").alias("part")).mapInArrow(learn, WRAPPERS)
     partial = partial.repartition("host", "part").sortWithinPartitions("host", "part", "pages", "wrapper").mapInArrow(gather, WRAPPERS)
@@ -419,15 +520,16 @@ def _wrappers_of(column: pa.Array, known: dict[str, dict]) -> list[dict | None]:
         if wrapper is not None and wrapper not in known:
             if len(known) > 2000:
                 known.clear()
-            known[wrapper] = json.loads(wrapper)
+            known[wrapper] = unpacked(wrapper)
         out.append(known.get(wrapper))
     return out
 
 
-def induce_wrappers(df: DataFrame, host: Column, html_col: str, group: int = 256, broadcast_bytes: int = 64 << 20) -> DataFrame:
+def induce_wrappers(df: DataFrame, host: Column, html_col: str, group: int = 256, broadcast_bytes: int = 64 << 20,
+                    max_nodes: int = MAX_NODES) -> DataFrame:
     """(wrapper_host, wrapper): the merged tree of every host with its template texts, if it has any."""
     ship(df.sparkSession)
-    trees = merged_trees(df, host, html_col, group)
+    trees = merged_trees(df, host, html_col, group, max_nodes)
 
     def see(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, dict] = {}
@@ -457,22 +559,24 @@ def induce_wrappers(df: DataFrame, host: Column, html_col: str, group: int = 256
                 texts: dict[int, list[int]] = {}
                 for t in template:
                     texts.setdefault(t["node"], []).append(t["mark"])
-                out.append((host, json.dumps(numbered(json.loads(tree), texts), separators=(",", ":"))))
+                out.append((host, packed(numbered(unpacked(tree), texts))))
             yield pa.RecordBatch.from_pydict({"wrapper_host": pa.array([h for h, _ in out], pa.string()), "wrapper": pa.array([w for _, w in out], pa.string())})
 
     found = trees.join(template, F.col("wrapper_host") == F.col("host")).select("wrapper_host", "wrapper", "template")
     return materialize(found.mapInArrow(finish, "wrapper_host string, wrapper string"), "html-wrappers")
 
 
-def extract_text(df: DataFrame, url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 64 << 20) -> DataFrame:
+def extract_text(df: DataFrame, url_col: str = "url", html_col: str = "html", broadcast_bytes: int = 64 << 20,
+                 max_nodes: int = MAX_NODES) -> DataFrame:
     """``df`` with text (main text, empty if none) and n_chars; the html column goes.
 
     A null page is empty, a null url is a host of its own kind.  Repeated pages count as one
     for the template; pages of a host with fewer than four distinct ones are extracted without template.  Columns of the two new
-    names are replaced.
+    names are replaced.  Pages may be nested to any depth.  A host's wrapper keeps ``max_nodes``
+    nodes: if it has more, those on the fewest pages go first, and their blocks count as text.
     """
     source = df.drop("text", "n_chars")
-    wrappers = small(induce_wrappers(source, host_of(F.col(url_col)), html_col, broadcast_bytes=broadcast_bytes), broadcast_bytes)
+    wrappers = small(induce_wrappers(source, host_of(F.col(url_col)), html_col, broadcast_bytes=broadcast_bytes, max_nodes=max_nodes), broadcast_bytes)
     host, page = fresh(source, "page_host", "page_html")
     kept = [c for c in source.columns if c != html_col]
     joined = source.withColumn(host, host_of(F.col(url_col))).join(wrappers, F.col(host) == F.col("wrapper_host"), "left").select(

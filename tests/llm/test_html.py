@@ -51,3 +51,61 @@ def test_template_inside_articles(spark):
     assert got[:2 * n] == [f"Title {i}\nStory {i} begins.\nStory {i} ends.\nBy Author number {i}" for i in range(n)] * 2
     assert all("Get our letter" in t and "Published by us" in t for t in got[2 * n:2 * n + 3])
     assert got[2 * n + 3:] == [f"Seen {i}\nOne\nThe same story" for i in range(n)]
+
+
+def test_pages_of_any_depth_and_width(spark):
+    body = "<p>Story {} of the host.</p>"
+    deep = ["<div>" * 5000 + body.format(i) + "</div>" * 5000 for i in range(5)]
+    wide = ["<body>" + "".join(f"<div class=c{k % 7}><section>part {k} of {i}</section></div>" for k in range(5000)) for i in range(2)]
+    uneven = ["<body>" + "".join(f"<div>{'<ul>' * ((k * (i + 3)) % 11)}row {k} {i}</div>" for k in range(5000)) for i in range(2)]
+    got = texts_of(spark, [(f"h{j}", page) for j, pages in enumerate((deep, wide, uneven)) for page in pages])
+    assert got[:5] == [f"Story {i} of the host." for i in range(5)]
+    assert got[5:7] == ["\n".join(f"part {k} of {i}" for k in range(5000)) for i in range(2)]
+    assert got[7:] == ["\n".join(f"row {k} {i}" for k in range(5000)) for i in range(2)]
+
+
+def test_wrappers_survive_packing():
+    import random
+
+    from riskmart.llm import html_extract as H
+    rng = random.Random(2)
+
+    def made(depth):
+        return {"l": rng.choice("ab"), "n": rng.randint(1, 9), "c": [made(depth - 1) for _ in range(rng.randint(0, 3) if depth else 0)]}
+
+    for _ in range(50):
+        tree = made(5)
+        assert H.unpacked(H.packed(tree)) == tree
+        order = []
+        todo = [H.numbered(tree)]
+        while todo:
+            node = todo.pop()
+            order.append(node["i"])
+            todo += reversed(node["c"])
+        assert order == list(range(H._size(tree)))
+
+
+def test_template_equals_a_plain_count(spark):
+    """Pages of one shape: a text is template where it stands on 60% of the distinct pages, at least 4, or 80% of 8 among paragraphs."""
+    import random
+    rng = random.Random(4)
+    pages = []
+    for host in range(6):
+        shares = [rng.choice([0.3, 0.5, 0.65, 0.9, 1.0]) for _ in range(6)]
+        for i in range(rng.choice([3, 5, 12, 40])):
+            slots = [f"common {host} {k}" if rng.random() < shares[k] else f"own {host} {k} {i}" for k in range(6)]
+            pages.append((f"h{host}", [f"title {host} {i}", *slots]))
+
+    def html(texts):
+        return "<body>" + "".join(f"<div class=s{k}>{t}</div>" if k % 2 else f"<section id=q{k}><p>{t}</p></section>" for k, t in enumerate(texts)) + "</body>"
+
+    want = []
+    for host, texts in pages:
+        distinct = {tuple(t) for h, t in pages if h == host}
+        kept = []
+        for k, t in enumerate(texts):
+            n, total = sum(d[k] == t for d in distinct), len(distinct)
+            strict = k % 2 == 0
+            kept += [] if n >= 4 and total >= (8 if strict else 4) and n >= (0.8 if strict else 0.6) * total else [t]
+        want.append("\n".join(kept))
+    assert texts_of(spark, [(h, html(t)) for h, t in pages]) == want
