@@ -19,7 +19,9 @@ def q(s: str) -> str:
 
 def ts_parse(expr: str) -> str:
     e = f"trim(CAST({expr} AS VARCHAR))"
-    return (f"COALESCE(try_strptime({e}, '%Y-%m-%d %H:%M:%S'), try_strptime({e}, '%Y-%m-%d'), "
+    return (f"COALESCE(CASE WHEN regexp_full_match({e}, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2}}') THEN try_strptime({e}, '%m/%d/%y') END, "
+            f"try_strptime({e}, '%b. %d, %Y'), CASE WHEN regexp_full_match({e}, '[0-9]+ [A-Z][a-z]+ [0-9]{{2}}') THEN try_strptime({e}, '%d %b %y') END, "
+            f"try_strptime({e}, '%Y/%m/%dT%H:%M'), try_strptime({e}, '%Y-%m-%d %H:%M:%S'), try_strptime({e}, '%Y-%m-%d'), "
             f"try_strptime({e}, '%Y-%m-%dT%H:%M:%S'), try_strptime({e}, '%Y-%m-%dT%H:%M:%SZ'), "
             f"try_strptime({e}, '%Y/%m/%d'), try_strptime({e}, '%m/%d/%Y %I:%M:%S %p'), "
             f"try_strptime({e}, '%m/%d/%Y'), try_strptime({e}, '%B %d, %Y'), try_strptime({e}, '%Y%m%d'))")

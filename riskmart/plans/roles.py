@@ -139,7 +139,11 @@ def investigation_events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = _with_copies(j, F.pmod(F.col("o_orderkey"), F.lit(10)) == 3)
     return j.select(
         F.col("o_orderkey").cast("string").alias("ev_id"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("ev_date"),
+        F.when(F.col("o_orderkey") % 16 == 1, F.date_format("o_orderdate", "MM/dd/yy"))
+         .when(F.col("o_orderkey") % 16 == 2, F.date_format("o_orderdate", "MMM. d, yyyy"))
+         .when(F.col("o_orderkey") % 16 == 3, F.date_format("o_orderdate", "d MMM yy"))
+         .when(F.col("o_orderkey") % 16 == 4, F.date_format("o_orderdate", "yyyy/MM/dd'T'HH:mm"))
+         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("ev_date"),
         F.when(F.col("src_row") == 2, F.lit("A Later Copy"))
          .when(F.col("o_orderstatus") == "F", F.lit("ACC"))
          .when(F.col("o_orderstatus") == "O", F.lit("inc "))
@@ -364,7 +368,11 @@ FROM ({SQL["reports_raw"]})
 SQL["investigation_events_raw"] = """
 SELECT
   CAST(o.o_orderkey AS VARCHAR) AS ev_id,
-  strftime(o.o_orderdate, '%Y-%m-%d') AS ev_date,
+  CASE WHEN o.o_orderkey % 16 = 1 THEN strftime(o.o_orderdate, '%m/%d/%y')
+       WHEN o.o_orderkey % 16 = 2 THEN strftime(o.o_orderdate, '%b. %-d, %Y')
+       WHEN o.o_orderkey % 16 = 3 THEN strftime(o.o_orderdate, '%-d %b %y')
+       WHEN o.o_orderkey % 16 = 4 THEN strftime(o.o_orderdate, '%Y/%m/%dT%H:%M')
+       ELSE strftime(o.o_orderdate, '%Y-%m-%d') END AS ev_date,
   CASE WHEN s.src_row = 2 THEN 'A Later Copy' WHEN o.o_orderstatus = 'F' THEN 'ACC' WHEN o.o_orderstatus = 'O' THEN 'inc '
        ELSE 'ground damage' END AS ev_type,
   CASE WHEN o.o_orderpriority = '1-URGENT' THEN 'FATL'
