@@ -7,6 +7,7 @@ do not depend on the summation order of partial aggregates.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -183,6 +184,22 @@ def q_quality(spark, d):
                                        **{f"varies_{c}": ("varies", c) for c in li.columns}})))
 
 
+@register("trusted_counters")
+def q_trusted_counters(spark, d):
+    """The four trusted tables are written, and their write jobs count the rows of each stage."""
+    out = f"{checkpoint_dir(spark).rstrip('/')}/riskmart-trusted-{uuid.uuid4().hex}"
+    merged = trusted.investigation_events(
+        roles.investigation_events_raw(spark, d), roles.investigation_aircraft_raw(spark, d),
+        roles.investigation_injury_raw(spark, d), aircraft_order=F.col("src_order"))
+    counters = [
+        *trusted.write_trusted_operations(roles.operations_raw(spark, d), roles.OPERATIONS_ORDER, f"{out}/operations", DRIVER_WINDOW),
+        *trusted.write_trusted_reports(roles.reports_raw(spark, d), roles.REPORTS_ORDER, f"{out}/reports", DRIVER_WINDOW),
+        *trusted.write_trusted_investigations(merged, roles.SRC_ORDER, f"{out}/investigations", DRIVER_WINDOW),
+        *trusted.write_trusted_culture(roles.culture_raw(spark, d), roles.SRC_ORDER, f"{out}/culture"),
+    ]
+    return spark.createDataFrame(counters, "source string, step string, row_count long")
+
+
 @register("label_distribution")
 def q_labels(spark, d):
     """V6 (value counts, NULL kept) of the weak label, the primary theme and the confidence tier."""

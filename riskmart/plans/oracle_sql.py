@@ -565,6 +565,16 @@ UNION ALL
                     for c in _LI_COLS)}
 """)
 
+ORACLE["trusted_counters"] = with_ctes(uniq(OPS, REP, INV, ["cul_raw", "trusted_culture"]), f"""
+{" UNION ALL ".join(f"SELECT '{source}' AS source, '{step}' AS step, count(*) AS row_count FROM {table}" for source, step, table in (
+    ("operations", "loaded", "ops_raw"), ("operations", "deduplicated", "ops_dedup"), ("operations", "required_present", "ops_valid"),
+    ("operations", "written", "trusted_operations"), ("reports", "loaded", "rep_raw"), ("reports", "deduplicated", "rep_dedup"),
+    ("reports", "required_present", f"rep_dedup WHERE {not_null(D.REPORTS_NOT_NULL)}"), ("reports", "written", "trusted_reports"),
+    ("investigations", "loaded", "inv_std"), ("investigations", "deduplicated", f"({keep_first('inv_std', D.INVESTIGATIONS_KEYS, ['src_row'])})"), ("investigations", "required_present", "inv_valid"),
+    ("investigations", "written", "trusted_investigations"), ("culture", "loaded", "cul_raw"), ("culture", "deduplicated", "trusted_culture"),
+    ("culture", "written", "trusted_culture")))}
+""")
+
 ORACLE["label_distribution"] = with_ctes(uniq(NLP, ["nlp_enriched"]), """
 SELECT 'quality_label' AS column_name, CAST(quality_label AS VARCHAR) AS value, count(*) AS row_count
 FROM trusted_reports GROUP BY ALL

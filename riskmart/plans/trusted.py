@@ -8,7 +8,7 @@ are compared as read (Q7).  Fixed deviations: dates parse over an explicit forma
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,8 +94,9 @@ def trusted_operations(raw: DataFrame, order: Sequence[str], window=D.STUDY_WIND
 
 
 # ============================================================ reports (E1.1)
-def trusted_reports(raw: DataFrame, order: Sequence[str], window=D.STUDY_WINDOW) -> DataFrame:
-    """S3 -> P1 -> P2/P4 -> V1 -> F4 -> F1 -> F3 -> G9 -> P5."""
+def trusted_reports(raw: DataFrame, order: Sequence[str], window=D.STUDY_WINDOW,
+                    observe: dict | None = None) -> DataFrame:
+    """S3 -> P1 -> P2/P4 -> V1 -> F4 -> F1 -> F3 -> G9 -> P5; ``observe`` as in ``trusted_operations``."""
     df = snake_case_columns(raw)
     df = rename_if_absent(df, D.REPORTS_ALIASES)
     if "narrative" not in df.columns and "narrative_synopsis" in df.columns:
@@ -106,8 +107,8 @@ def trusted_reports(raw: DataFrame, order: Sequence[str], window=D.STUDY_WINDOW)
     if "source_system" not in df.columns:
         df = df.withColumn("source_system", F.lit("NASA_ASRS"))
     validate_required_columns(df, D.REPORTS_REQUIRED)
-    df = keep_first(df, D.REPORTS_KEYS, order)
-    df = drop_required_nulls(df, D.REPORTS_NOT_NULL)
+    df = _watch(keep_first(_watch(df, observe, "loaded"), D.REPORTS_KEYS, order), observe, "deduplicated")
+    df = _watch(drop_required_nulls(df, D.REPORTS_NOT_NULL), observe, "required_present")
     ts = to_timestamp_col(df, "event_date", month_first=True)
     df = df.withColumn("_ts", ts).where(F.col("_ts").isNotNull() & in_window(F.col("_ts"), window))
     df = df.withColumn("event_date", F.to_date("_ts")).drop("_ts")
@@ -181,8 +182,9 @@ def investigation_events(events: DataFrame, aircraft: DataFrame | None, injury:
     return merged
 
 
-def trusted_investigations(merged: DataFrame, order: Sequence[str | Column], window=D.STUDY_WINDOW) -> DataFrame:
-    """P1 -> P3/P9 -> V1 -> F4 -> F1 -> F2 -> G7/G8/G9 -> P6."""
+def trusted_investigations(merged: DataFrame, order: Sequence[str | Column], window=D.STUDY_WINDOW,
+                           observe: dict | None = None) -> DataFrame:
+    """P1 -> P3/P9 -> V1 -> F4 -> F1 -> F2 -> G7/G8/G9 -> P6; ``observe`` as in ``trusted_operations``."""
     df = snake_case_columns(merged)
     df = coalesce_aliases(df, D.INVESTIGATIONS_ALIASES)
     files = "|".join(D.INVESTIGATION_FILES)
@@ -194,8 +196,8 @@ def trusted_investigations(merged: DataFrame, order: Sequence[str | Column], win
         if c in df.columns:
             df = df.withColumn(c, blank_to_null(F.col(c).cast("string")))
     validate_required_columns(df, D.INVESTIGATIONS_REQUIRED)
-    df = keep_first(df, D.INVESTIGATIONS_KEYS, order)
-    df = drop_required_nulls(df, D.INVESTIGATIONS_REQUIRED, blank_is_null=True)
+    df = _watch(keep_first(_watch(df, observe, "loaded"), D.INVESTIGATIONS_KEYS, order), observe, "deduplicated")
+    df = _watch(drop_required_nulls(df, D.INVESTIGATIONS_REQUIRED, blank_is_null=True), observe, "required_present")
     ts = to_timestamp_col(df, "event_date")
     df = df.withColumn("_ts", ts).where(F.col("_ts").isNotNull() & in_window(F.col("_ts"), window))
     df = df.withColumn("event_date", F.to_date("_ts")).drop("_ts")
@@ -243,11 +245,12 @@ def normalize_investigations(df: DataFrame) -> DataFrame:
 
 # ============================================================ culture (E1.4)
 def trusted_culture(raw: DataFrame, order: Sequence[str], null_threshold: float | None = D.NULL_RATIO_THRESHOLD,
-                    check: bool = True) -> DataFrame:
-    """S1 -> P1 -> V1 -> F4 -> V2 -> V3 (no window filter, no normalisation)."""
+                    check: bool = True, observe: dict | None = None) -> DataFrame:
+    """S1 -> P1 -> V1 -> F4 -> V2 -> V3 (no window filter, no normalisation); ``observe`` as in ``trusted_operations``."""
     df = snake_case_columns(raw)
     validate_required_columns(df, D.CULTURE_REQUIRED)
-    df = _drop_helpers(keep_first(df, D.CULTURE_KEYS, order), order)
+    df = _watch(keep_first(_watch(df, observe, "loaded"), D.CULTURE_KEYS, order), observe, "deduplicated")
+    df = _drop_helpers(df, order)
     if check:
         if null_threshold is not None:
             validate_null_threshold(df, null_threshold)
@@ -277,29 +280,57 @@ def event_features(trusted: DataFrame) -> DataFrame:
 
 
 # ============================================================ build + write with counters
-def write_trusted_operations(raw: DataFrame, order: Sequence[str], path: str, window=D.STUDY_WINDOW,
-                             partition_by: Sequence[str] = ("flight_date",)) -> list[tuple[str, str, int]]:
-    """Build the trusted operations table, write it (always, even when empty) and return the
-    stage counters (rows loaded / after de-dup / after required-null filter / written).
+STEPS = ("loaded", "deduplicated", "required_present", "written")
+
 
-    The counters are ``DataFrame.observe`` metrics collected by the write job itself, so no
-    extra pass over the data is made.
+def _write_counted(source: str, build: Callable[[dict], DataFrame], path: str, partition_by: Sequence[str] = (),
+                   steps: Sequence[str] = STEPS, write: Callable[[DataFrame], None] | None = None) -> list[tuple[str, str, int]]:
+    """Write the table that ``build`` makes, also if it is empty, and return its stage counters (source, step, rows).
+
+    The counters are ``DataFrame.observe`` metrics of the write job itself, so no extra pass over
+    the data is made.  Rows are dealt by ``partition_by`` before they are written: a folder gets
+    one file or, if AQE splits a large one, a few; not one from every task.
     """
     from pyspark.sql import Observation
-    obs = {k: Observation(f"ops_{k}") for k in ("loaded", "deduplicated", "required_present", "written")}
-    out = _watch(trusted_operations(raw, order, window, observe=obs), obs, "written")
-    w = out.write.mode("overwrite")
+    seen = {step: Observation(f"{source}_{step}") for step in steps}
+    out = _watch(build(seen), seen, "written")
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return [("operations", k, int(o.get["rows"])) for k, o in obs.items()]
+        out = out.hint("rebalance", *partition_by)
+    if write is not None:
+        write(out)
+    else:
+        w = out.write.mode("overwrite")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    return [(source, step, int(o.get["rows"])) for step, o in seen.items()]
+
+
+def write_trusted_operations(raw: DataFrame, order: Sequence[str], path: str, window=D.STUDY_WINDOW,
+                             partition_by: Sequence[str] = ("flight_date",)) -> list[tuple[str, str, int]]:
+    """E1.3 as a write job: rows loaded, after de-dup, with all required values, and written."""
+    return _write_counted("operations", lambda seen: trusted_operations(raw, order, window, observe=seen), path, partition_by)
+
+
+def write_trusted_reports(raw: DataFrame, order: Sequence[str], path: str, window=D.STUDY_WINDOW,
+                          partition_by: Sequence[str] = ()) -> list[tuple[str, str, int]]:
+    """E1.1 as a write job with its counters."""
+    return _write_counted("reports", lambda seen: trusted_reports(raw, order, window, observe=seen), path, partition_by)
+
+
+def write_trusted_investigations(merged: DataFrame, order: Sequence[str | Column], path: str, window=D.STUDY_WINDOW,
+                                 partition_by: Sequence[str] = ()) -> list[tuple[str, str, int]]:
+    """E1.2 as a write job with its counters; an empty table is written with its columns."""
+    return _write_counted("investigations", lambda seen: trusted_investigations(merged, order, window, observe=seen), path, partition_by)
 
 
 def write_trusted_culture(raw: DataFrame, order: Sequence[str], path: str,
-                          null_threshold: float | None = D.NULL_RATIO_THRESHOLD) -> None:
+                          null_threshold: float | None = D.NULL_RATIO_THRESHOLD) -> list[tuple[str, str, int]]:
     """E1.4 as a write job: the rows are built once, V2 and V3 read the copy, and only a table that passes is written."""
-    built = written(trusted_culture(raw, order, check=False), "trusted-culture")
-    if null_threshold is not None:
-        validate_null_threshold(built, null_threshold)
-    validate_no_duplicates(built, D.CULTURE_KEYS)
-    built.write.mode("overwrite").parquet(path)
+    def checked(out: DataFrame) -> None:
+        built = written(out, "trusted-culture")
+        if null_threshold is not None:
+            validate_null_threshold(built, null_threshold)
+        validate_no_duplicates(built, D.CULTURE_KEYS)
+        built.write.mode("overwrite").parquet(path)
+
+    return _write_counted("culture", lambda seen: trusted_culture(raw, order, check=False, observe=seen), path,
+                          steps=("loaded", "deduplicated", "written"), write=checked)

@@ -69,3 +69,28 @@ def test_write_with_observed_counters(spark, tmp):
     assert counters == {"loaded": 8, "deduplicated": 7, "required_present": 6, "written": 5}
     back = spark.read.parquet(os.path.join(tmp, "trusted"))
     assert back.count() == 5 and "flight_date" in back.columns
+
+
+def test_partitioned_write_makes_few_files_and_counts(spark, tmp):
+    from riskmart.plans.trusted import write_trusted_operations
+    days = 6
+    raw = spark.range(3000, numPartitions=12).select(
+        F.concat(F.lit("2025-01-0"), (F.col("id") % days + 1).cast("string")).alias("FlightDate"), F.lit("AA").alias("Reporting_Airline"),
+        F.col("id").cast("string").alias("Flight_Number_Reporting_Airline"), F.lit("ATL").alias("Origin"), F.lit("JFK").alias("Dest"),
+        F.lit("0").alias("Cancelled"), F.lit("0").alias("Diverted"), F.col("id").alias("src_row"))
+    counters = {step: n for _, step, n in write_trusted_operations(raw, ["src_row"], f"{tmp}/ops")}
+    assert counters == {"loaded": 3000, "deduplicated": 3000, "required_present": 3000, "written": 3000}
+    folders = [f for f in os.listdir(f"{tmp}/ops") if f.startswith("flight_date=")]
+    files = [f for d in folders for f in os.listdir(f"{tmp}/ops/{d}") if f.endswith(".parquet")]
+    assert len(folders) == days and len(files) == days
+    assert spark.read.parquet(f"{tmp}/ops").count() == 3000
+
+
+def test_empty_tables_are_written_with_counters(spark, tmp):
+    from riskmart.plans.trusted import write_trusted_investigations, write_trusted_reports
+    reports = spark.createDataFrame([("1", "2030-01-01", "x", "y", "z", 1)], "ACN string, event_date string, anomaly string, human_factors string, narrative string, src_row int")
+    got = write_trusted_reports(reports.withColumnRenamed("ACN", "report_id"), ["src_row"], f"{tmp}/r")
+    assert got == [("reports", "loaded", 1), ("reports", "deduplicated", 1), ("reports", "required_present", 1), ("reports", "written", 0)]
+    events = spark.createDataFrame([("1", "2030-01-01", "ACC", "FATL", 1)], "ntsb_event_id string, event_date string, event_type string, injury_severity string, src_row int")
+    got = write_trusted_investigations(events, ["src_row"], f"{tmp}/i")
+    assert [n for _, _, n in got] == [1, 1, 1, 0] and "severity_normalized" in spark.read.parquet(f"{tmp}/i").columns
