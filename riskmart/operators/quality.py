@@ -15,6 +15,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskmart.functions.scalars import col
 
@@ -59,12 +60,50 @@ def validate_required_columns(df: DataFrame, required: Iterable[str]) -> None:
         raise DataQualityError(f"the input lacks {absent}")
 
 
-# ------------------------------------------------------------------ V2
+# ------------------------------------------------------------------ V2 / V5 / A12: one profile
+PROFILE = ("row_count", "null_count", "min_value", "max_value")
+
+
+def column_profile(df: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., column_name, row_count, null_count, min_value, max_value): a row for each column, in one aggregate.
+
+    Profiles add up (``merged_profile``), so a table that grows by months is checked from its
+    months' profiles and the new rows alone.  Least and greatest values are those of the values'
+    text, which is enough to tell a column that varies and is the same for every type.
+    """
+    columns = list(columns if columns is not None else [c for c in df.columns if c not in by])
+
+    def text(c: str) -> Column:
+        nested = isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))
+        return F.to_json(F.struct(F.col(f"`{c}`"))) if nested else F.col(f"`{c}`").cast("string")
+
+    held = df.groupBy(*by).agg(F.count(F.lit(1)).alias("row_count"), *[
+        F.struct(F.count_if(F.col(f"`{c}`").isNull()).alias("null_count"), F.min(text(c)).alias("min_value"),
+                 F.max(text(c)).alias("max_value")).alias(f"p{i}") for i, c in enumerate(columns)])
+    each = F.array(*[F.struct(F.lit(c).alias("column_name"), "row_count", f"p{i}.null_count", f"p{i}.min_value", f"p{i}.max_value") for i, c in enumerate(columns)])
+    return held.select(*by, F.explode(each).alias("p")).select(*by, "p.*")
+
+
+def merged_profile(profile: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The profile of the union of profiled tables, by fewer columns or none."""
+    return profile.groupBy(*by, "column_name").agg(
+        F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count"),
+        F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"))
+
+
+def null_ratio() -> Column:
+    """V2 of a profile row: share of nulls; null for a table without rows."""
+    return F.try_divide(F.col("null_count").cast("double"), F.col("row_count"))
+
+
+def varies() -> Column:
+    """A12 of a profile row: whether a column has two distinct values that are not null."""
+    return F.coalesce(F.col("min_value") != F.col("max_value"), F.lit(False))
+
+
 def null_ratios(df: DataFrame) -> DataFrame:
-    """One aggregation for all columns: share of NULLs per column (long format)."""
-    exprs = [F.avg(F.col(c).isNull().cast("double")).alias(c) for c in df.columns]
-    wide = df.agg(*exprs)
-    return wide.unpivot([], df.columns, "column_name", "null_ratio")
+    """(column_name, null_ratio) of all columns."""
+    return column_profile(df).select("column_name", null_ratio().alias("null_ratio"))
 
 
 def validate_null_threshold(df: DataFrame, threshold: float) -> None:
@@ -96,23 +135,8 @@ def validate_label(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn(label, F.col(label).cast("string").try_cast("double").cast("int"))
 
 
-# ------------------------------------------------------------------ V5 / V6
-def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(c) for c in columns])
-    return wide.unpivot([], list(columns), "column_name", "null_count")
-
-
-def value_distribution(df: DataFrame, column: str) -> DataFrame:
-    """``value_counts(dropna=False)``: NULL is its own group."""
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
-
-
-# ------------------------------------------------------------------ A12
-def varying_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long format (column_name, varies): whether a column has two distinct non-NULL values.
-
-    ``min <> max`` decides it in one hash aggregate; a distinct count per column would
-    expand every row once per column.
-    """
-    wide = df.agg(*[F.coalesce(F.min(c) != F.max(c), F.lit(False)).alias(c) for c in columns])
-    return wide.unpivot([], list(columns), "column_name", "varies")
+# ------------------------------------------------------------------ V6
+def value_distributions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, row_count): ``value_counts(dropna=False)`` of several columns in one pass; NULL is a value of its own."""
+    each = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
+    return df.select(F.explode(each).alias("p")).groupBy("p.column_name", "p.value").agg(F.count(F.lit(1)).alias("row_count"))

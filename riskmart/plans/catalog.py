@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.operators import marts, text_rules
@@ -18,6 +18,7 @@ from riskmart.operators.joins import Lookup
 from riskmart.operators.quality import keep_first
 from riskmart.plans import roles, trusted
 from riskmart.plans.roles import DRIVER_WINDOW
+from riskmart.session import checkpoint_dir, written
 
 DIGITS = 6
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,17 +172,34 @@ def q_quality(spark, d):
         F.count_if(valid & ~in_window(ts, DRIVER_WINDOW)).alias("outside_window_rows"),
         F.count_if(valid & in_window(ts, DRIVER_WINDOW)).alias("trusted_rows"),
     )
-    loaded = raw.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in D.OPERATIONS_REQUIRED])
     li = roles.table(spark, d, "lineitem")
-    li_first = q_dedupe(spark, d)
-    shape = li_first.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(f"ratio_{c}") for c in li.columns],
-                         *[F.coalesce(F.min(c) != F.max(c), F.lit(False)).alias(f"varies_{c}") for c in li.columns])
     surplus = Q.count_duplicate_surplus(li, ["l_orderkey", "l_linenumber"])
-    return (_long(loaded, {"rows": ("rows_loaded", "*"), **{f"null_{c}": ("null_count", c) for c in D.OPERATIONS_REQUIRED}})
+
+    def rows(df, check: str, value: Column, column: Column | str = "column_name"):
+        return df.select(F.lit(check).alias("check_name"), (F.col(column) if isinstance(column, str) else column).alias("column_name"),
+                         value.cast("double").alias("value"))
+
+    loaded, shape = Q.column_profile(raw, D.OPERATIONS_REQUIRED), Q.column_profile(q_dedupe(spark, d), li.columns)
+    first = F.col("column_name") == D.OPERATIONS_REQUIRED[0]
+    checks = F.explode(F.array(F.struct(F.lit("null_ratio").alias("check_name"), Q.null_ratio().alias("value")),
+                               F.struct(F.lit("varies").alias("check_name"), Q.varies().cast("double").alias("value")))).alias("c")
+    counts = F.explode(F.concat(F.array(F.struct(F.lit("null_count").alias("check_name"), F.col("column_name"), F.col("null_count").alias("value"))),
+                                F.when(first, F.array(F.struct(F.lit("rows_loaded").alias("check_name"), F.lit("*").alias("column_name"), F.col("row_count").alias("value"))))
+                                .otherwise(F.array()))).alias("c")
+    return (loaded.select(counts).select("c.check_name", "c.column_name", F.col("c.value").cast("double").alias("value"))
             .unionByName(_long(stages, {c: (c, "*") for c in stages.columns}))
-            .unionByName(_long(surplus, {"duplicate_rows": ("key_duplicates", "l_orderkey,l_linenumber")}))
-            .unionByName(_long(shape, {**{f"ratio_{c}": ("null_ratio", c) for c in li.columns},
-                                       **{f"varies_{c}": ("varies", c) for c in li.columns}})))
+            .unionByName(rows(surplus, "key_duplicates", F.col("duplicate_rows"), F.lit("l_orderkey,l_linenumber")))
+            .unionByName(shape.select("column_name", checks).select("c.check_name", "column_name", "c.value")))
+
+
+@register("column_profiles")
+def q_column_profiles(spark, d):
+    """V2, V5 and A12 of the trusted investigations: a profile of each month, and their sum without a second read."""
+    rows = t_investigations(spark, d).withColumn("month", F.date_format("event_date", "yyyy-MM"))
+    months = written(Q.column_profile(rows, D.INVESTIGATIONS_OUTPUT, by=["month"]), "profiles")
+    every = Q.merged_profile(months).withColumn("month", F.lit("all"))
+    return months.unionByName(every, allowMissingColumns=False).select(
+        "month", "column_name", *Q.PROFILE, Q.null_ratio().alias("null_ratio"), Q.varies().alias("varies"))
 
 
 @register("trusted_counters")
@@ -192,7 +210,7 @@ def q_trusted_counters(spark, d):
         roles.investigation_events_raw(spark, d), roles.investigation_aircraft_raw(spark, d),
         roles.investigation_injury_raw(spark, d), aircraft_order=F.col("src_order"))
     counters = [
-        *trusted.write_trusted_operations(roles.operations_raw(spark, d), roles.OPERATIONS_ORDER, f"{out}/operations", DRIVER_WINDOW),
+        *trusted.write_trusted_operations(roles.operations_raw(spark, d), roles.OPERATIONS_ORDER, f"{out}/operations", DRIVER_WINDOW, partition_by=()),
         *trusted.write_trusted_reports(roles.reports_raw(spark, d), roles.REPORTS_ORDER, f"{out}/reports", DRIVER_WINDOW),
         *trusted.write_trusted_investigations(merged, roles.SRC_ORDER, f"{out}/investigations", DRIVER_WINDOW),
         *trusted.write_trusted_culture(roles.culture_raw(spark, d), roles.SRC_ORDER, f"{out}/culture"),
@@ -203,13 +221,8 @@ def q_trusted_counters(spark, d):
 @register("label_distribution")
 def q_labels(spark, d):
     """V6 (value counts, NULL kept) of the weak label, the primary theme and the confidence tier."""
-    def pairs(df, columns):
-        return df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-                                             for c in columns])).alias("p")).select("p.*")
-
-    rows = pairs(t_reports(spark, d), ["quality_label"]).unionByName(
-        pairs(nlp_table(spark, d), ["theme_primary_label", "fatigue_confidence_tier"]))
-    return rows.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
+    reports = Q.value_distributions(t_reports(spark, d), ["quality_label"])
+    return reports.unionByName(Q.value_distributions(nlp_table(spark, d), ["theme_primary_label", "fatigue_confidence_tier"]))
 
 
 @register("event_child_collapse")
@@ -404,8 +417,6 @@ def q_reference_features(spark, d):
 
 # ------------------------------------------------------------ file connectors
 def _folder(spark, name: str) -> str:
-    import uuid
-    from riskmart.session import checkpoint_dir
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

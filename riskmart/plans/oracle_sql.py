@@ -575,6 +575,18 @@ ORACLE["trusted_counters"] = with_ctes(uniq(OPS, REP, INV, ["cul_raw", "trusted_
     ("culture", "written", "trusted_culture")))}
 """)
 
+def _profile_sql(month: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {month} AS month, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"min(CAST({c} AS VARCHAR)) AS min_value, max(CAST({c} AS VARCHAR)) AS max_value FROM trusted_investigations GROUP BY 1" for c in D.INVESTIGATIONS_OUTPUT)
+
+
+_MONTH = "strftime(event_date, '%Y-%m')"
+ORACLE["column_profiles"] = with_ctes(INV, f"""
+, p AS ({_profile_sql(_MONTH)} UNION ALL {_profile_sql("'all'")})
+SELECT *, null_count / CAST(row_count AS DOUBLE) AS null_ratio, coalesce(min_value <> max_value, FALSE) AS varies FROM p
+""")
+
 ORACLE["label_distribution"] = with_ctes(uniq(NLP, ["nlp_enriched"]), """
 SELECT 'quality_label' AS column_name, CAST(quality_label AS VARCHAR) AS value, count(*) AS row_count
 FROM trusted_reports GROUP BY ALL
@@ -694,7 +706,7 @@ _METRICS = {
     "positive_precision": _P1, "positive_recall": _R1, "positive_f1": _F11, "positive_support": "tp + fn",
     "negative_precision": _P0, "negative_recall": _R0, "negative_f1": _F10, "negative_support": "tn + fp",
     "macro_precision": f"({_P1} + {_P0}) / 2", "macro_recall": f"({_R1} + {_R0}) / 2",
-    "macro_f1": f"({_F11} + {_F10}) / 2",
+    "macro_f1": f"({_F11} + {_F10}) / 2", "macro_support": _N, "weighted_support": _N,
     "weighted_precision": _sd(f"{_P1} * (tp + fn) + {_P0} * (tn + fp)", _N),
     "weighted_recall": _sd(f"{_R1} * (tp + fn) + {_R0} * (tn + fp)", _N),
     "weighted_f1": _sd(f"{_F11} * (tp + fn) + {_F10} * (tn + fp)", _N),

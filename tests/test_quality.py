@@ -71,3 +71,21 @@ def test_checkpoint_folder_is_required_on_a_cluster():
 
     with pytest.raises(ValueError):
         checkpoint_dir(Session())
+
+
+def test_profiles_add_up(spark):
+    from riskmart.operators.quality import column_profile, merged_profile, null_ratio, null_ratios, value_distributions, varies
+    rows = [(f"2025-0{i % 3 + 1}", None if i % 4 == 0 else i % 5, "same" if i % 2 else None, [i], 0.5 * i) for i in range(40)]
+    df = spark.createDataFrame(rows, "month string, n int, s string, a array<int>, `odd name` double")
+    months = column_profile(df, by=["month"])
+    assert months.count() == 3 * 4
+    whole = {r.column_name: tuple(r) for r in column_profile(df.drop("month")).collect()}
+    assert {r.column_name: tuple(r) for r in merged_profile(months).collect()} == whole
+    assert {c: w[1:3] for c, w in whole.items()} == {"n": (40, 10), "s": (40, 20), "a": (40, 0), "odd name": (40, 0)}
+    assert {r.column_name: r.v for r in merged_profile(months).select("column_name", varies().alias("v")).collect()} == {
+        "n": True, "s": False, "a": True, "odd name": True}
+    assert {r.column_name: r.null_ratio for r in null_ratios(df).collect()}["n"] == 0.25
+    empty = column_profile(df.limit(0), ["n"]).select("row_count", "null_count", null_ratio().alias("r"), varies().alias("v")).first()
+    assert tuple(empty) == (0, 0, None, False)
+    counts = {(r.column_name, r.value): r.row_count for r in value_distributions(df, ["s", "n"]).collect()}
+    assert counts["s", None] == 20 and counts["s", "same"] == 20 and counts["n", None] == 10
