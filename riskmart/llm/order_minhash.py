@@ -14,12 +14,14 @@ rows and no join of texts is needed.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskmart.llm.common import ship, table, texts
 
@@ -111,15 +113,34 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-def _ranges(docs: DataFrame, bounds: list[int]) -> DataFrame:
+#: A range holds about so many bytes of text; there are at most so many ranges.
+RANGE_BYTES, MAX_RANGES = 16 << 20, 4096
+_LOWEST = -1.7976931348623157e308
+
+
+def _position(docs: DataFrame) -> Column:
+    """A double that does not fall along the order of ``id``: for text, the bytes after what all ids begin with."""
+    kind, c = docs.schema["id"].dataType, F.col("id")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        ends = docs.agg(F.min(c.cast("binary")).alias("low"), F.max(c.cast("binary")).alias("high")).first()
+        shared = len(os.path.commonprefix([bytes(ends.low or b""), bytes(ends.high or b"")]))
+        at = F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), shared + 1, 6)), 12, "0"), 16, 10).cast("double")
+    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        at = F.unix_micros(c.cast("timestamp")).cast("double")
+    elif isinstance(kind, (T.NumericType, T.BooleanType)):
+        at = c.cast("double")
+    else:
+        at = F.lit(0.0)
+    return F.when(c.isNull(), F.lit(_LOWEST)).when(F.isnan(at), F.lit(-_LOWEST)).otherwise(F.greatest(F.least(at, F.lit(-_LOWEST)), F.lit(_LOWEST)))
+
+
+def _ranges(docs: DataFrame, bounds: list[float]) -> DataFrame:
     """``docs`` with part, the index of the range of ``ord`` (monotone; a binary search in the JVM)."""
-    splits = sorted({float(b) for b in bounds} - {float("-inf")})
-    if not splits:
+    if not bounds:
         return docs.withColumn("part", F.lit(0))
     from pyspark.ml.feature import Bucketizer
-    cut = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="ord_d", outputCol="part_d")
-    return (cut.transform(docs.withColumn("ord_d", F.col("ord").cast("double")))
-            .withColumn("part", F.col("part_d").cast("int")).drop("ord_d", "part_d"))
+    cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="ord", outputCol="part_d")
+    return cut.transform(docs).withColumn("part", F.col("part_d").cast("int")).drop("part_d")
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -127,27 +148,29 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next.
 
-    Documents are in the order of ``id_col`` (null first, equal ids by text); the last is
-    followed by the first.  A null text counts as empty, whose fingerprint is the empty
-    string.  Other columns are not read.
+    Documents are in the order of ``id_col`` (any type that Spark orders; null first, equal ids by
+    text); the last is followed by the first.  A null text counts as empty, whose fingerprint is the
+    empty string.  Other columns are not read.  The order is cut into ranges of about
+    ``RANGE_BYTES`` of text (or into ``ranges``), a task each; rows of one id stay in one range.
     """
     spark = df.sparkSession
     ship(spark)
     sketch = sketch or OrderMinHash()
-    docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"),
-                     F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("ord"))
+    docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+    docs = docs.withColumn("ord", _position(docs))
     id_type = docs.schema["id"].dataType.simpleString()
-    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted({int(q) for q in docs.select(F.percentile_approx(
-        "ord", [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0] or []})
+    held = docs.agg(F.percentile_approx("ord", [i / MAX_RANGES for i in range(1, MAX_RANGES)], 20_000).alias("at"), F.sum(F.octet_length("body")).alias("size")).first()
+    n = min(MAX_RANGES, ranges or max(-(-(held.size or 0) // RANGE_BYTES), spark.sparkContext.defaultParallelism))
+    bounds = sorted({held["at"][round(i * MAX_RANGES / n) - 1] for i in range(1, n)} - {_LOWEST}) if held["at"] else []
     dealt = _ranges(docs, bounds)
-    firsts = sorted((r.part, r.low) for r in dealt.groupBy("part").agg(F.min("ord").alias("low")).collect())  # a row per range
-    ahead = [(low, firsts[i - 1][0]) for i, (_, low) in enumerate(firsts)]
-    look = spark.createDataFrame(ahead or [(0, -1)], "low long, before int")
-    copies = dealt.join(F.broadcast(look), F.col("ord") == F.col("low")).select(
-        "id", "body", "ord", F.col("before").alias("part"), F.lit(1).alias("turn"))
-    rows = dealt.withColumn("turn", F.lit(0)).unionByName(copies)
-    rows = rows.repartitionById(max(1, len(bounds) + 1), "part").sortWithinPartitions("turn", "ord", "body")
+    lows = sorted((r.part, r.low) for r in dealt.groupBy("part").agg(F.min("ord").alias("low")).collect())  # a row per range
+    ahead = [(low, lows[i - 1][0]) for i, (_, low) in enumerate(lows)]
+    look = spark.createDataFrame(ahead or [(0.0, -1)], "low double, before int")
+    first = F.min(F.struct("id", "body"))  # of the rows at a range's lowest position
+    copies = dealt.join(F.broadcast(look), F.col("ord") == F.col("low")).groupBy(F.col("before").alias("part")).agg(first.alias("first")).select(
+        "first.id", "first.body", "part", F.lit(1).alias("turn"))
+    rows = dealt.select("id", "body", "part", F.lit(0).alias("turn")).unionByName(copies)
+    rows = rows.repartitionById(max(1, len(bounds) + 1), "part").sortWithinPartitions("turn", F.col("id").asc_nulls_first(), "body")
     schema = (f"id {id_type}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
 

@@ -183,3 +183,29 @@ def test_incremental_entropy_equals_brute_force():
             if e >= threshold - 1e-9 and sum(c.isdigit() for c in w) >= 2 and sum(c.isalpha() for c in w) >= 2:
                 hit |= set(range(i, i + width))
         assert hit == {i for a, b in high_entropy_windows(run, width, threshold) for i in range(a, b)}
+
+
+@pytest.mark.parametrize("kind", ["string", "binary", "date", "timestamp", "double", "decimal(30,2)", "boolean"])
+def test_fingerprints_of_ids_of_any_type(spark, kind):
+    import datetime
+    from decimal import Decimal
+
+    from riskmart.llm.order_minhash import fingerprints
+    rng = random.Random(6)
+    day = datetime.date(2025, 1, 1)
+    ids = {"string": [f"doc-{i:05d}" for i in range(60)] + ["doc-é", ""], "binary": [bytes([7, i % 7, i]) for i in range(60)],
+           "date": [day + datetime.timedelta(i) for i in range(60)], "timestamp": [datetime.datetime(2025, 1, 1, i % 24, i) for i in range(60)],
+           "double": [i / 7 - 3 for i in range(60)] + [float("inf"), float("-inf")], "decimal(30,2)": [(Decimal(i) * 10 ** 20 + Decimal(i) / 4).quantize(Decimal("0.01")) for i in range(60)],
+           "boolean": [True, False]}[kind]
+    rows = [(i, f"text {rng.random()} of some length") for i in [*ids, None, ids[0], ids[1]]]
+    df = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(5)
+    key = lambda r: (r[0] is not None, (r[0].encode() if kind == "string" else r[0]) if r[0] is not None else 0, r[1])
+    order = sorted(((bytes(i) if kind == "binary" and i is not None else i, t) for i, t in rows), key=key)
+    want = []
+    for n, (i, text) in enumerate(order):
+        following = order[(n + 1) % len(order)][1]
+        half = len(text) // 2
+        want.append((str(i), hashlib.sha256((text[:len(text) - half] + following[:half]).encode()).hexdigest()))
+    for ranges in (None, 1, 13):
+        got = [(str(bytes(r.doc_id) if kind == "binary" and r.doc_id is not None else r.doc_id), r.edited_sha256) for r in fingerprints(df, ranges=ranges).collect()]
+        assert sorted(got) == sorted(want)
