@@ -162,7 +162,12 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
                       F.when(F.col(id_col).isNull(), F.md5(F.col(text_col).cast("binary"))).otherwise(""))
     facts = F.struct(F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), uniform(key, seed).alias("u"))
-    narrow = materialize(df.select(facts.alias("f")).select("f.*"), "mix-sizes")
+    if text_col in kept:  # wide rows are read again at the end
+        base = df.select(F.struct(*kept).alias(fact), facts.alias("f")).select(fact, "f.*")
+        narrow = materialize(df.select(facts.alias("f")).select("f.*"), "mix-sizes")
+    else:
+        base = materialize(df.select(F.struct(*kept).alias(fact), facts.alias("f")).select(fact, "f.*"), "mix-sizes")
+        narrow = base.select("source", "size", "u")
     per = materialize(source_targets(narrow, "source", "size", weights, share, most).withColumn(
         "ratio", F.col("target") / F.greatest(F.col("source_size"), F.lit(1))), "mix-targets")
     whole = F.floor("ratio")
@@ -187,10 +192,6 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     choice = F.struct(F.coalesce("closing.missed", "left").alias("missed"), "run", "runs", F.col("closing.place").alias("closing"))
     runs = materialize(closed.groupBy("r_source").agg(F.min_by(choice, F.struct(choice["missed"], choice["run"])).alias("best")).select("r_source", "best.runs", "best.closing"), "mix-closed")
 
-    if text_col in kept:  # wide rows are read again; their columns travel under one name
-        base = df.select(F.struct(*kept).alias(fact), facts.alias("f")).select(fact, "f.*")
-    else:
-        base = materialize(df.select(F.struct(*kept).alias(fact), facts.alias("f")).select(fact, "f.*"), "mix-rows")
     out = ranked(base).join(runs, F.col("source").eqNullSafe(F.col("r_source")), "left")
     sampled = in_runs() | F.coalesce(F.col("place") == F.col("closing"), F.lit(False))
     copies = F.when((F.col("size") > 0) & (F.col("words") > 0), F.col("whole") + sampled.cast("long")).when(
