@@ -58,9 +58,9 @@ def test_medians_and_modes_of_many_values(spark):
         df = spark.createDataFrame([(v, None if i % 3 else "x") for i, v in enumerate(values)] + [(None, "y")], "x double, c string")
         got = MD.impute(df, ["x"], ["c"]).where("c is not null").collect()
         assert {r.x for r in got if r.x not in values} <= {statistics.median(values)}
-        assert MD._exact_median(df, "x") == statistics.median(values)
-    assert MD._most_frequent(spark.createDataFrame([("b",), ("a",), (None,), (None,)], "c string"), "c") == "a"
-    assert MD._exact_median(spark.createDataFrame([], "x double"), "x") is None
+        assert MD.medians(df, ["x"])["x"] == statistics.median(values)
+    assert MD.modes(spark.createDataFrame([("b",), ("a",), (None,), (None,)], "c string"), ["c"]) == {"c": "a"}
+    assert MD.medians(spark.createDataFrame([], "x double"), ["x"]) == {"x": None}
 
 
 def test_drifting_headers_keep_source_order(spark, tmp):
@@ -110,3 +110,20 @@ def test_two_row_headers_in_one_scan(spark, tmp):
         want = sorted([(f"f{n:02d}.csv", v) for n in range(12) for v in [f"id{n}", "Place"] + [f"row{n}-{i}" for i in range(n * 400)]])
         assert got == want
         assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_medians_of_many_columns_at_once(spark):
+    import random
+    rnd = random.Random(5)
+    columns = {f"c {i}.x": [rnd.choice([None, rnd.random(), 1e9 * rnd.random(), -5.0, 7.0]) for _ in range(3000 + i % 2)] for i in range(8)}
+    columns["rare"] = [None] * 2999 + [4.5]
+    columns["none"] = [None] * 3000
+    rows = list(zip(*[v[:3000] for v in columns.values()]))
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in columns)).repartition(6)
+    got = MD.medians(df, list(columns))
+    for c, v in columns.items():
+        known = [x for x in v[:3000] if x is not None]
+        assert got[c] == (statistics.median(known) if known else None), c
+    assert MD.medians(df, []) == {} and MD.modes(df, []) == {}
+    values = spark.createDataFrame([(float(i),) for i in range(100_000)], "x double")
+    assert MD.medians(values, ["x"])["x"] == 49_999.5
