@@ -94,3 +94,27 @@ def test_empty_tables_are_written_with_counters(spark, tmp):
     events = spark.createDataFrame([("1", "2030-01-01", "ACC", "FATL", 1)], "ntsb_event_id string, event_date string, event_type string, injury_severity string, src_row int")
     got = write_trusted_investigations(events, ["src_row"], f"{tmp}/i")
     assert [n for _, _, n in got] == [1, 1, 1, 0] and "severity_normalized" in spark.read.parquet(f"{tmp}/i").columns
+
+
+def test_line_items_are_not_dealt_by_customer(spark, tmp_path):
+    """The orders' region is found before they meet the line items."""
+    from riskmart.plans import roles
+    schemas = {"lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+                           "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+               "orders": "o_orderkey long, o_custkey long", "customer": "c_custkey long, c_nationkey int", "supplier": "s_suppkey long, s_nationkey int",
+               "nation": "n_nationkey int, n_name string, n_regionkey int", "region": "r_regionkey int, r_name string"}
+    rows = {"lineitem": [(1, 1, 1, n, 5.0, 1000.0, 0.1, 0.05, "N", "O", None) for n in (1, 2)] + [(9, 1, 1, 1, 5.0, 1.0, 0.1, 0.05, "N", "O", None)],
+            "orders": [(1, 1), (1, 2)], "customer": [(1, 1), (2, 2)], "supplier": [(1, 1)],
+            "nation": [(1, "PERU", 1), (2, "CHINA", 2)], "region": [(1, "AMERICA"), (2, "ASIA")]}
+    for name, schema in schemas.items():
+        spark.createDataFrame(rows[name], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    raw = roles.operations_raw(spark, str(tmp_path))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "200")
+    try:
+        plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert not [line for line in plan.splitlines() if "Project" in line and "l_extendedprice" in line and "o_custkey" in line]
+    # keys may repeat: every pair of a line item and a row of its order
+    assert sorted((r.flight_number, r.src_linenumber, r.origin, r.dest) for r in raw.collect()) == [
+        ("1", n, "peru", d) for n in (1, 2) for d in ("AMERICA", "ASIA")]
