@@ -127,3 +127,20 @@ def test_medians_of_many_columns_at_once(spark):
     assert MD.medians(df, []) == {} and MD.modes(df, []) == {}
     values = spark.createDataFrame([(float(i),) for i in range(100_000)], "x double")
     assert MD.medians(values, ["x"])["x"] == 49_999.5
+
+
+def test_rows_without_an_order_are_not_dealt(spark, tmp, monkeypatch):
+    from riskmart.plans import catalog
+    from riskmart.sources import files
+    plans, write = [], files.write_table
+
+    def seen(df, *args):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, *args)
+
+    monkeypatch.setattr(files, "write_table", seen)
+    df = spark.createDataFrame([("a", 2), ("b", 1), ("a", 1)], "ev_id string, n int")
+    catalog._as_csv(df, f"{tmp}/dealt", ["ev_id"], ["n"])
+    catalog._as_csv(df, f"{tmp}/as-is", ["ev_id"], [])
+    assert "Repartition" in plans[0] and "Repartition" not in plans[1]
+    assert sorted(tuple(r) for r in files.read_csv_folder(spark, f"{tmp}/as-is").collect()) == [("a", "1"), ("a", "2"), ("b", "1")]
